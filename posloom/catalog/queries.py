@@ -1,47 +1,33 @@
-"""Registered queries by name, each over whole tables."""
+"""All registered queries by name, each over whole tables.
+
+``QUERIES`` and ``TWIN_SQL`` are filled by the modules imported here and by the
+account runs below.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from posloom.catalog import account_sql, views
-from posloom.catalog.portable import portable
+from posloom.catalog import operator_queries  # noqa: F401  (they register)
+from posloom.catalog.registry import QUERIES, TWIN_SQL, Query, register
 from posloom.plans.accounts import ACCOUNTS, LEGACY_ACCOUNTS
 from posloom.plans.engine import run_account
 from posloom.plans.master import measured
 from posloom.plans.spec import REFERENCE, STRICT
 
-Query = Callable[[SparkSession, str], DataFrame]
-
 RUN_DATE = dt.date(2020, 3, 1)
 
-QUERIES: dict[str, Query] = {}
-TWIN_SQL: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def add(query: Query) -> Query:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return portable(query(spark, sf_dir))
-
-        run.__name__ = name
-        QUERIES[name] = run
-        if sql is not None:
-            TWIN_SQL[name] = sql
-        return query
-
-    return add
-
 
 def _account(name: str, mode: str) -> Query:
     spec = {**ACCOUNTS, **LEGACY_ACCOUNTS}[name]
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         master = measured(views.master_rows(spark, sf_dir, name))
-        return run_account(spec, views.raw_feed(spark, sf_dir, name), master, RUN_DATE, mode).rows
+        feed = views.raw_feed(spark, sf_dir, name)
+        return run_account(spec, feed, master, RUN_DATE, mode).rows.drop("counted")
 
     return query
 

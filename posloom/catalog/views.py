@@ -259,3 +259,41 @@ def master_rows(spark: SparkSession, sf_dir: str, account: str = "") -> DataFram
     else:
         columns, again = MASTER, RELISTED
     return _select(part, columns).unionByName(_select(part.where(RELISTED_WHERE), again))
+
+
+# One feed of all accounts: the line number stands for the account.
+ACCOUNT_KEYS = {
+    "amazon": "amazon_id",
+    "depot": "depot_id",
+    "kmart": "kmart_id",
+    "meijer": "meijer_id",
+    "target": "target_id",
+    "walmart": "walmart_id",
+    "sears": "sears_id",
+}
+COMMON_FEED = {
+    **SOURCE,
+    "account": "CASE l_linenumber WHEN 1 THEN 'amazon' WHEN 2 THEN 'depot' WHEN 3 THEN 'kmart' "
+    "WHEN 4 THEN 'meijer' WHEN 5 THEN 'target' WHEN 6 THEN 'walmart' ELSE 'sears' END",
+    "cust_item": f"CASE WHEN l_tax = 0 THEN NULL WHEN l_linenumber = 3 THEN concat('00', {ITEM}) "
+    f"WHEN l_linenumber = 5 THEN concat('030', {WIDE}) ELSE {ITEM} END",
+    "item": ITEM_OR_NULL,
+    "stock_no": STOCK_OR_VENDOR,
+    "upc": FULL_UPC,
+    "channel": FEEDS["target"]["Channel"],
+    "POSAmount": f"CAST({AMOUNT} AS DECIMAL(18,4))",
+    "POSQuantity": "CAST(l_quantity AS INT)",
+    "sale_date": "CAST(l_shipdate AS DATE)",
+}
+
+
+def common_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _select(table(spark, sf_dir, "lineitem"), COMMON_FEED)
+
+
+def common_sql() -> str:
+    """The common feed and the master as the head of a SQL statement."""
+    return (
+        f"WITH feed AS (SELECT {columns_sql(COMMON_FEED)} FROM lineitem), "
+        f"master AS ({master_sql()}) "
+    )

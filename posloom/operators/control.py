@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 
 def control_totals(
-    final: DataFrame, by: tuple[str, ...] = ("AccountMajor",), counted: str = "BricksClicks"
+    final: DataFrame, by: tuple[str, ...] = ("AccountMajor",), counted: str = "counted"
 ) -> DataFrame:
-    """Amount, units and number of filled ``counted`` cells per account."""
+    """Amount, units and number of filled ``counted`` cells per account.
+
+    Outcome rows bring a ``counted`` column that is filled where the account
+    wants the row counted.
+    """
     return final.groupBy(*by).agg(
         F.sum("POSAmount").alias("POSAmount"),
         F.sum("POSQuantity").alias("POSQuantity"),

@@ -46,7 +46,7 @@ class AccountResult:
 
     @property
     def control(self) -> DataFrame:
-        return control.control_totals(self.final, counted=self.spec.counted)
+        return control.control_totals(self.rows.filter(F.col("outcome") == FINAL))
 
 
 def final_rows(rows: DataFrame) -> DataFrame:
@@ -323,4 +323,4 @@ def lay_out(
         *[c for c in SOURCE_ORDER if c in have],
         *[(values[c] if c in values else feed_column(c)).alias(c) for c in CANONICAL],
         *OUTCOME,
-    )
+    ).withColumn("counted", F.when(F.col(spec.counted).isNotNull(), 1))
