@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from posloom.catalog import account_sql, views
-from posloom.catalog import operator_queries  # noqa: F401  (they register)
+from posloom.catalog import file_queries, operator_queries, table_queries  # noqa: F401  (they register)
 from posloom.catalog.registry import QUERIES, TWIN_SQL, Query, register
 from posloom.plans.accounts import ACCOUNTS, LEGACY_ACCOUNTS
 from posloom.plans.engine import run_account
