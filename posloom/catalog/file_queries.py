@@ -104,7 +104,9 @@ def _(spark, sf_dir):
         rows = spark.read.option("header", True).option("sep", sep).csv(path)
         amount = F.col("POSAmount").cast("decimal(28,4)")
         return rows.groupBy(
-            F.lit(sink).alias("sink"), F.col("account"), F.col("week").cast("string").alias("week")
+            F.lit(sink).alias("sink"),
+            F.col("for_account").alias("account"),
+            F.col("for_week").cast("string").alias("week"),
         ).agg(n, F.sum(amount).alias("amount"))
 
     rows_written = F.count(F.lit(1)).alias("n")

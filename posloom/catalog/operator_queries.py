@@ -441,8 +441,9 @@ _dedup_if(
 
 @register(
     "keep_first_match",
-    WITH + f"SELECT {ROW_SQL}, item_number FROM (SELECT feed.*, item_number, master_row FROM feed LEFT JOIN master "
-    f"ON item = meijer_id) QUALIFY row_number() OVER (PARTITION BY {ROW_SQL} ORDER BY master_row) = 1",
+    WITH + f"SELECT {ROW_SQL}, item_number FROM (SELECT f.*, item_number, master_row FROM "
+    "(SELECT *, row_number() OVER () AS id FROM feed) f LEFT JOIN master ON item = meijer_id) "
+    "QUALIFY row_number() OVER (PARTITION BY id ORDER BY master_row) = 1",
 )
 def _(spark, sf_dir):
     items = master(spark, sf_dir)

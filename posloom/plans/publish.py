@@ -59,13 +59,13 @@ def write_text(df: DataFrame, path: str, sep: str = ",") -> None:
     rebalance gives files of even size, however large one account is.
     """
     keyed = df.withColumns(
-        {"account": F.lower("AccountMajor"), "week": F.col("WeekEnding").cast("string")}
+        {"for_account": F.lower("AccountMajor"), "for_week": F.col("WeekEnding").cast("string")}
     )
     (
-        keyed.hint("rebalance", "account", "week")
+        keyed.hint("rebalance", "for_account", "for_week")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("account", "week")
+        .partitionBy("for_account", "for_week")
         .option("sep", sep)
         .option("header", True)
         .option("emptyValue", "")

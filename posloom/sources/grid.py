@@ -58,9 +58,15 @@ def header_names(header: Column) -> Column:
 
 
 def row_map(header: Column, cells: Column) -> Column:
-    """Name to cell; short rows are filled up with NULL, surplus cells go."""
-    values = F.transform(header, lambda _, i: F.get(cells, i))
-    return F.map_from_arrays(header, values)
+    """Name to cell. Short rows are filled up with NULL; cells to the right of
+    the header row's end stand under a blank header."""
+    beyond = F.transform(
+        F.sequence(F.size(header), F.size(cells) - 1),
+        lambda i: F.concat(F.lit("Unnamed: "), i.cast("string")),
+    )
+    names = F.when(F.size(cells) <= F.size(header), header).otherwise(F.concat(header, beyond))
+    values = F.transform(names, lambda _, i: F.get(cells, i))
+    return F.map_from_arrays(names, values)
 
 
 def complete(cells: Column) -> Column:

@@ -70,6 +70,12 @@ def test_header_names(spark):
     assert row.row == {"A": "1", "Unnamed: 1": "2", "A.1": "3", "Unnamed: 3": None, "A.2": None}
 
 
+def test_cells_beyond_the_header_are_unnamed(spark):
+    grid = grid_of(spark, {"p": [["A"], ["1", "2", "3"], []]})
+    rows = [r.row for r in g.named_rows(grid, 0).orderBy("row_idx").collect()]
+    assert rows == [{"A": "1", "Unnamed: 1": "2", "Unnamed: 2": "3"}, {"A": None}]
+
+
 def test_promoted_header_skips_preamble_and_incomplete_rows(spark):
     grid = grid_of(
         spark,
