@@ -23,15 +23,16 @@ ROW_OVERHEAD_BYTES = 16
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of a dimension in bytes: one distributed aggregate, one row back."""
-    width = F.lit(ROW_OVERHEAD_BYTES).cast("bigint")
+    text, nested = [], []
     for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
-        if field.dataType.typeName() in ("string", "binary"):
-            width = width + F.coalesce(F.octet_length(column), F.lit(0))
-        elif field.dataType.typeName() in ("array", "map", "struct"):
-            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
-        width = width + 8
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).cast("bigint")).first()[0]
+        kind = field.dataType.typeName()
+        if kind == "string":
+            text.append(F.col(f"`{field.name}`"))
+        elif kind in ("array", "map", "struct"):
+            nested.append(F.to_json(F.struct(f"`{field.name}`")))
+    fixed = ROW_OVERHEAD_BYTES + 8 * len(df.columns)
+    row = F.octet_length(F.concat_ws("", F.lit(""), *text, *nested)) + F.lit(fixed)
+    return df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0)).cast("bigint")).first()[0]
 
 
 def fits_broadcast(df: DataFrame, size: int | None = None) -> bool:

@@ -314,7 +314,7 @@ NORDSTROM = AccountSpec(
     passes=(Pass("CustVendStkNo", "item_number", "short_brand"),),
     dedup="always",
     # The item is the master's, so all unmatched rows of a store share NULL.
-    dedup_keys=("Group", "Store", "m1_item_number", "POSAmount"),
+    dedup_keys=("Group", "Store", "m1.item_number", "POSAmount"),
     constants={"CustItemNumber": "", "UPC": ""},
 )
 

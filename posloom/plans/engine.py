@@ -104,8 +104,7 @@ def conform(spec: AccountSpec, rows: DataFrame, mode: str = STRICT) -> DataFrame
             columns[name] = num.money(value, is_text)
         else:
             shown = value if is_text else value.cast("string")
-            shown = strip(shown) if name in keys else shown
-            columns[name] = F.when(shown != "", shown)
+            columns[name] = strip(shown) if name in keys else shown
     source_columns = [c for c in SOURCE_ORDER if c in rows.columns]
     if spec.layout.header_row is None and "row" not in rows.columns:
         # As when its header is promoted: a row with an empty cell is no data.
@@ -143,12 +142,18 @@ def _raw(rows: DataFrame, source: str | Containing) -> tuple[Column, bool]:
 
 
 def _dimension(master: DataFrame, step: Pass, number: int) -> DataFrame:
-    """Master columns a pass needs, under names no feed column has."""
-    wanted = dict.fromkeys((step.master_key, "item_number", "short_brand", step.flag))
+    """The key of a pass and, as one struct, what a match brings along.
+
+    The brand tier and the flag are settled here, once per item, not per sale.
+    """
     return master.select(
-        *[F.col(c).alias(f"m{number}_{c}") for c in wanted],
-        F.lit(True).alias(f"m{number}_found"),
-        F.col("master_row").alias(f"m{number}_row"),
+        F.col(step.master_key).alias(f"m{number}_key"),
+        F.struct(
+            F.col("item_number"),
+            cond.brand_tier(F.col("short_brand")).alias("tier"),
+            F.col(step.flag).isNotNull().alias("flagged"),
+            F.col("master_row"),
+        ).alias(f"m{number}"),
     )
 
 
@@ -158,8 +163,9 @@ def _first_dimension(master: Master, step: Pass, number: int, prefer_flagged: bo
     return _dimension(first_match(master.rows, step.master_key, order), step, number)
 
 
-def _flagged(step: Pass, number: int) -> Column:
-    return F.col(f"m{number}_{step.flag}").isNotNull()
+def _hit(number: int) -> Column:
+    """Did pass ``number`` find an item with its flag filled? Never NULL."""
+    return F.coalesce(F.col(f"m{number}.flagged"), F.lit(False))
 
 
 def match_strict(spec: AccountSpec, feed: DataFrame, master: Master) -> DataFrame:
@@ -169,82 +175,79 @@ def match_strict(spec: AccountSpec, feed: DataFrame, master: Master) -> DataFram
     feed row is ever dropped. A later pass asks only for rows still unmatched:
     the others carry a NULL key and find nothing.
     """
-    matched, hits = feed, []
-    for number, step in enumerate(spec.passes, 1):
+    matched = feed
+    numbers = range(1, len(spec.passes) + 1)
+    for number, step in zip(numbers, spec.passes):
         dim = _first_dimension(master, step, number, spec.prefer_flagged)
-        key = f"_key{number}"
-        still_open = reduce(lambda a, b: a & b, [~h for h in hits], F.lit(True))
-        matched = matched.withColumn(key, F.when(still_open, F.col(step.feed_key)))
-        matched = lookup(
-            matched, dim, [(key, f"m{number}_{step.master_key}")], dim_bytes=master.size
-        ).drop(key)
-        hits.append(_flagged(step, number))
-    return _decide(spec, matched, hits)
-
-
-def _decide(spec: AccountSpec, matched: DataFrame, hits: list[Column]) -> DataFrame:
-    numbers = range(1, len(hits) + 1)
-
-    def by_pass(values: list[Column], otherwise: Column) -> Column:
-        return reduce(
-            lambda rest, pair: F.when(pair[0], pair[1]).otherwise(rest),
-            list(zip(hits, values))[::-1],
-            otherwise,
-        )
-
-    nothing = F.lit(None).cast("string")
-    is_final = reduce(lambda a, b: a | b, hits)
-    found = reduce(lambda a, b: a | b, [F.col(f"m{n}_found").isNotNull() for n in numbers])
-    return matched.withColumns(
-        {
-            "item_number": by_pass([F.col(f"m{n}_item_number") for n in numbers], nothing),
-            "short_brand": by_pass([F.col(f"m{n}_short_brand") for n in numbers], nothing),
-            "match_pass": by_pass([F.lit(n) for n in numbers], F.lit(None).cast("int")),
-            "outcome": F.when(is_final, FINAL).otherwise(EXCEPTION),
-            "reason": F.when(~is_final, F.when(found, "null_flag").otherwise("no_key")),
-        }
+        key = step.feed_key
+        if number > 1:
+            key = f"_key{number}"
+            still_open = ~_any([_hit(n) for n in range(1, number)])
+            matched = matched.withColumn(key, F.when(still_open, F.col(step.feed_key)))
+        matched = lookup(matched, dim, [(key, f"m{number}_key")], dim_bytes=master.size)
+    return _decide(matched, feed.columns, list(numbers))
+
+
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
+def _decide(matched: DataFrame, feed_columns: list[str], passes: list[int]) -> DataFrame:
+    """The feed with item, tier and outcome: those of the first pass that hit."""
+    choice = reduce(
+        lambda rest, n: F.when(_hit(n), F.struct(F.lit(n).alias("number"), f"m{n}.item_number", f"m{n}.tier"))
+        .otherwise(rest),
+        passes[::-1],
+        F.lit(None),
+    )
+    found = _any([F.col(f"m{n}").isNotNull() for n in passes])
+    chosen = matched.select(*feed_columns, choice.alias("hit"), found.alias("found"))
+    is_final = F.col("hit").isNotNull()
+    return chosen.select(
+        *feed_columns,
+        F.col("hit.item_number").alias("item_number"),
+        F.col("hit.tier").alias("tier"),
+        F.when(is_final, FINAL).otherwise(EXCEPTION).alias("outcome"),
+        F.when(~is_final, F.when(F.col("found"), "null_flag").otherwise("no_key")).alias("reason"),
+        F.col("hit.number").alias("match_pass"),
     )
 
 
 def match_reference(spec: AccountSpec, feed: DataFrame, master: Master) -> DataFrame:
     """Outcomes of a plain merge: NULL keys match each other, repeated master
     keys multiply rows, and duplicates go only where the account says so."""
-    first = spec.passes[0]
     joined = _first_pass(spec, feed, master)
     if len(spec.passes) == 1:
-        return _decide(spec, joined, [_flagged(first, 1)])
+        return _decide(joined, feed.columns, [1])
 
-    second = spec.passes[1]
-    hit = _flagged(first, 1)
-    done = _decide(spec, joined.filter(hit), [hit])
+    done = _decide(joined.filter(_hit(1)), feed.columns, [1])
     if spec.appends_unmatched:
         done = done.withColumn("item_number", F.lit(None).cast("string"))
-    left_over = joined.filter(~hit).select(*feed.columns)
-    dim = _dimension(master.rows, second, 2)
+    step = spec.passes[1]
     retried = fan_out_join(
-        left_over, dim, [(second.feed_key, f"m2_{second.master_key}")], master_bytes=master.size
+        joined.filter(~_hit(1)).select(*feed.columns),
+        _dimension(master.rows, step, 2),
+        [(step.feed_key, "m2_key")],
+        master_bytes=master.size,
     )
-    retried = retried.withColumn("m1_found", F.lit(None).cast("boolean"))
-    for column in ("item_number", "short_brand"):
-        retried = retried.withColumn(f"m1_{column}", F.lit(None).cast("string"))
-    again = _decide(spec, retried, [F.lit(False), _flagged(second, 2)])
+    again = _decide(retried, feed.columns, [2])
     if spec.appends_unmatched:
-        both = F.array(F.lit(FINAL), F.lit(EXCEPTION))
-        again = again.withColumns(
-            {
-                "item_number": F.col("m2_item_number"),
-                "short_brand": F.col("m2_short_brand"),
-                "outcome": F.explode(
-                    F.when(F.col("outcome") == FINAL, F.array(F.lit(FINAL))).otherwise(both)
-                ),
-            }
-        ).withColumn("reason", F.when(F.col("outcome") == EXCEPTION, F.col("reason")))
+        again = again.unionByName(_appended(retried, feed.columns))
     for column in spec.second_pass_blanks:
-        again = again.withColumn(
-            column, F.when(F.col("outcome") == EXCEPTION, F.col(column))
-        )
-    shared = [*feed.columns, "item_number", "short_brand", *OUTCOME]
-    return done.select(*shared).unionByName(again.select(*shared))
+        again = again.withColumn(column, F.when(F.col("outcome") == EXCEPTION, F.col(column)))
+    return done.unionByName(again)
+
+
+def _appended(retried: DataFrame, feed_columns: list[str]) -> DataFrame:
+    """Rows the second pass did not match, as final rows all the same."""
+    return retried.filter(~_hit(2)).select(
+        *feed_columns,
+        F.col("m2.item_number").alias("item_number"),
+        F.coalesce(F.col("m2.tier"), cond.brand_tier(F.lit(None).cast("string"))).alias("tier"),
+        F.lit(FINAL).alias("outcome"),
+        F.lit(None).cast("string").alias("reason"),
+        F.lit(None).cast("int").alias("match_pass"),
+    )
 
 
 def _first_pass(spec: AccountSpec, feed: DataFrame, master: Master) -> DataFrame:
@@ -256,13 +259,12 @@ def _first_pass(spec: AccountSpec, feed: DataFrame, master: Master) -> DataFrame
     every copy.
     """
     step = spec.passes[0]
-    on = [(step.feed_key, f"m1_{step.master_key}")]
+    on = [(step.feed_key, "m1_key")]
     keys = list(spec.dedup_keys)
     order = list(spec.dedup_order) or [c for c in SOURCE_ORDER if c in feed.columns]
 
     def plain(part: DataFrame) -> DataFrame:
-        dim = _dimension(master.rows, step, 1)
-        return fan_out_join(part, dim, on, master_bytes=master.size)
+        return fan_out_join(part, _dimension(master.rows, step, 1), on, master_bytes=master.size)
 
     def single(part: DataFrame) -> DataFrame:
         dim = _first_dimension(master, step, 1, prefer_flagged=False)
@@ -279,9 +281,8 @@ def _first_pass(spec: AccountSpec, feed: DataFrame, master: Master) -> DataFrame
         return kept_first(feed)
     if spec.dedup == "final":
         joined = plain(feed)
-        hit = _flagged(step, 1)
-        once = dedup.first_per_key(joined.filter(hit), keys, [*order, "m1_row"])
-        return once.unionByName(joined.filter(~hit))
+        once = dedup.first_per_key(joined.filter(_hit(1)), keys, [*order, "m1.master_row"])
+        return once.unionByName(joined.filter(~_hit(1)))
     if spec.dedup == "rows":
         flag = fanout.rows_multiply(
             feed, master.rows, step.feed_key, step.master_key, master_bytes=master.size
@@ -314,7 +315,7 @@ def lay_out(
         "BricksClicks": feed_column("BricksClicks") if spec.channel is None else F.lit(spec.channel),
         "ItemID": F.when(is_final, F.lit("")),
         "ItemNumber": F.when(is_final, F.col("item_number")),
-        "MainlinePremium": F.when(is_final, cond.brand_tier(F.col("short_brand"))),
+        "MainlinePremium": F.when(is_final, F.col("tier")),
         "POSAmount": F.col("POSAmount"),
         "POSQuantity": F.col("POSQuantity"),
         "WeekEnding": F.lit(week).cast("date"),

@@ -78,6 +78,10 @@ def merged(feed, master, step):
     return feed.merge(items, how="left", left_on=step.feed_key, right_on=f"m_{step.master_key}")
 
 
+def tier(short_brand):
+    return "Premium" if short_brand == "QUINNY" else "Mainline"
+
+
 def outcome_rows(frame, step, number, item=None, blanks=()):
     """(row, item, brand, pass, outcome) of merged rows by the flag of a pass."""
     result = []
@@ -87,7 +91,7 @@ def outcome_rows(frame, step, number, item=None, blanks=()):
             (
                 row["src_row"],
                 (item(row) if item else row["m_item_number"]) if hit else None,
-                row["m_short_brand"] if hit else None,
+                tier(row["m_short_brand"]) if hit else None,
                 number if hit else None,
                 "final" if hit else "exception",
                 None if hit and "CustItemNumber" in blanks else row["CustItemNumber"],
@@ -99,7 +103,7 @@ def outcome_rows(frame, step, number, item=None, blanks=()):
 def brute_force(spec, feed, master):
     first = spec.passes[0]
     joined = merged(feed, master, first)
-    keys = [c.replace("m1_", "m_") for c in spec.dedup_keys]
+    keys = [c.replace("m1.", "m_") for c in spec.dedup_keys]
     changed = {
         "always": True,
         "rows": len(joined) != len(feed),
@@ -122,7 +126,7 @@ def brute_force(spec, feed, master):
     if spec.appends_unmatched:
         for row in retried[retried[f"m_{second.flag}"].isna()].to_dict("records"):
             result.append(
-                (row["src_row"], row["m_item_number"], row["m_short_brand"], None, "final", row["CustItemNumber"])
+                (row["src_row"], row["m_item_number"], tier(row["m_short_brand"]), None, "final", row["CustItemNumber"])
             )
     return result
 
@@ -138,7 +142,7 @@ def spark_rows(matched):
     picked = matched.select(
         "src_row",
         F.when(is_final, F.col("item_number")),
-        F.when(is_final, F.col("short_brand")),
+        F.when(is_final, F.col("tier")),
         "match_pass",
         "outcome",
         "CustItemNumber",
@@ -194,7 +198,7 @@ def expected_strict(spec, feed, master):
             if hits and hits[0][step.flag] is not None:
                 found = hits[0]
                 answer = (
-                    row["src_row"], found["item_number"], found["short_brand"], number, "final", row["CustItemNumber"],
+                    row["src_row"], found["item_number"], tier(found["short_brand"]), number, "final", row["CustItemNumber"],
                 )
                 break
         result.append(answer)
