@@ -10,8 +10,8 @@ from posloom.schema import MONEY
 
 
 def dash_to_zero(c: Column) -> Column:
-    """A ``--`` cell means no sales. The cell is read once, not per branch."""
-    return F.regexp_replace(c, "^--$", "0")
+    """A ``--`` cell means no sales."""
+    return F.when(c == "--", F.lit("0")).otherwise(c)
 
 
 def money(c: Column, is_text: bool = True) -> Column:
@@ -19,6 +19,12 @@ def money(c: Column, is_text: bool = True) -> Column:
     return (strip(c) if is_text else c).try_cast(MONEY)
 
 
+def money_or_dash(c: Column) -> Column:
+    """``money(dash_to_zero(c))``, with a look for the dash only in cells that
+    are no number."""
+    return F.coalesce(money(c), F.when(c == "--", F.lit(0).cast(MONEY)))
+
+
 def whole(c: Column) -> Column:
     """INT by cutting the fraction off."""
     return c.try_cast("int")

@@ -7,6 +7,8 @@ ships one row per map task, not the group.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,17 +24,19 @@ def first_per_key(df: DataFrame, keys: list[str | Column], order: list[str | Col
 def first_per_key_if(
     df: DataFrame, flag: DataFrame, keys: list[str | Column], order: list[str | Column]
 ) -> DataFrame:
-    """``first_per_key`` if the one-row, one-column ``flag`` is true, else ``df``.
-
-    The flag is a scalar subquery, run before either branch starts, so nothing
-    comes back to the driver; the branch not taken filters out all its rows
-    before its shuffle.
-    """
+    """``first_per_key`` if the one-row, one-column ``flag`` is true, else ``df``."""
     return when_flag(flag, df, lambda d: first_per_key(d, keys, order), lambda d: d)
 
 
-def when_flag(flag: DataFrame, df: DataFrame, fired, otherwise) -> DataFrame:
-    """``fired(df)`` where the one-row flag is true, ``otherwise(df)`` where not."""
-    on = F.coalesce(flag.scalar(), F.lit(False))
-    off = ~F.coalesce(flag.scalar(), F.lit(False))
-    return fired(df.filter(on)).unionByName(otherwise(df.filter(off)))
+def when_flag(
+    flag: DataFrame,
+    df: DataFrame,
+    fired: Callable[[DataFrame], DataFrame],
+    otherwise: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``fired(df)`` if the one-row flag is true, ``otherwise(df)`` if not.
+
+    The flag's aggregate runs now and one boolean comes back. Planning both
+    branches and filtering one of them empty would read the feed once more.
+    """
+    return fired(df) if flag.first()[0] else otherwise(df)

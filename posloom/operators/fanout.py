@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posloom.operators.lookup import fits_broadcast
+from posloom.operators.lookup import small_side
 
 
 def repeated_keys(master: DataFrame, key: str) -> DataFrame:
@@ -39,8 +39,8 @@ def rows_multiply(
 ) -> DataFrame:
     """One row: does the left join have more rows than the feed?"""
     repeats = repeated_keys(master, master_key)
-    side = F.broadcast(repeats) if fits_broadcast(repeats, master_bytes) else repeats
-    hit = feed.select(feed_key).join(side, _same_key(feed, feed_key, repeats, null_safe), "left_semi")
+    same = _same_key(feed, feed_key, repeats, null_safe)
+    hit = feed.select(feed_key).join(small_side(repeats, master_bytes), same, "left_semi")
     return hit.agg((F.count(F.lit(1)) > 0).alias("fan_out"))
 
 
@@ -59,10 +59,8 @@ def amount_changes(
     unknown amounts add nothing.
     """
     repeats = repeated_keys(master, master_key)
-    side = F.broadcast(repeats) if fits_broadcast(repeats, master_bytes) else repeats
-    extra = feed.select(feed_key, amount).join(
-        side, _same_key(feed, feed_key, repeats, null_safe), "inner"
-    )
+    same = _same_key(feed, feed_key, repeats, null_safe)
+    extra = feed.select(feed_key, amount).join(small_side(repeats, master_bytes), same, "inner")
     per_copies = extra.groupBy("_copies").agg(F.sum(amount).alias("_amount"))
     difference = F.sum(F.col("_amount").cast("decimal(28,4)") * (F.col("_copies") - 1).cast("decimal(9,0)"))
     return per_copies.agg((F.coalesce(difference, F.lit(0)) != 0).alias("fan_out"))

@@ -40,6 +40,12 @@ def fits_broadcast(df: DataFrame, size: int | None = None) -> bool:
     return size <= broadcast_limit(df.sparkSession)
 
 
+def small_side(df: DataFrame, size: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast if its measured size allows it, else as it
+    is: a shuffle join, whose heavy partitions adaptive execution splits."""
+    return F.broadcast(df) if fits_broadcast(df, size) else df
+
+
 def first_match(
     master: DataFrame, key: str, order: list[str | Column], require: str | None = None
 ) -> DataFrame:
@@ -127,11 +133,6 @@ def fan_out_join(
     null_safe: bool = True,
     master_bytes: int | None = None,
 ) -> DataFrame:
-    """Left join that keeps every master row of a key, as a plain merge does.
-
-    Without a hint beyond the limit: adaptive execution then splits the heavy
-    feed partitions of the sort-merge join.
-    """
+    """Left join that keeps every master row of a key, as a plain merge does."""
     condition = _condition(feed, master, on, null_safe)
-    side = F.broadcast(master) if fits_broadcast(master, master_bytes) else master
-    return feed.join(side, condition, "left")
+    return feed.join(small_side(master, master_bytes), condition, "left")

@@ -90,8 +90,8 @@ def _target(feed: DataFrame, mode: str) -> DataFrame:
     return (
         feed.withColumns(
             {
-                "POSAmount": num.money(num.dash_to_zero(F.col("SalesAmount"))),
-                "POSQuantity": num.whole(num.money(num.dash_to_zero(F.col("SalesUnits")))),
+                "POSAmount": num.money_or_dash(F.col("SalesAmount")),
+                "POSQuantity": num.whole(num.money_or_dash(F.col("SalesUnits"))),
             }
         )
         .filter(cond.not_sentinel(F.col("Channel"), "DC"))

@@ -22,7 +22,7 @@ from posloom.operators import control, dedup, fanout
 from posloom.operators.lookup import fan_out_join, first_match, lookup
 from posloom.plans.master import Master
 from posloom.plans.spec import REFERENCE, STRICT, AccountSpec, Containing, Pass
-from posloom.schema import CANONICAL, EXCEPTION, FINAL, OUTCOME, SOURCE_ORDER
+from posloom.schema import CANONICAL, EXCEPTION, FINAL, MONEY, OUTCOME, SOURCE_ORDER
 from posloom.sources import grid as g
 
 NUMERIC = ("decimal", "double", "float", "integer", "long", "short", "byte")
@@ -76,7 +76,7 @@ def run_account(
     if mode == STRICT:
         matched = match_strict(spec, feed, master)
     else:
-        matched = match_reference(spec, feed, master)
+        matched = match_reference(spec, feed, master, ungrouped(spec, rows, mode))
     return AccountResult(spec, feed, lay_out(spec, matched, run_date, mode))
 
 
@@ -95,6 +95,20 @@ def sheet_rows(spec: AccountSpec, grid: DataFrame) -> DataFrame:
 
 
 def conform(spec: AccountSpec, rows: DataFrame, mode: str = STRICT) -> DataFrame:
+    """The feed as it is matched: typed, filtered, derived and grouped."""
+    feed = ungrouped(spec, rows, mode)
+    if spec.group_by:
+        source_columns = [c for c in SOURCE_ORDER if c in feed.columns]
+        feed = control.pre_aggregate(
+            feed,
+            list(spec.group_by),
+            ["POSAmount", "POSQuantity"],
+            **{c: F.min(c) for c in source_columns},
+        ).withColumns({"POSAmount": F.col("POSAmount").cast(MONEY), "POSQuantity": num.whole(F.col("POSQuantity"))})
+    return feed
+
+
+def ungrouped(spec: AccountSpec, rows: DataFrame, mode: str = STRICT) -> DataFrame:
     """Typed feed columns under their common names, filtered and derived."""
     keys = {p.feed_key for p in spec.passes}
     columns = {}
@@ -111,14 +125,9 @@ def conform(spec: AccountSpec, rows: DataFrame, mode: str = STRICT) -> DataFrame
         rows = rows.na.drop("any", subset=[c for c in rows.columns if c not in SOURCE_ORDER])
     feed = rows.select(*source_columns, *[c.alias(n) for n, c in columns.items()])
     feed = spec.prepare(feed, mode)
-    if spec.group_by:
-        feed = control.pre_aggregate(
-            feed,
-            list(spec.group_by),
-            ["POSAmount", "POSQuantity"],
-            keep_null_keys=mode == STRICT,
-            **{c: F.min(c) for c in source_columns},
-        ).withColumn("POSAmount", F.col("POSAmount").cast("decimal(18,4)"))
+    if spec.group_by and mode == REFERENCE:
+        # Grouping loses rows with a NULL key there.
+        feed = feed.na.drop("any", subset=list(spec.group_by))
     return feed.withColumn("POSQuantity", num.whole(F.col("POSQuantity")))
 
 
@@ -213,10 +222,16 @@ def _decide(matched: DataFrame, feed_columns: list[str], passes: list[int]) -> D
     )
 
 
-def match_reference(spec: AccountSpec, feed: DataFrame, master: Master) -> DataFrame:
+def match_reference(
+    spec: AccountSpec, feed: DataFrame, master: Master, flag_feed: DataFrame | None = None
+) -> DataFrame:
     """Outcomes of a plain merge: NULL keys match each other, repeated master
-    keys multiply rows, and duplicates go only where the account says so."""
-    joined = _first_pass(spec, feed, master)
+    keys multiply rows, and duplicates go only where the account says so.
+
+    ``flag_feed`` has the same keys and amount totals as the feed but may be
+    cheaper to read; the question whether duplicates go is put to it.
+    """
+    joined = _first_pass(spec, feed, master, feed if flag_feed is None else flag_feed)
     if len(spec.passes) == 1:
         return _decide(joined, feed.columns, [1])
 
@@ -250,7 +265,9 @@ def _appended(retried: DataFrame, feed_columns: list[str]) -> DataFrame:
     )
 
 
-def _first_pass(spec: AccountSpec, feed: DataFrame, master: Master) -> DataFrame:
+def _first_pass(
+    spec: AccountSpec, feed: DataFrame, master: Master, flag_feed: DataFrame
+) -> DataFrame:
     """The first merge with its duplicate handling.
 
     Where duplicates are dropped by feed columns, "merge, keep first" equals
@@ -285,11 +302,11 @@ def _first_pass(spec: AccountSpec, feed: DataFrame, master: Master) -> DataFrame
         return once.unionByName(joined.filter(~_hit(1)))
     if spec.dedup == "rows":
         flag = fanout.rows_multiply(
-            feed, master.rows, step.feed_key, step.master_key, master_bytes=master.size
+            flag_feed, master.rows, step.feed_key, step.master_key, master_bytes=master.size
         )
         return dedup.when_flag(flag, feed, kept_first, single)
     flag = fanout.amount_changes(
-        feed, master.rows, step.feed_key, step.master_key, master_bytes=master.size
+        flag_feed, master.rows, step.feed_key, step.master_key, master_bytes=master.size
     )
     return dedup.when_flag(flag, feed, kept_first, plain)
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posloom.operators.control import control_totals
+from posloom.operators.lookup import small_side
 from posloom.plans.engine import exception_rows, final_rows
 from posloom.schema import EXCEPTION, FINAL
 from posloom.session import shared_dir
@@ -41,7 +42,7 @@ def failed_groups(rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
 
 def gate(rows: DataFrame, by: tuple[str, ...] = ("AccountMajor",)) -> DataFrame:
     """Rows of the groups without a single exception."""
-    return rows.join(failed_groups(rows, by), list(by), "left_anti")
+    return rows.join(small_side(failed_groups(rows, by)), list(by), "left_anti")
 
 
 def stage(df: DataFrame, spark: SparkSession, name: str, by: tuple[str, ...] = ()) -> DataFrame:
