@@ -13,38 +13,28 @@ from posloom.session import build_session
 HEADLINE = [
     "pos_control_totals",
     "pos_final_rows",
-    "pos_exceptions",
-    "reconcile_rows",
     "gate_clean_accounts",
     "two_pass_cascade",
-    "left_match_strict",
     "left_match_upc",
     "weighted_match",
-    "fanout_by_amount",
     "dedup_first",
     "dedup_if_rows",
     "preagg_drop_null_keys",
     "master_invalid_items",
     "period_report",
-    "week_totals",
     "header_promotion",
     "normalise_text",
     "acct_amazon",
     "acct_bbb",
     "acct_depot",
     "acct_kmart",
-    "acct_marketplace",
-    "acct_meijer",
     "acct_nordstrom",
-    "acct_sams",
     "acct_sears",
     "acct_target",
     "acct_walmart",
     "acct_wmcom_rl",
-    "acct_wmcom_ts",
     "acct_amazon_reference",
     "acct_bbb_reference",
-    "acct_target_reference",
 ]
 RUNS = 3
 

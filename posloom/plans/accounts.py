@@ -497,7 +497,7 @@ LEGACY_MEIJER = AccountSpec(
         "SalesLastYear": "Sales: $ LY",
         "SalesChange": "Sales: $ % Diff TYLY",
     },
-    money_columns=("POSAmount", "POSQuantity", "SalesLastYear", "SalesChange"),
+    money_columns=("POSAmount", "SalesLastYear", "SalesChange"),
     prepare=_legacy_meijer,
     passes=(
         Pass("CustItemNumber", "vendor_item", "upc12"),

@@ -116,6 +116,8 @@ def ungrouped(spec: AccountSpec, rows: DataFrame, mode: str = STRICT) -> DataFra
         value, is_text = _raw(rows, source)
         if name in spec.money_columns:
             columns[name] = num.money(value, is_text)
+        elif name == "POSQuantity":
+            columns[name] = num.money(value) if is_text else value
         else:
             shown = value if is_text else value.cast("string")
             columns[name] = strip(shown) if name in keys else shown

@@ -13,7 +13,7 @@ from posloom.operators.sets import append
 from posloom.plans.accounts import ACCOUNTS
 from posloom.plans.engine import run_account, sheet_rows
 from posloom.plans.master import Master, master_from_grid, measured
-from posloom.plans.publish import Sinks, publish, stage
+from posloom.plans.publish import Sinks, note_processed, publish, read_ledger, stage
 from posloom.plans.spec import STRICT, AccountSpec
 from posloom.sources import files as listing
 from posloom.sources import grid as g
@@ -32,10 +32,13 @@ def account_tokens(accounts: dict[str, AccountSpec] = ACCOUNTS) -> dict[str, str
     return {token: token for spec in accounts.values() for token in spec.tokens}
 
 
-def select_files(spark: SparkSession, raw_dir: str, tokens: dict[str, str]) -> DataFrame:
-    """The latest workbook per account token."""
+def select_files(
+    spark: SparkSession, raw_dir: str, tokens: dict[str, str], ledger: str | None = None
+) -> DataFrame:
+    """The latest workbook per account token that the ledger does not hold."""
     found = listing.files_of_accounts(listing.list_files(spark, raw_dir, "*.xlsx"), tokens)
-    return listing.latest_per_account(found)
+    latest = listing.latest_per_account(found)
+    return listing.not_processed(latest, read_ledger(spark, ledger)) if ledger else latest
 
 
 def load_grid(spark: SparkSession, files: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -99,14 +102,21 @@ def run(
     run_date: dt.date,
     accounts: dict[str, AccountSpec] = ACCOUNTS,
     mode: str = STRICT,
+    ledger: str | None = None,
 ) -> WeeklyRun:
-    """Find, read, match and publish the latest file of every account."""
+    """Find, read, match and publish the latest file of every account.
+
+    With a ``ledger`` folder, files of published accounts are noted there and
+    left alone by later runs; a file held back by exceptions comes up again.
+    """
     tokens = account_tokens(accounts)
-    files = select_files(spark, raw_dir, tokens)
+    files = select_files(spark, raw_dir, tokens, ledger)
     grid, present = load_grid(spark, files)
     master = load_master(spark, master_path, master_sheet)
     rows = run_grid(grid, present, master, run_date, accounts, mode)
     staged = publish(spark, rows, Sinks.under(out))
+    if ledger:
+        note_processed(files, staged, ledger)
     missing = tuple(t for t in tokens if t not in present)
     return WeeklyRun(staged, files, missing)
 

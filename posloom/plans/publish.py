@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,7 +91,15 @@ def publish(spark: SparkSession, rows: DataFrame, sinks: Sinks) -> DataFrame:
     return staged
 
 
-def note_processed(files: DataFrame, clean: DataFrame, ledger: str) -> None:
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """Files already published; none if nothing ever was."""
+    try:
+        return spark.read.schema("path string").parquet(ledger)
+    except AnalysisException:
+        return spark.createDataFrame([], "path string")
+
+
+def note_processed(files: DataFrame, staged: DataFrame, ledger: str) -> None:
     """Add the files of published accounts to the ledger of finished loads."""
-    done = files.join(clean.select(F.col("src_file").alias("path")).distinct(), "path", "left_semi")
-    done.write.mode("append").parquet(ledger)
+    published = gate(staged).select(F.col("src_file").alias("path")).distinct()
+    files.select("path").join(published, "path", "left_semi").write.mode("append").parquet(ledger)

@@ -72,4 +72,5 @@ class AccountSpec:
     stamps_week: bool = True
     appends_unmatched: bool = False
     second_pass_blanks: tuple[str, ...] = ()
-    money_columns: tuple[str, ...] = ("POSAmount", "POSQuantity")
+    # Columns computed with as exact decimals; all others but the quantity are text.
+    money_columns: tuple[str, ...] = ("POSAmount",)

@@ -32,7 +32,8 @@ def drop(tmp_path_factory):
 @pytest.fixture(scope="module")
 def weekly(spark, drop):
     return job.run(
-        spark, str(drop / "raw"), str(drop / "master.xlsx"), fixtures.MASTER_SHEET, str(drop / "out"), RUN_DATE
+        spark, str(drop / "raw"), str(drop / "master.xlsx"), fixtures.MASTER_SHEET, str(drop / "out"), RUN_DATE,
+        ledger=str(drop / "ledger"),
     )
 
 
@@ -135,6 +136,13 @@ def test_rerun_replaces_its_folders(spark, drop, weekly):
     assert read(spark, drop / "out/processed_tsv", "\t").count() == before
 
 
+def test_published_files_do_not_come_up_again(spark, drop, weekly):
+    again = job.select_files(spark, str(drop / "raw"), job.account_tokens(), str(drop / "ledger"))
+    assert {r.account for r in again.collect()} == {
+        "amazon", "bbbmainline", "depot", "kmart", "marketplace", "nordstrom", "sears", "target", "wmcom",
+    }
+
+
 def test_missing_accounts_are_named(weekly):
     assert weekly.missing == ("bbbmaxi",)
 
