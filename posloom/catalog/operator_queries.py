@@ -16,7 +16,7 @@ from posloom.functions import text
 from posloom.operators import control, dedup, fanout, filters, lookup, membership, reshape, sets
 from posloom.plans.consolidated import consolidated_outcomes
 from posloom.plans.master import Master, measured
-from posloom.plans.publish import gate
+from posloom.plans.publish import gate, stage
 
 WITH = v.common_sql()
 ROW = ["src_file", "src_sheet", "src_row"]
@@ -134,7 +134,9 @@ def _(spark, sf_dir):
     "AND x.src_file = o.src_file AND x.src_sheet = o.src_sheet) GROUP BY ALL",
 )
 def _(spark, sf_dir):
-    passed = gate(outcomes(spark, sf_dir), ("account", "src_file", "src_sheet"))
+    # As in publishing: outcomes are computed once, staged, and read by the gate.
+    rows = outcomes(spark, sf_dir).select("account", "src_file", "src_sheet", "outcome")
+    passed = gate(stage(rows, spark, "outcomes"), ("account", "src_file", "src_sheet"))
     return passed.groupBy("account", "src_file", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
