@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from posloom.llm import exact_dedup, mixing, quality, sharding
+from posloom.llm import exact_dedup, mixing, packing, quality, sharding
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op4_quality_rules": quality.op4_quality_rules,
     "op8_shard_shuffle": sharding.op8_shard_shuffle,
