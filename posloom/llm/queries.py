@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from posloom.llm import exact_dedup, mixing, packing, quality, sharding, toxicity, warc
+from posloom.llm import exact_dedup, mixing, packing, quality, sharding, substring, toxicity, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_shard_shuffle": sharding.op8_shard_shuffle,
+    "op9_repeated_substrings": substring.op9_repeated_substrings,
     "op10_warc_revisits": warc.op10_warc_revisits,
 }
 TWIN_SQL = {"op1_exact_dedup": exact_dedup.OP1_SQL, "op10_warc_revisits": warc.OP10_SQL}
