@@ -217,11 +217,11 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram
     found = docs.select(*KEY, "data").mapInArrow(
         _sampled(length, gram, schema), ", ".join(f"{n} long" for n in (*KEY, *longs))
     )
-    known = scratch.stage(found)
+    found = scratch.stage(found)
     inside = (F.col("h1") != 0) | (F.col("h2") != 0)
-    known = known.withColumns({"h1": _unless_inside(inside, F.col("h1"), 1), "h2": _unless_inside(inside, F.col("h2"), 2)})
+    known = found.withColumns({"h1": _unless_inside(inside, F.col("h1"), 1), "h2": _unless_inside(inside, F.col("h2"), 2)})
     same = scratch.stage(known.join(_shared(known, "c1"), "c1", "left_semi"))
-    scratch.forget(known)
+    scratch.forget(found)
     judged = scratch.stage(_judged(same, "h1", "h2").drop("h1", "h2"))
     scratch.forget(same)
     spans = judged.filter("chief IS NOT NULL").select(

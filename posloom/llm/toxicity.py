@@ -234,16 +234,7 @@ def fit_curve(features: np.ndarray, labels: np.ndarray, penalty: float = 1e-2, s
     return weights
 
 
-class Model:
-    """Lexicon and curve, small enough to be sent to every task."""
-
-    def __init__(self, lexicon: dict[str, float], curve: np.ndarray):
-        self.lexicon, self.curve = lexicon, curve
-
-    def score(self, counted: np.ndarray) -> np.ndarray:
-        if not len(counted):
-            return np.zeros(0)
-        return 1 / (1 + np.exp(-np.clip(_features(*counted.T) @ self.curve, -30, 30)))
+Model = tuple[dict[str, float], np.ndarray]  # lexicon and curve, small enough for every task
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -256,13 +247,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         .toPandas()
     )
     if not len(rows):
-        return Model({}, np.asarray([-30.0, 0, 0, 0, 0]))
+        return {}, np.asarray([-30.0, 0, 0, 0, 0])
     toxic = rows["toxic"].to_numpy(float)
     if not lexicon or toxic.min() == toxic.max():
         odds = min(max(toxic.mean(), 1e-9), 1 - 1e-9)
-        return Model({}, np.asarray([math.log(odds / (1 - odds)), 0, 0, 0, 0]))
+        return {}, np.asarray([math.log(odds / (1 - odds)), 0, 0, 0, 0])
     counted = rows[["words", "hits", "weight"]].to_numpy(float)
-    return Model(lexicon, fit_curve(_features(*counted.T), toxic))
+    return lexicon, fit_curve(_features(*counted.T), toxic)
 
 
 def _counted(lexicon: dict[str, float], *keep: str):
@@ -284,10 +275,11 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = Matcher(sent.value.lexicon)
+        lexicon, curve = sent.value
+        matcher = Matcher(lexicon)
         for batch in texts:
             counted = np.asarray([matcher.hits(t) for t in batch], dtype=float).reshape(-1, 3)
-            yield pd.Series(sent.value.score(counted))
+            yield pd.Series(1 / (1 + np.exp(-np.clip(_features(*counted.T) @ curve, -30, 30))))
 
     return docs.withColumn("toxicity", score("text"))
 
