@@ -30,7 +30,7 @@ from posloom.llm.common import KEY, Scratch, read_table, row_keyed, words_of
 
 LEVELS = ("domain", "lang", "source")
 SEED = 7_321
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 
 # Production weights: by node, keyed by level and the node's own value.
 WEIGHTS: dict[str, dict[str, float]] = {
@@ -76,16 +76,17 @@ def water_fill(children: DataFrame, parent: list[str], order: str) -> DataFrame:
 def budgets(leaves: DataFrame, total: Column, epochs: int, weights: dict[str, dict[str, float]] = WEIGHTS) -> DataFrame:
     """Leaf budgets; ``leaves`` has the levels and ``tokens``, one row per leaf."""
     nodes = leaves.withColumn("cap", F.col("tokens").cast("double") * epochs)
-    given = nodes.groupBy().agg(F.sum("cap").alias("cap")).select(F.least(total.cast("double"), "cap").alias("given"))
+    given = None
     path: list[str] = []
     for level in LEVELS:
         path_now = [*path, level]
         children = nodes.groupBy(*path_now).agg(F.sum("cap").alias("cap")).withColumn("weight", _weight(level, weights))
-        if path:
+        if given is not None:
             same = [F.col(f"c.{k}").eqNullSafe(F.col(f"p.{k}")) for k in path]
             joined = children.alias("c").join(given.alias("p"), same).select("c.*", F.col("p.given").alias("budget"))
         else:
-            joined = children.join(F.broadcast(given.select(F.col("given").alias("budget"))))  # one row
+            whole = W.partitionBy(F.lit(0))  # the nodes below the root
+            joined = children.withColumn("budget", F.least(total.cast("double"), F.sum("cap").over(whole)))
         given = water_fill(joined, path or [F.lit(0)], level).select(*path_now, "given")
         path = path_now
     return given
