@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from posloom.llm import exact_dedup, mixing, packing, quality, sharding, substring, toxicity, warc
+from posloom.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding, substring, toxicity, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op4_quality_rules": quality.op4_quality_rules,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_shard_shuffle": sharding.op8_shard_shuffle,
     "op9_repeated_substrings": substring.op9_repeated_substrings,
