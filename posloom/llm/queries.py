@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from posloom.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding, substring, toxicity, warc
+from posloom.llm import exact_dedup, language_model, mixing, near_dedup, packing, quality, sharding, substring, toxicity, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_mix_sources": mixing.op3_mix_sources,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_near_dedup": near_dedup.op5_near_dedup,
+    "op6_lm_scoring": language_model.op6_lm_scoring,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_shard_shuffle": sharding.op8_shard_shuffle,
     "op9_repeated_substrings": substring.op9_repeated_substrings,
