@@ -43,6 +43,7 @@ LEXICON_SIZE = 5_000
 FIT_ROWS = 100_000
 PREFIXES = (4, 5, 6, 7, 8)
 MIN_CONTEXTS = 5
+COUNTED_CONTEXTS = 58  # of 64 bits; beyond it the bits tell no number
 MIN_RATIO = 4.0
 MIN_SIGMA = 5.0
 FLUSH_TERMS = 200_000
@@ -161,12 +162,17 @@ def learn_lexicon(training: DataFrame) -> dict[str, float]:
         return {}
     clean, toxic = whole["clean"], whole["toxic"]
     share = toxic / (clean + toxic)
-    expected = (F.col("clean") + F.col("toxic")) * share
-    ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / clean)
+    # Of few preceding words, their number (by linear counting) stands for the
+    # occurrences: copies of a text repeat its words after the same words.
+    spread = -64 * F.log(1 - F.least("contexts", F.lit(COUNTED_CONTEXTS)) / 64)
+    seen = F.when(F.col("contexts") < COUNTED_CONTEXTS, F.least(F.col("toxic"), spread)).otherwise(F.col("toxic"))
+    expected = (F.col("clean") + F.col("seen")) * share
+    ratio = (F.col("seen") / toxic) / ((F.col("clean") + 0.5) / clean)
     chosen = (
         evidence.filter("term <> ''")
+        .withColumn("seen", seen.cast("double"))
         .withColumn("weight", F.log(ratio))
-        .withColumn("sigma", (F.col("toxic") - expected) / F.sqrt(expected))
+        .withColumn("sigma", (F.col("seen") - expected) / F.sqrt(expected))
         .filter((F.col("weight") >= math.log(MIN_RATIO)) & (F.col("sigma") >= MIN_SIGMA))
         .orderBy(F.desc("sigma"), "term")
         .limit(LEXICON_SIZE)  # the lexicon's documented bound
