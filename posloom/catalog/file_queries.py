@@ -119,15 +119,28 @@ def _(spark, sf_dir):
     )
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return stream.select(
+def newest_first(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A stream of a folder's files or of one file, one file a batch, newest first."""
+    one = f"{path[:-1]}[{path[-1]}]"  # a pattern may name a file or a folder of files
+    return (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", 1)
+        .option("latestFirst", True)
+        .parquet(one)
+    )
+
+
+def _event_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """All events, rewritten as files by time, the latest events in the first batch."""
+    events = v.table(spark, sf_dir, "events").select(
         F.col("ts").cast("timestamp").alias("ts"),
         "event_type",
-        F.col("user_id"),
+        "user_id",
         F.col("value").cast("decimal(18,2)").alias("amount"),
     )
+    source = scratch(spark, f"{name}-in")
+    events.repartitionByRange(4, F.desc("ts")).write.parquet(source)
+    return newest_first(spark, source, events.schema)
 
 
 @register(
@@ -137,7 +150,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark, sf_dir):
     base = scratch(spark, "weekly")
-    totals = weekly.weekly_totals(_event_stream(spark, sf_dir), "ts", "event_type", "amount")
+    totals = weekly.weekly_totals(_event_stream(spark, sf_dir, "weekly"), "ts", "event_type", "amount")
     weekly.keep_latest(totals, f"{base}/table", f"{base}/checkpoint").awaitTermination()
     return weekly.latest(spark, f"{base}/table", ["week_ending", "event_type"])
 
@@ -157,14 +170,6 @@ def _(spark, sf_dir):
 @register("run_guard_stream", "SELECT DISTINCT event_type, user_id FROM events")
 def _(spark, sf_dir):
     base = scratch(spark, "guard")
-    runs = guard.first_runs(_event_stream(spark, sf_dir), "ts", ["event_type", "user_id"])
-    query = (
-        runs.select("event_type", "user_id")
-        .writeStream.format("parquet")
-        .option("path", f"{base}/table")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.parquet(f"{base}/table")
+    runs = _event_stream(spark, sf_dir, "guard").select("event_type", "user_id")
+    guard.keep_first_runs(runs, ["event_type", "user_id"], f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/table").drop("batch")

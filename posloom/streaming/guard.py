@@ -1,10 +1,42 @@
-"""Each account, week and file is let through once."""
+"""Each account, week and file is let through once, however late a repeat comes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-def first_runs(runs: DataFrame, time: str, keys: list[str], within: str = "35 days") -> DataFrame:
-    """A stream of run requests without those repeated within the given time."""
-    return runs.withWatermark(time, within).dropDuplicatesWithinWatermark(keys)
+from posloom.streaming.tables import batches_before
+
+
+def first_runs(runs: DataFrame, keys: list[str], seen: DataFrame | None) -> DataFrame:
+    """The run requests of a batch whose keys ``seen`` does not hold, each key once."""
+    new = runs.dropDuplicates(keys)
+    if seen is None:
+        return new
+    known = seen.select(*[F.col(k).alias(f"_seen_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in keys])
+    return new.join(known, same, "left_anti")
+
+
+def keep_first_runs(runs: DataFrame, keys: list[str], table_dir: str, checkpoint: str) -> StreamingQuery:
+    """Write the first request of each key under its batch number, then stop.
+
+    The table written so far is the memory: nothing expires. A batch that is run
+    again is compared with the batches before it and replaces its own folder.
+    """
+    schema = runs.schema
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark: SparkSession = batch.sparkSession
+        seen = batches_before(spark, table_dir, number, schema)
+        first_runs(batch, keys, seen).write.mode("overwrite").parquet(f"{table_dir}/batch={number}")
+
+    return (
+        runs.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from posloom.streaming.tables import batch_numbers, replace_batches
+
 # Epoch day 0 was a Thursday; four days later a Monday-to-Sunday week begins.
 WEEK_START = "4 days"
 
 
 def weekly_totals(
-    rows: DataFrame, time: str, account: str, amount: str, lateness: str | None = "7 days"
+    rows: DataFrame, time: str, account: str, amount: str, lateness: str | None = None
 ) -> DataFrame:
-    """Works on batch and stream alike. With ``lateness`` a stream closes weeks
-    and rows later than that are lost to it; None keeps every week open (state:
-    one row per account and week)."""
+    """Works on batch and stream alike. Every week stays open, so a late sale
+    counts whenever it comes (state: one row per account and week). Only a
+    caller who names a ``lateness`` gives up rows later than that."""
     if rows.isStreaming and lateness:
         rows = rows.withWatermark(time, lateness)
     week = F.window(time, "7 days", startTime=WEEK_START)
@@ -50,10 +52,17 @@ def keep_latest(totals: DataFrame, table_dir: str, checkpoint: str) -> Streaming
 
 def latest(spark: SparkSession, table_dir: str, keys: list[str]) -> DataFrame:
     """The totals of the last batch that touched each key."""
-    table = spark.read.parquet(table_dir)
+    table = spark.read.parquet(table_dir).withColumn("batch", F.col("batch").cast("double"))
     values = [c for c in table.columns if c not in (*keys, "batch")]
     return (
         table.groupBy(*keys)
         .agg(F.max_by(F.struct(*values), "batch").alias("last"))
         .select(*keys, "last.*")
     )
+
+
+def compact(spark: SparkSession, table_dir: str, keys: list[str]) -> None:
+    """One folder of current totals in place of all batch folders. Run it between streams."""
+    names = batch_numbers(spark, table_dir)
+    if len(names) > 1:
+        replace_batches(spark, table_dir, latest(spark, table_dir, keys), names[-1])

@@ -6,6 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from books import write_book
+from posloom.catalog.file_queries import newest_first
 from posloom.streaming import guard, ingest, weekly
 
 
@@ -56,21 +57,40 @@ def test_weekly_totals_grow_with_new_files(spark, tmp_path):
     assert sorted((str(r.week_ending), r.account, float(r.amount), r.row_count) for r in batch.collect()) == load()
 
 
+def test_late_files_count_and_compaction_changes_nothing(spark, tmp_path):
+    """Four files, newest first, one a batch: no sale is too late."""
+    source, table, checkpoint = tmp_path / "in", tmp_path / "table", str(tmp_path / "checkpoint")
+    keys = ["week_ending", "account"]
+
+    def load():
+        stream = newest_first(spark, str(source), EVENTS)
+        weekly.keep_latest(weekly.weekly_totals(stream, "ts", "account", "amount"), str(table), checkpoint).awaitTermination()
+        return totals()
+
+    def totals():
+        return sorted((str(r.week_ending), r.account, r.row_count) for r in weekly.latest(spark, str(table), keys).collect())
+
+    for month in (12, 9, 6, 1):
+        write_events(spark, source, [(dt.datetime(2020, month, 7), "a", 1), (dt.datetime(2020, 1, 7), "a", 1)])
+    want = [("2020-01-11", "a", 5), ("2020-06-06", "a", 1), ("2020-09-12", "a", 1), ("2020-12-12", "a", 1)]
+    assert load() == want
+    weekly.compact(spark, str(table), keys)
+    assert len(list(table.glob("batch=*"))) == 1 and totals() == want
+    write_events(spark, source, [(dt.datetime(2020, 1, 8), "a", 1)])
+    assert load() == [("2020-01-11", "a", 6), *want[1:]]
+
+
 def test_run_guard_lets_a_run_through_once(spark, tmp_path):
     source, table, checkpoint = tmp_path / "in", tmp_path / "table", str(tmp_path / "checkpoint")
 
     def load():
-        stream = spark.readStream.schema(EVENTS).parquet(str(source)).withColumn("week", F.to_date("ts"))
-        query = (
-            guard.first_runs(stream, "ts", ["account", "week"])
-            .writeStream.format("parquet").option("path", str(table)).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start()
-        )
-        query.awaitTermination()
-        return sorted((r.account, str(r.week)) for r in spark.read.parquet(str(table)).collect())
-
-    day = dt.datetime(2020, 2, 22, 1, 0)
-    write_events(spark, source, [(day, "a", 1), (day, "a", 2)])
-    assert load() == [("a", "2020-02-22")]
-    write_events(spark, source, [(day, "a", 3), (day, "b", 3)])
-    assert load() == [("a", "2020-02-22"), ("b", "2020-02-22")]
+        stream = newest_first(spark, str(source), EVENTS).select("account", F.to_date("ts").alias("week"))
+        guard.keep_first_runs(stream, ["account", "week"], str(table), checkpoint).awaitTermination()
+        return sorted((str(r.account), str(r.week)) for r in spark.read.parquet(str(table)).collect())
+
+    day, other = dt.datetime(2020, 2, 22, 1, 0), dt.datetime(2020, 12, 1)
+    write_events(spark, source, [(day, "a", 1), (day, "a", 2), (day, None, 2)])
+    assert load() == [("None", "2020-02-22"), ("a", "2020-02-22")]
+    write_events(spark, source, [(other, "a", 3)])
+    write_events(spark, source, [(day, "a", 3), (day, "b", 3), (day, None, 1)])
+    assert load() == [("None", "2020-02-22"), ("a", "2020-02-22"), ("a", "2020-12-01"), ("b", "2020-02-22")]
