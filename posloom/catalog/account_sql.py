@@ -65,12 +65,12 @@ _BBB_SOLD = (
 
 def _bbb_feed(where: str) -> str:
     return (
-        f"SELECT min(src_file) AS src_file, min(src_sheet) AS src_sheet, min(src_row) AS src_row, "
+        f"SELECT src_file, min(src_sheet) AS src_sheet, min(src_row) AS src_row, "
         "CustItemNumber, CustItemDesc, UPC, AvgRetail, CustVendStkNo, "
         f"CAST(sum({half_even('amount')}) AS DECIMAL(18,4)) AS POSAmount, "
         f"CAST(sum({whole('units')}) AS INT) AS POSQuantity FROM ({_BBB_SOLD}) "
         f"WHERE (\"Concept\" IS NULL OR \"Concept\" <> 'Total') AND (amount IS NULL OR amount <> 0) {where} "
-        "GROUP BY CustItemNumber, CustItemDesc, UPC, AvgRetail, CustVendStkNo"
+        "GROUP BY src_file, CustItemNumber, CustItemDesc, UPC, AvgRetail, CustVendStkNo"
     )
 
 
@@ -124,7 +124,7 @@ TWINS: dict[str, Twin] = {
         final={"CustVendStkNo": "''"},
         dedup="amount",
         keys="CustItemNumber, UPC, AvgRetail, POSAmount, POSQuantity, CustVendStkNo",
-        order="CustItemNumber, CustItemDesc, UPC, AvgRetail, CustVendStkNo",
+        order="src_file, CustItemNumber, CustItemDesc, UPC, AvgRetail, CustVendStkNo",
     ),
     "depot": Twin(
         major="HOME DEPOT",

@@ -194,7 +194,7 @@ BBB = AccountSpec(
     passes=(Pass("UPC", "upc12", "short_brand"),),
     dedup="amount",
     dedup_keys=("CustItemNumber", "UPC", "AvgRetail", "POSAmount", "POSQuantity", "CustVendStkNo"),
-    dedup_order=("CustItemNumber", "CustItemDesc", "UPC", "AvgRetail", "CustVendStkNo"),
+    dedup_order=("src_file", "CustItemNumber", "CustItemDesc", "UPC", "AvgRetail", "CustVendStkNo"),
     constants={"CustVendStkNo": ""},
 )
 

@@ -98,10 +98,12 @@ def conform(spec: AccountSpec, rows: DataFrame, mode: str = STRICT) -> DataFrame
     """The feed as it is matched: typed, filtered, derived and grouped."""
     feed = ungrouped(spec, rows, mode)
     if spec.group_by:
-        source_columns = [c for c in SOURCE_ORDER if c in feed.columns]
+        # Each file is grouped by itself: it is judged and published by itself.
+        by_file = [c for c in ("src_file",) if c in feed.columns]
+        source_columns = [c for c in SOURCE_ORDER if c in feed.columns and c not in by_file]
         feed = control.pre_aggregate(
             feed,
-            list(spec.group_by),
+            [*by_file, *spec.group_by],
             ["POSAmount", "POSQuantity"],
             **{c: F.min(c) for c in source_columns},
         ).withColumns({"POSAmount": F.col("POSAmount").cast(MONEY), "POSQuantity": num.whole(F.col("POSQuantity"))})
@@ -280,7 +282,7 @@ def _first_pass(
     step = spec.passes[0]
     on = [(step.feed_key, "m1_key")]
     keys = list(spec.dedup_keys)
-    order = list(spec.dedup_order) or [c for c in SOURCE_ORDER if c in feed.columns]
+    order = [c for c in spec.dedup_order or SOURCE_ORDER if c in feed.columns]
 
     def plain(part: DataFrame) -> DataFrame:
         return fan_out_join(part, _dimension(master.rows, step, 1), on, master_bytes=master.size)

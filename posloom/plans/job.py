@@ -47,14 +47,20 @@ def load_grid(spark: SparkSession, files: DataFrame) -> tuple[DataFrame, list[st
     Only paths come to the driver, one per account token, to name the files to
     open; that is the file listing any reader makes.
     """
-    chosen = files.select("account", "path").collect()
-    tokens = {row["path"]: row["account"] for row in chosen}
-    if not tokens:
+    pairs = [(row["path"], row["account"]) for row in files.select("account", "path").collect()]
+    if not pairs:
         raise FileNotFoundError("no workbook of any account found")
-    grid = decode(spark.read.format("binaryFile").load(list(tokens)))
-    by_path = spark.createDataFrame(list(tokens.items()), "path string, token string")
-    keyed = grid.join(F.broadcast(by_path), "path")
-    return stage(keyed, spark, "grid", ("token",)), sorted(set(tokens.values()))
+    grid = decode(spark.read.format("binaryFile").load(sorted({path for path, _ in pairs})))
+    by_path = spark.createDataFrame(pairs, "path string, token string")
+    keyed = grid.join(F.broadcast(by_path), "path")  # a file of two accounts goes to both
+    return stage(keyed, spark, "grid", ("token",)), sorted({token for _, token in pairs})
+
+
+def with_majors(files: DataFrame, accounts: dict[str, AccountSpec]) -> DataFrame:
+    """The file list with the account each token publishes under."""
+    majors = [(token, spec.account_major) for spec in accounts.values() for token in spec.tokens]
+    known = files.sparkSession.createDataFrame(sorted(set(majors)), "account string, major string")
+    return files.join(F.broadcast(known), "account")
 
 
 def load_master(spark: SparkSession, path: str, sheet: str, header_row: int = 6) -> Master:
@@ -110,11 +116,11 @@ def run(
     left alone by later runs; a file held back by exceptions comes up again.
     """
     tokens = account_tokens(accounts)
-    files = select_files(spark, raw_dir, tokens, ledger)
+    files = with_majors(select_files(spark, raw_dir, tokens, ledger), accounts)
     grid, present = load_grid(spark, files)
     master = load_master(spark, master_path, master_sheet)
     rows = run_grid(grid, present, master, run_date, accounts, mode)
-    staged = publish(spark, rows, Sinks.under(out))
+    staged = publish(spark, rows, Sinks.under(out), files)
     if ledger:
         note_processed(files, staged, ledger)
     missing = tuple(t for t in tokens if t not in present)

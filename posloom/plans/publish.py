@@ -8,15 +8,14 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posloom.operators.control import control_totals
-from posloom.operators.lookup import small_side
-from posloom.plans.engine import exception_rows, final_rows
-from posloom.schema import EXCEPTION, FINAL
+from posloom.plans.engine import exception_rows
+from posloom.schema import CANONICAL, EXCEPTION, FINAL
 from posloom.session import shared_dir
 
 
@@ -43,7 +42,7 @@ def failed_groups(rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
 
 def gate(rows: DataFrame, by: tuple[str, ...] = ("AccountMajor",)) -> DataFrame:
     """Rows of the groups without a single exception."""
-    return rows.join(small_side(failed_groups(rows, by)), list(by), "left_anti")
+    return rows.join(failed_groups(rows, by), list(by), "left_anti")
 
 
 def stage(df: DataFrame, spark: SparkSession, name: str, by: tuple[str, ...] = ()) -> DataFrame:
@@ -54,20 +53,20 @@ def stage(df: DataFrame, spark: SparkSession, name: str, by: tuple[str, ...] = (
     return spark.read.schema(df.schema).parquet(path)
 
 
+PARTITIONS = ("for_account", "for_file", "for_week")
+
+
 def write_text(df: DataFrame, path: str, sep: str = ",") -> None:
-    """Headed text per account and week; a re-run replaces just those folders.
+    """Headed text per account, file token and week; a re-run replaces just those folders.
 
     The partition columns are copies, so the files keep every column. The
     rebalance gives files of even size, however large one account is.
     """
-    keyed = df.withColumns(
-        {"for_account": F.lower("AccountMajor"), "for_week": F.col("WeekEnding").cast("string")}
-    )
     (
-        keyed.hint("rebalance", "for_account", "for_week")
+        df.hint("rebalance", *PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("for_account", "for_week")
+        .partitionBy(*PARTITIONS)
         .option("sep", sep)
         .option("header", True)
         .option("emptyValue", "")
@@ -75,31 +74,78 @@ def write_text(df: DataFrame, path: str, sep: str = ",") -> None:
     )
 
 
-def publish(spark: SparkSession, rows: DataFrame, sinks: Sinks) -> DataFrame:
+def _partition_columns() -> dict:
+    return {
+        "for_account": F.lower("AccountMajor"),
+        "for_file": F.coalesce("token", F.lower("AccountMajor")),
+        "for_week": F.coalesce(F.col("WeekEnding").cast("string"), F.lit("none")),
+    }
+
+
+def clear_partitions(spark: SparkSession, sink: str, keys: set[tuple[str, str, str]]) -> None:
+    """Remove what earlier runs published under ``keys``: (account, token, week), one per file of the run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    pattern = path("/".join([sink, *[f"{name}=*" for name in PARTITIONS]]))
+    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in system.globStatus(pattern) or []:
+        folder = found.getPath()
+        parts = [folder.getParent().getParent(), folder.getParent(), folder]
+        if tuple(unquote(part.getName().partition("=")[2]) for part in parts) in keys:
+            system.delete(folder, True)
+
+
+def with_tokens(rows: DataFrame, files: DataFrame | None) -> DataFrame:
+    """Outcomes with the token of the file they came from; null without a file list.
+
+    The file list has one row per file token of the run.
+    """
+    if files is None or "src_file" not in rows.columns:
+        return rows.withColumn("token", F.lit(None).cast("string"))
+    named = files.select(F.col("path").alias("_path"), F.col("account").alias("_token"), F.col("major").alias("_major"))
+    same = (F.col("src_file") == F.col("_path")) & (F.col("AccountMajor") == F.col("_major"))
+    return rows.join(F.broadcast(named), same, "left").withColumn("token", F.col("_token")).drop("_path", "_token", "_major")
+
+
+def publish(spark: SparkSession, rows: DataFrame, sinks: Sinks, files: DataFrame | None = None) -> DataFrame:
     """Write outcomes of any number of accounts; returns the staged rows.
 
-    An account with exceptions gets only its exceptions written, one without
-    gets its rows (tab separated, and the CSV archive) and control totals.
+    Each account and file token is judged by itself: with exceptions it gets
+    only its exceptions written, without it gets its rows (tab separated, and
+    the CSV archive) and control totals. What an earlier run published for the
+    same account, token and week goes from all four sinks, so a file that now
+    fails is no longer published, and exceptions that are mended are gone.
     """
-    staged = stage(rows, spark, "outcomes", ("AccountMajor", "outcome"))
-    passed = gate(staged).filter(F.col("outcome") == FINAL)
-    clean = final_rows(passed)
-    write_text(exception_rows(staged), sinks.exceptions)
+    staged = stage(with_tokens(rows, files).withColumns(_partition_columns()), spark, "outcomes", ("AccountMajor", "outcome"))
+    by = ("for_account", "for_file")
+    passed = gate(staged, by).filter(F.col("outcome") == FINAL)
+    clean = passed.select(*CANONICAL, *PARTITIONS)
+    run = {tuple(r) for r in staged.select(*PARTITIONS).distinct().collect()}  # one per file and week
+    for sink in (sinks.tsv, sinks.archive_csv, sinks.exceptions, sinks.validation):
+        clear_partitions(spark, sink, run)
+    failed = staged.filter(F.col("outcome") == EXCEPTION)
+    kept = exception_rows(staged).columns
+    write_text(failed.select(*kept, *PARTITIONS), sinks.exceptions)
     write_text(clean, sinks.tsv, "\t")
     write_text(clean, sinks.archive_csv)
-    write_text(control_totals(passed, ("AccountMajor", "WeekEnding")), sinks.validation)
+    write_text(control_totals(passed, ("AccountMajor", "WeekEnding", *PARTITIONS)), sinks.validation)
     return staged
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
-    """Files already published; none if nothing ever was."""
-    try:
-        return spark.read.schema("path string").parquet(ledger)
-    except AnalysisException:
-        return spark.createDataFrame([], "path string")
+    """Files already published, by path and token; none if nothing ever was."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(ledger)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], "path string, account string")
+    return spark.read.schema("path string, account string").parquet(ledger)
 
 
 def note_processed(files: DataFrame, staged: DataFrame, ledger: str) -> None:
-    """Add the files of published accounts to the ledger of finished loads."""
-    published = gate(staged).select(F.col("src_file").alias("path")).distinct()
-    files.select("path").join(published, "path", "left_semi").write.mode("append").parquet(ledger)
+    """Add the files without exceptions to the ledger of finished loads.
+
+    They come from the file list, so a file whose rows were all filtered out is
+    noted as well.
+    """
+    failed = staged.filter(F.col("outcome") == EXCEPTION).select(
+        F.col("src_file").alias("path"), F.col("AccountMajor").alias("major")
+    ).distinct()
+    files.join(failed, ["path", "major"], "left_anti").select("path", "account").write.mode("append").parquet(ledger)

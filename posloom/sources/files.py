@@ -54,4 +54,5 @@ def newest(files: DataFrame, n: int, time: str = "file_mtime", path: str = "path
 
 def not_processed(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files the ledger of finished loads does not hold yet."""
-    return files.join(ledger.select("path").distinct(), "path", "left_anti")
+    keys = [c for c in ("path", "account") if c in files.columns and c in ledger.columns]
+    return files.join(ledger.select(*keys).distinct(), keys, "left_anti")

@@ -114,7 +114,7 @@ def read(spark, path, sep=","):
 def test_only_clean_accounts_are_published(spark, drop, weekly):
     clean = set(FINAL) - set(EXCEPTIONS)
     tsv = read(spark, drop / "out/processed_tsv", "\t")
-    assert tsv.columns == [*CANONICAL, "for_account", "for_week"]
+    assert tsv.columns == [*CANONICAL, "for_account", "for_file", "for_week"]
     assert {r.AccountMajor for r in tsv.collect()} == clean
     assert tsv.count() == sum(len(FINAL[a]) for a in clean) == read(spark, drop / "out/archive_csv").count()
     failed = read(spark, drop / "out/exceptions")
@@ -136,6 +136,64 @@ def test_rerun_replaces_its_folders(spark, drop, weekly):
     assert read(spark, drop / "out/processed_tsv", "\t").count() == before
 
 
+def outcome(account, name, kind, amount="1"):
+    row = dict.fromkeys(CANONICAL)
+    row |= {"AccountMajor": account, "POSAmount": Decimal(amount), "POSQuantity": 1, "WeekEnding": WEEK}
+    return (name, 0, 1, *row.values(), kind, None if kind == "final" else "no_key", None, 1)
+
+
+def published(spark, rows, files, out):
+    from posloom.plans.publish import Sinks, publish
+
+    kinds = {"POSAmount": "decimal(18,4)", "POSQuantity": "int", "WeekEnding": "date"}
+    schema = "src_file string, src_sheet int, src_row bigint, " + ", ".join(f"{c} {kinds.get(c, 'string')}" for c in CANONICAL)
+    frame = spark.createDataFrame(rows, schema + ", outcome string, reason string, match_pass int, counted int")
+    named = spark.createDataFrame(files, "path string, account string, major string")
+    sinks = Sinks.under(str(out))
+    staged = publish(spark, frame, sinks, named)
+
+    def held(path, sep=","):
+        try:
+            return sorted({(r.for_account, r.for_file) for r in read(spark, path, sep).collect()})
+        except Exception as error:  # an empty sink has no schema to read
+            assert "UNABLE_TO_INFER_SCHEMA" in str(error) or "PATH_NOT_FOUND" in str(error), error
+            return []
+
+    return staged, named, [held(sinks.tsv, "\t"), held(sinks.archive_csv), held(sinks.exceptions), held(sinks.validation)]
+
+
+def test_a_rerun_unpublishes_what_fails_now(spark, tmp_path):
+    files = [("f1", "amazon", "AMAZON"), ("f2", "sears", "SEARS")]
+    good, bad = [("amazon", "amazon")], [("sears", "sears")]
+    rows = [outcome("AMAZON", "f1", "final"), outcome("SEARS", "f2", "final"), outcome("SEARS", "f2", "exception")]
+    assert published(spark, rows, files, tmp_path)[2] == [good, good, bad, good]
+    rows = [outcome("AMAZON", "f1", "exception"), outcome("SEARS", "f2", "final")]
+    assert published(spark, rows, files, tmp_path)[2] == [bad, bad, good, bad]
+
+
+def test_two_files_of_one_account_are_published_by_themselves(spark, tmp_path):
+    from posloom.plans.publish import note_processed, read_ledger
+
+    main, maxi = ("f1", "bbbmainline", "BUY BUY BABY"), ("f2", "bbbmaxi", "BUY BUY BABY")
+    first = [("buy buy baby", "bbbmainline")]
+    staged, files, held = published(spark, [outcome("BUY BUY BABY", "f1", "final")], [main, ("f3", "sams", "SAMS")], tmp_path)
+    assert held == [first, first, [], first]
+    ledger = str(tmp_path / "ledger")
+    assert read_ledger(spark, ledger).count() == 0
+    note_processed(files, staged, ledger)  # a file without rows is done as well
+    assert sorted(r.account for r in read_ledger(spark, ledger).collect()) == ["bbbmainline", "sams"]
+    failed = published(spark, [outcome("BUY BUY BABY", "f2", "exception")], [maxi], tmp_path)[2]
+    assert failed == [first, first, [("buy buy baby", "bbbmaxi")], first]
+
+
+def test_a_file_of_two_accounts_reaches_both(spark, drop, tmp_path):
+    write_book(tmp_path / "Sears Kmart.xlsx", next(iter(fixtures.FILES.values())))
+    files = job.select_files(spark, str(tmp_path), job.account_tokens())
+    grid, tokens = job.load_grid(spark, files)
+    assert tokens == ["kmart", "sears"]
+    assert {r.token: r["count"] for r in grid.groupBy("token").count().collect()}.keys() == {"kmart", "sears"}
+
+
 def test_published_files_do_not_come_up_again(spark, drop, weekly):
     again = job.select_files(spark, str(drop / "raw"), job.account_tokens(), str(drop / "ledger"))
     assert {r.account for r in again.collect()} == {
