@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from posloom.catalog import views as v
+from posloom.schema import PREMIUM_BRANDS
 
 WEEK = "'2020-02-22'"
 SRC = "src_file, src_sheet, src_row"
@@ -343,7 +344,7 @@ def _columns(t: Twin, item: str, brand: str, outcome: str, reason: str, passed:
             fed = f"CASE WHEN {is_final} THEN {t.final[c]} ELSE {fed} END"
         out.append(f"{fed} AS {c}")
     week = "CAST(NULL AS VARCHAR)" if mode == "reference" and not t.stamps_week else WEEK
-    premium = "'MAXI COSI','QUINNY','Bebe Confort','Baby Art','Hoppop','TINY LOVE'"
+    premium = ", ".join(f"'{brand}'" for brand in PREMIUM_BRANDS)
     out += [
         f"CASE WHEN {is_final} THEN '' END AS ItemID",
         f"CASE WHEN {is_final} THEN {item} END AS ItemNumber",
@@ -388,13 +389,20 @@ def strict_sql(account: str) -> str:
     return f"{sql} SELECT {columns} FROM feed{joins}"
 
 
+def _null_key_once(key: str) -> str:
+    return (
+        f"(SELECT * FROM master QUALIFY {key} IS NOT NULL "
+        f"OR row_number() OVER (PARTITION BY {key} ORDER BY master_row) = 1)"
+    )
+
+
 def reference_sql(account: str) -> str:
     t = TWINS[account]
     sql = _base(account, "reference")
     feed_key, key, flag = t.passes[0]
     sql += (
         ", joined AS (SELECT feed.*, item_number, short_brand, master_row AS m1_row, "
-        f"({flag} IS NOT NULL) AS hit FROM feed LEFT JOIN master ON feed.{feed_key} IS NOT DISTINCT FROM {key})"
+        f"({flag} IS NOT NULL) AS hit FROM feed LEFT JOIN {_null_key_once(key)} ON feed.{feed_key} IS NOT DISTINCT FROM {key})"
     )
     number = f"row_number() OVER (PARTITION BY {t.keys} ORDER BY {t.order}, m1_row)"
     kept = {
@@ -423,7 +431,7 @@ def reference_sql(account: str) -> str:
     sql += (
         ", retried AS (SELECT r.*, m.item_number AS i2, m.short_brand AS b2, m.master_row AS m2_row, "
         f"(m.{flag} IS NOT NULL) AS hit2 FROM (SELECT * FROM merged WHERE NOT hit) r "
-        f"LEFT JOIN master m ON r.{feed_key} IS NOT DISTINCT FROM m.{key})"
+        f"LEFT JOIN {_null_key_once(key)} m ON r.{feed_key} IS NOT DISTINCT FROM m.{key})"
     )
     reason = "CASE WHEN m2_row IS NULL THEN 'no_key' ELSE 'null_flag' END"
     second = _columns(

@@ -17,11 +17,12 @@ from posloom.operators import control, dedup, fanout, filters, lookup, membershi
 from posloom.plans.consolidated import consolidated_outcomes
 from posloom.plans.master import Master, measured
 from posloom.plans.publish import gate, stage
+from posloom.schema import PREMIUM_BRANDS
 
 WITH = v.common_sql()
 ROW = ["src_file", "src_sheet", "src_row"]
 ROW_SQL = ", ".join(ROW)
-PREMIUM = "('MAXI COSI','QUINNY','Bebe Confort','Baby Art','Hoppop','TINY LOVE')"
+PREMIUM = "({})".format(", ".join(f"'{brand}'" for brand in PREMIUM_BRANDS))
 WEEK = dt.date(2020, 2, 22)
 
 
@@ -385,17 +386,11 @@ def _(spark, sf_dir):
 
 @register(
     "item_measure_cross",
-    "SELECT p_partkey, measure FROM part CROSS JOIN (SELECT unnest(['view', 'units', 'dollars']) AS measure "
-    "UNION SELECT event_type FROM events WHERE event_type IS NOT NULL)",
+    "SELECT p_partkey, measure FROM part CROSS JOIN (SELECT unnest(['view', 'units', 'dollars', 'margin']) AS measure)",
 )
 def _(spark, sf_dir):
-    measures = sets.seeded_values(
-        ["view", "units", "dollars"],
-        v.table(spark, sf_dir, "events").select(F.col("event_type").alias("measure")),
-        "measure",
-    )
     items = v.table(spark, sf_dir, "part").select("p_partkey")
-    return sets.each_with_all(items, measures, "measure")
+    return sets.each_with_all(items, ["view", "units", "dollars", "margin", "units"], "measure")
 
 
 # --- duplicates -------------------------------------------------------------

@@ -297,39 +297,49 @@ def _(spark, sf_dir):
 # --- reshapes ---------------------------------------------------------------
 
 
+# Every third order has no price.
+SOME_PRICE = "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END"
+
+
 @register(
     "pivot_first",
-    "SELECT o_custkey, arg_min(o_totalprice, o_orderkey) FILTER (o_orderstatus = 'F') AS F, "
-    "arg_min(o_totalprice, o_orderkey) FILTER (o_orderstatus = 'O') AS O, "
-    "arg_min(o_totalprice, o_orderkey) FILTER (o_orderstatus = 'P') AS P FROM orders GROUP BY o_custkey",
+    "SELECT o_custkey, arg_min(price, o_orderkey) FILTER (o_orderstatus = 'F') AS F, "
+    "arg_min(price, o_orderkey) FILTER (o_orderstatus = 'O') AS O, "
+    f"arg_min(price, o_orderkey) FILTER (o_orderstatus = 'P') AS P FROM (SELECT *, {SOME_PRICE} AS price FROM orders) "
+    "GROUP BY o_custkey",
 )
 def _(spark, sf_dir):
-    orders = v.table(spark, sf_dir, "orders")
+    orders = v.table(spark, sf_dir, "orders").withColumn("price", F.expr(SOME_PRICE))
     return reshape.pivot_first(
-        orders, ["o_custkey"], "o_orderstatus", "o_totalprice", F.col("o_orderkey"), ["F", "O", "P"]
+        orders, ["o_custkey"], "o_orderstatus", "price", F.col("o_orderkey"), ["F", "O", "P"]
     )
 
 
 @register(
     "first_per_group",
-    "SELECT o_custkey, o_orderstatus, arg_min(o_totalprice, o_orderkey) AS first_price FROM orders GROUP BY ALL",
+    f"SELECT o_custkey, o_orderstatus, arg_min(price, o_orderkey) AS first_price FROM (SELECT *, {SOME_PRICE} AS price "
+    "FROM orders) GROUP BY ALL",
 )
 def _(spark, sf_dir):
-    return v.table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderstatus").agg(
-        F.min_by("o_totalprice", "o_orderkey").alias("first_price")
+    orders = v.table(spark, sf_dir, "orders").withColumn("price", F.expr(SOME_PRICE))
+    return orders.groupBy("o_custkey", "o_orderstatus").agg(
+        reshape.first_known("price", F.col("o_orderkey")).alias("first_price")
     )
 
 
+# The event types there are; any other fails the query.
+EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
+
+
 @register(
     "pivot_measures",
-    "SELECT user_id, CAST(sum(amount) FILTER (event_type = 'view') AS DOUBLE) AS view, "
-    "CAST(sum(amount) FILTER (event_type = 'click') AS DOUBLE) AS click, "
-    "CAST(sum(amount) FILTER (event_type = 'purchase') AS DOUBLE) AS purchase FROM "
-    "(SELECT *, CAST(value AS DECIMAL(18,2)) AS amount FROM events) GROUP BY user_id",
+    "SELECT user_id, "
+    + ", ".join(f"CAST(sum(amount) FILTER (event_type = '{t}') AS DOUBLE) AS {t}" for t in EVENT_TYPES)
+    + " FROM (SELECT *, CAST(value AS DECIMAL(18,2)) AS amount FROM events) GROUP BY user_id",
 )
 def _(spark, sf_dir):
     events = v.table(spark, sf_dir, "events").withColumn("amount", F.col("value").cast("decimal(18,2)"))
-    return reshape.pivot_sum(events, ["user_id"], "event_type", "amount", ["view", "click", "purchase"])
+    return reshape.pivot_sum(events, ["user_id"], "event_type", "amount", EVENT_TYPES)
 
 
 @register("key_groups", "SELECT DISTINCT user_id, event_type FROM events")
@@ -338,7 +348,8 @@ def _(spark, sf_dir):
 
 
 # Items by measure, one column per year: the sheet the period report starts from.
-PERIODS = ["1996", "1997", "1998"]
+# The years with sales; a sale of any other fails the query.
+PERIODS = ["1995", "1996", "1997", "1998", "1999", "2000", "2001"]
 SHEET = {
     "Item Nbr": f"CASE WHEN l_tax = 0.08 THEN 'Inventory' WHEN l_tax = 0 THEN NULL ELSE {v.ITEM} END",
     "Item Desc 1": v.TITLE,
@@ -355,7 +366,9 @@ ITEM_ROWS = '"Item Nbr" IS NOT NULL AND "Item Nbr" <> \'Inventory\''
 
 
 def period_sheet(spark, sf_dir):
-    return v.table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS `{n}`" for n, e in SHEET.items()])
+    year = "CASE WHEN year(l_shipdate) IN ({}) THEN l_partkey ELSE raise_error(concat('no period: ', l_shipdate)) END"
+    sales = v.table(spark, sf_dir, "lineitem").withColumn("l_partkey", F.expr(year.format(", ".join(PERIODS))))
+    return sales.selectExpr(*[f"{e} AS `{n}`" for n, e in SHEET.items()])
 
 
 @register(

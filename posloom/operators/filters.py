@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from posloom.operators.lookup import small_side
 
 def drop_any_null(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     return df.na.drop("any", subset=subset)
@@ -33,7 +32,7 @@ def drop_last_row(df: DataFrame, sheet_keys: list[str], row: str) -> DataFrame:
     so that one huge sheet never has to sit in a single window partition.
     """
     last = df.groupBy(*sheet_keys).agg(F.max(row).alias("_last_row"))
-    joined = df.join(small_side(last), sheet_keys)
+    joined = df.join(last, sheet_keys)
     return joined.filter(F.col(row) < F.col("_last_row")).drop("_last_row")
 
 

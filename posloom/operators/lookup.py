@@ -40,22 +40,26 @@ def fits_broadcast(df: DataFrame, size: int | None = None) -> bool:
     return size <= broadcast_limit(df.sparkSession)
 
 
-def small_side(df: DataFrame, size: int | None = None) -> DataFrame:
-    """``df`` marked for broadcast if its measured size allows it, else as it
-    is: a shuffle join, whose heavy partitions adaptive execution splits."""
-    return F.broadcast(df) if fits_broadcast(df, size) else df
+def small_side(df: DataFrame, size: int | None) -> DataFrame:
+    """``df`` marked for broadcast if the size measured earlier allows it, else as
+    it is: a join whose side adaptive execution still sends to all tasks if it
+    turns out small. Nothing is run here to find a size."""
+    return F.broadcast(df) if size is not None and fits_broadcast(df, size) else df
 
 
-def first_match(
-    master: DataFrame, key: str, order: list[str | Column], require: str | None = None
-) -> DataFrame:
-    """The master with one row per key: the first by ``order``.
+def first_match(master: DataFrame, key: str, order: list[str | Column]) -> DataFrame:
+    """The master with one row per key: the first by ``order``."""
+    return first_per_key(master, [key], order)
+
 
-    With ``require`` only rows where that column is filled take part.
+def null_key_once(master: DataFrame, key: str, order: str = "master_row") -> DataFrame:
+    """The master with every keyed row, but only the first row without a key.
+
+    A plain merge in which NULL meets NULL then gives a feed row without key one
+    partner, not each keyless master row: its result grows with the feed.
     """
-    if require:
-        master = master.filter(F.col(require).isNotNull())
-    return first_per_key(master, [key], order)
+    keyless = master.filter(F.col(key).isNull()).orderBy(order).limit(1)
+    return master.filter(F.col(key).isNotNull()).unionByName(keyless)
 
 
 def _condition(feed: DataFrame, dim: DataFrame, on: list[tuple[str, str]], null_safe: bool):

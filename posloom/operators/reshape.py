@@ -18,12 +18,29 @@ def to_long(
 def pivot_first(
     df: DataFrame, index: list[str], key: str, value: str, order: Column, keys: list
 ) -> DataFrame:
-    """One column per key value, holding the first value by ``order``."""
-    return df.groupBy(*index).pivot(key, keys).agg(F.min_by(value, order))
+    """One column per key value, holding the first known value by ``order``.
+
+    A key value that ``keys`` does not list fails the job by name.
+    """
+    known = df.withColumn(key, listed(key, keys))
+    return known.groupBy(*index).pivot(key, keys).agg(first_known(value, order))
 
 
 def pivot_sum(df: DataFrame, index: list[str], key: str, value: str, keys: list) -> DataFrame:
-    return df.groupBy(*index).pivot(key, keys).agg(F.sum(value))
+    known = df.withColumn(key, listed(key, keys))
+    return known.groupBy(*index).pivot(key, keys).agg(F.sum(value))
+
+
+def first_known(value: str, order: Column) -> Column:
+    """The value that is not NULL and comes first by ``order``."""
+    return F.min_by(value, F.when(F.col(f"`{value}`").isNotNull(), order))
+
+
+def listed(column: str, values: list) -> Column:
+    """The column, checked: a value not listed is an error, NULL is no value."""
+    value = F.col(f"`{column}`")
+    unknown = F.raise_error(F.concat(F.lit(f"{column} is not listed: "), value.cast("string")))
+    return F.when(value.isin(*values) | value.isNull(), value).otherwise(unknown.cast("string"))
 
 
 def transposed(

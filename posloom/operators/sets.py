@@ -20,14 +20,14 @@ def seeded_values(seed: list[str], df: DataFrame, column: str) -> DataFrame:
     return listed.unionByName(found).distinct()
 
 
-def each_with_all(df: DataFrame, values: DataFrame, column: str) -> DataFrame:
-    """Every row of ``df`` with every value of a short list (measure names).
+def each_with_all(df: DataFrame, values: list[str], column: str) -> DataFrame:
+    """Every row of ``df`` with every value of the caller's list (measure names).
 
-    The list reaches the rows as one array from a scalar subquery and is
-    exploded in place: no join, no shuffle of ``df``.
+    The list is a constant of the plan and is exploded in place: no join, no
+    shuffle of ``df``, nothing gathered from data.
     """
-    name_list = values.agg(F.sort_array(F.collect_set(column)).alias("names"))
-    return df.select("*", F.explode(name_list.scalar()).alias(column))
+    names = F.array(*[F.lit(value) for value in dict.fromkeys(values)])
+    return df.select("*", F.explode(names).alias(column))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

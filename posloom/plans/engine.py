@@ -19,7 +19,7 @@ from posloom.functions import numbers as num
 from posloom.functions.calendar import week_values
 from posloom.functions.text import strip
 from posloom.operators import control, dedup, fanout
-from posloom.operators.lookup import fan_out_join, first_match, lookup
+from posloom.operators.lookup import fan_out_join, first_match, lookup, null_key_once
 from posloom.plans.master import Master
 from posloom.plans.spec import REFERENCE, STRICT, AccountSpec, Containing, Pass
 from posloom.schema import CANONICAL, EXCEPTION, FINAL, MONEY, OUTCOME, SOURCE_ORDER
@@ -229,8 +229,9 @@ def _decide(matched: DataFrame, feed_columns: list[str], passes: list[int]) -> D
 def match_reference(
     spec: AccountSpec, feed: DataFrame, master: Master, flag_feed: DataFrame | None = None
 ) -> DataFrame:
-    """Outcomes of a plain merge: NULL keys match each other, repeated master
-    keys multiply rows, and duplicates go only where the account says so.
+    """Outcomes of a plain merge: a NULL key matches the first master row without
+    a key, repeated master keys multiply rows, and duplicates go only where the
+    account says so.
 
     ``flag_feed`` has the same keys and amount totals as the feed but may be
     cheaper to read; the question whether duplicates go is put to it.
@@ -245,7 +246,7 @@ def match_reference(
     step = spec.passes[1]
     retried = fan_out_join(
         joined.filter(~_hit(1)).select(*feed.columns),
-        _dimension(master.rows, step, 2),
+        _dimension(null_key_once(master.rows, step.master_key), step, 2),
         [(step.feed_key, "m2_key")],
         master_bytes=master.size,
     )
@@ -284,8 +285,10 @@ def _first_pass(
     keys = list(spec.dedup_keys)
     order = [c for c in spec.dedup_order or SOURCE_ORDER if c in feed.columns]
 
+    items = null_key_once(master.rows, step.master_key)
+
     def plain(part: DataFrame) -> DataFrame:
-        return fan_out_join(part, _dimension(master.rows, step, 1), on, master_bytes=master.size)
+        return fan_out_join(part, _dimension(items, step, 1), on, master_bytes=master.size)
 
     def single(part: DataFrame) -> DataFrame:
         dim = _first_dimension(master, step, 1, prefer_flagged=False)
@@ -306,11 +309,11 @@ def _first_pass(
         return once.unionByName(joined.filter(~_hit(1)))
     if spec.dedup == "rows":
         flag = fanout.rows_multiply(
-            flag_feed, master.rows, step.feed_key, step.master_key, master_bytes=master.size
+            flag_feed, items, step.feed_key, step.master_key, master_bytes=master.size
         )
         return dedup.when_flag(flag, feed, kept_first, single)
     flag = fanout.amount_changes(
-        flag_feed, master.rows, step.feed_key, step.master_key, master_bytes=master.size
+        flag_feed, items, step.feed_key, step.master_key, master_bytes=master.size
     )
     return dedup.when_flag(flag, feed, kept_first, plain)
 

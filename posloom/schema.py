@@ -86,5 +86,3 @@ GRID_SCHEMA = T.StructType(
         T.StructField("cells", T.ArrayType(T.StringType())),
     ]
 )
-
-MASTER_PREFIX = "m_"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -13,9 +14,13 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A side found small once it is there is sent to all tasks instead of shuffled to.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_LOCAL: dict[str, tempfile.TemporaryDirectory] = {}
+
 BROADCAST_LIMIT_KEY = "spark.posloom.broadcastBytes"
 DEFAULT_BROADCAST_LIMIT = 128 * 1024 * 1024
 
@@ -40,12 +45,16 @@ def broadcast_limit(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors see, for checkpoints and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a temporary folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``. Only a session without
+    executors of its own (``local``, ``local[n]``) that has no such setting
+    gets a temporary folder, one for the whole session, removed at its end.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-    return tempfile.mkdtemp(prefix="posloom-")
+    session = spark.sparkContext.applicationId
+    if session not in _LOCAL:
+        _LOCAL[session] = tempfile.TemporaryDirectory(prefix="posloom-", ignore_cleanup_errors=True)
+    return _LOCAL[session].name

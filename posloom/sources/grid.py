@@ -1,8 +1,9 @@
 """From a grid of cells to named columns, as column expressions.
 
 A grid row is (sheet keys, ``row_idx``, ``cells``). A sheet's header meets its
-rows in one join on the sheet keys. The header side has one row per sheet and
-is measured: it is broadcast while it fits, so that the cells need no shuffle.
+rows in one join on the sheet keys. The header side has one row per sheet;
+nothing measures it beforehand, adaptive execution sends it to all tasks when it
+turns out small.
 """
 
 from __future__ import annotations
@@ -10,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from posloom.operators.lookup import small_side
 from posloom.sources.workbook import column_index
 
 SHEET_KEYS = ("path", "sheet_idx")
@@ -115,7 +115,7 @@ def named_rows(
         header = promoted_header(grid, keys)
     else:
         header = header_at(grid, row, keys)
-    below = grid.join(small_side(header), list(keys)).filter(F.col("row_idx") > F.col("_header_row"))
+    below = grid.join(header, list(keys)).filter(F.col("row_idx") > F.col("_header_row"))
     if row is None:
         below = below.filter((F.size("cells") == F.col("_width")) & complete(F.col("cells"))).drop("_width")
     return below.withColumn("row", row_map(F.col("header"), F.col("cells"))).drop(
@@ -173,4 +173,4 @@ def of_layout(
     keys: tuple[str, ...] = SHEET_KEYS,
 ) -> DataFrame:
     chosen = layout_of(grid, signatures, keys).filter(F.col("layout") == layout)
-    return grid.join(small_side(chosen.drop("layout")), list(keys), "left_semi")
+    return grid.join(chosen.drop("layout"), list(keys), "left_semi")

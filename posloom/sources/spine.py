@@ -14,6 +14,14 @@ def date_spine(df: DataFrame, column: str, name: str = "day") -> DataFrame:
     return bounds.select(F.explode(days).alias(name))
 
 
-def with_random_value(df: DataFrame, seed: int, name: str = "value") -> DataFrame:
-    """A standard normal draw per row, fixed by seed and row position."""
-    return df.withColumn(name, F.randn(seed))
+def with_random_value(df: DataFrame, seed: int, key: str, name: str = "value") -> DataFrame:
+    """A standard normal draw per row, fixed by the seed and the row's ``key``.
+
+    Two uniform numbers from hashes of the key make one normal number
+    (Box-Muller), so no partitioning and no repeated task changes a draw.
+    """
+    def uniform(step: int):
+        bits = F.pmod(F.xxhash64(F.lit(seed), F.lit(step), F.col(key)), F.lit(2**52))
+        return (bits.cast("double") + 0.5) / 2.0**52
+
+    return df.withColumn(name, F.sqrt(-2 * F.log(uniform(1))) * F.cos(2 * F.pi() * uniform(2)))

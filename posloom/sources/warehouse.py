@@ -1,26 +1,19 @@
-"""The warehouse's item list over JDBC. Connection options come from the caller."""
+"""The warehouse's item list over JDBC. The query and the connection come from the caller."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The warehouse's item table and the two columns asked for.
-ITEM_QUERY = (
-    "SELECT DISTINCT ITM_IdentifierShortItem AS ItemID, "
-    "LITM_Identifier2ndItem AS ItemNumber FROM ods_f4101_item_master"
-)
-
-
 def read_query(
     spark: SparkSession,
     url: str,
-    query: str = ITEM_QUERY,
+    query: str,
     split_on: str | None = None,
     bounds: tuple[int, int] | None = None,
     splits: int = 1,
     **options: str,
 ) -> DataFrame:
-    """A query's rows; with ``split_on`` the range of that column is read in
+    """Rows of the caller's query; with ``split_on`` the range of that column is read in
     ``splits`` parallel pieces (rows outside ``bounds`` go to the end pieces)."""
     reader = spark.read.format("jdbc").option("url", url).options(**options)
     if split_on is None:

@@ -74,7 +74,9 @@ def to_spark(spark, feed, master):
 
 
 def merged(feed, master, step):
-    items = master.rename(columns=lambda c: f"m_{c}")
+    keyless = master[master[step.master_key].isna()].sort_values("master_row").head(1)
+    items = pd.concat([master[master[step.master_key].notna()], keyless]).sort_values("master_row")
+    items = items.rename(columns=lambda c: f"m_{c}")
     return feed.merge(items, how="left", left_on=step.feed_key, right_on=f"m_{step.master_key}")
 
 

@@ -175,8 +175,12 @@ def test_reshape(spark):
         (0, None, None, "oranges"), (1, "bananas", None, None), (2, None, "apples", None),
         (3, None, None, "grapes"), (4, "kiwis", None, None),
     ]
-    across = reshape.pivot_first(df.withColumn("one", F.lit(1)), ["one"], "key", "val", F.col("i"), ["bar", "foo"])
-    assert rows(across) == [(1, "bananas", "oranges")]
+    across = reshape.pivot_first(df.withColumn("one", F.lit(1)), ["one"], "key", "val", F.col("i"), ["bar", "baz", "foo"])
+    assert rows(across) == [(1, "bananas", "apples", "oranges")]
+    late = spark.createDataFrame([("k", 1, None), ("k", 2, 7), (None, 3, 8)], "key string, i int, val int").withColumn("one", F.lit(1))
+    assert rows(reshape.pivot_first(late, ["one"], "key", "val", F.col("i"), ["k"])) == [(1, 7)]
+    with pytest.raises(Exception, match="key is not listed: baz"):
+        rows(reshape.pivot_sum(df, ["i"], "key", "i", ["bar", "foo"]))
     periods = spark.createDataFrame([("x", 1, 2)], "item string, `201901` int, `201902` int")
     assert rows(reshape.to_long(periods, ["item"], ["201901", "201902"], "period", "value")) == [
         ("x", "201901", 1), ("x", "201902", 2),
@@ -192,7 +196,8 @@ def test_sets(spark):
     right = spark.createDataFrame([("b", 2)], "z string, x int")
     assert rows(sets.append(left, right)) == [(1, "a", None), (2, None, "b")]
     measures = sets.seeded_values(["u", "d"], spark.createDataFrame([("d",), ("e",), (None,)], "m string"), "m")
-    crossed = sets.each_with_all(spark.range(2), measures, "m")
+    assert rows(measures) == [("d",), ("e",), ("u",)]
+    crossed = sets.each_with_all(spark.range(2), ["u", "d", "e", "d"], "m")
     assert rows(crossed) == [(i, m) for i in (0, 1) for m in ("d", "e", "u")]
     plan = crossed._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "CartesianProduct" not in plan

@@ -13,10 +13,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
 import __spark_entry__ as entry_points
 from compare import sorted_rows
+from posloom.catalog.queries import QUERIES, TWIN_SQL
 
 DATA = Path("/root/testdata/sf0.001")
-NAMES = list(entry_points.queries())
-WRITES = {"csv_round_trip", "text_records", "publish_round_trip", "weekly_control_stream", "run_guard_stream"}
+NAMES = list(QUERIES)
+WRITES = {
+    "csv_round_trip", "csv_bad_lines_dropped", "text_records", "publish_round_trip", "publish_replaces",
+    "weekly_control_stream", "run_guard_stream", "run_metrics",
+}
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables not present")
 
@@ -31,8 +35,8 @@ def db():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_its_twin(spark, db, name):
-    df = entry_points.queries()[name](spark, str(DATA))
-    twin = db.sql(entry_points.oracle_sql()[name])
+    df = QUERIES[name](spark, str(DATA))
+    twin = db.sql(TWIN_SQL[name])
     mine = sorted_rows(df.columns, [tuple(r) for r in df.collect()])
     assert mine == sorted_rows(twin.columns, twin.fetchall())
 
@@ -43,13 +47,13 @@ def plan(df):
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n not in WRITES])
 def test_no_query_multiplies_rows_blindly(spark, name):
-    text = plan(entry_points.queries()[name](spark, str(DATA)))
+    text = plan(QUERIES[name](spark, str(DATA)))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "PythonUDF" not in text and "BatchEvalPython" not in text
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    df = entry_points.queries()["in_list_filter"](spark, str(DATA))
+    df = QUERIES["in_list_filter"](spark, str(DATA))
     text = plan(df)
     assert re.search(r"PushedFilters: \[.*In\(o_orderpriority", text)
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderpriority:string>" in text
@@ -57,7 +61,7 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_strict_account_run_shuffles_the_master_only(spark):
     """The feed goes from scan to result in one stage."""
-    text = plan(entry_points.queries()["acct_amazon"](spark, str(DATA)))
+    text = plan(QUERIES["acct_amazon"](spark, str(DATA)))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     feed_side = text[: text.index("BroadcastExchange")]
     assert "Exchange hashpartitioning" not in feed_side

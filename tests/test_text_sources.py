@@ -60,20 +60,24 @@ class Session:
 
 
 def test_warehouse_options():
-    plain = warehouse.read_query(Session(), "jdbc:x", user="u")
-    assert plain == {"format": "jdbc", "url": "jdbc:x", "user": "u", "query": warehouse.ITEM_QUERY}
+    plain = warehouse.read_query(Session(), "jdbc:x", "SELECT 2 AS id", user="u")
+    assert plain == {"format": "jdbc", "url": "jdbc:x", "user": "u", "query": "SELECT 2 AS id"}
     split = warehouse.read_query(Session(), "jdbc:x", "SELECT 1 AS id", "id", (1, 9), 4)
     assert split["dbtable"] == "(SELECT 1 AS id) items" and split["numPartitions"] == "4" and "query" not in split
     with pytest.raises(ValueError):
-        warehouse.read_query(Session(), "jdbc:x", split_on="id")
+        warehouse.read_query(Session(), "jdbc:x", "SELECT 1 AS id", split_on="id")
 
 
 def test_date_spine(spark):
     df = spark.createDataFrame([("2020-02-27",), ("2020-03-01",)], "d string")
     days = spine.date_spine(df, "d")
     assert [str(r.day) for r in days.collect()] == ["2020-02-27", "2020-02-28", "2020-02-29", "2020-03-01"]
-    noisy = spine.with_random_value(days, 7)
-    assert noisy.collect() == noisy.collect() and noisy.columns == ["day", "value"]
+    noisy = spine.with_random_value(days, 7, "day")
+    assert noisy.columns == ["day", "value"]
+    assert sorted(noisy.collect()) == sorted(spine.with_random_value(days.repartition(3), 7, "day").collect())
+    draws = [r.value for r in spine.with_random_value(spark.range(4000), 1, "id").collect()]
+    mean = sum(draws) / 4000
+    assert abs(mean) < 0.06 and abs(sum((d - mean) ** 2 for d in draws) / 4000 - 1) < 0.08
 
 
 def test_shared_folder_is_the_one_the_cluster_names(spark):
@@ -84,4 +88,7 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     Cluster.conf = dict({"spark.master": "yarn"})
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Cluster())
-    assert shared_dir(spark)
+    Cluster.conf = dict({"spark.master": "local-cluster[2,1,1024]"})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster())
+    assert shared_dir(spark) == shared_dir(spark)
