@@ -47,6 +47,9 @@ class Twin:
     appends_unmatched: bool = False
     second_blanks: tuple[str, ...] = ()
     feed_reference: str | None = None
+    # Why a feed row is set aside in strict mode (a column of ``feed``).
+    aside: bool = False
+    drops_last_row: bool = False
 
 
 def _feed(columns: str, where: str) -> str:
@@ -97,6 +100,19 @@ _WMCOM = dict(
     stamps_week=False,
 )
 
+_SAMS = (
+    f'SELECT {SRC}, "Item Nbr" AS CustItemNumber, "Item Desc 1" AS CustItemDesc, '
+    '"Vendor Stock Nbr" AS CustVendStkNo, CAST("Total Sell Dollars" AS DECIMAL(18,4)) AS POSAmount, '
+    'CAST(trunc("Total Units Sold") AS INT) AS POSQuantity, '
+    'CASE WHEN "Vendor Stock Nbr" IS NULL OR "Total Sell Dollars" IS NULL THEN \'incomplete_row\' END AS aside FROM raw'
+)
+_WALMART = (
+    f'SELECT {SRC}, CAST("Prime Item Nbr" AS VARCHAR) AS CustItemNumber, "Item Desc 1" AS CustItemDesc, '
+    '"Vendor Stk Nbr" AS CustVendStkNo, CAST("POS Sales 202005" AS DECIMAL(18,4)) AS POSAmount, '
+    'CAST(trunc("POS Qty 202005") AS INT) AS POSQuantity, '
+    'CASE WHEN "POS Sales 202005" IS NULL THEN \'incomplete_row\' END AS aside FROM raw'
+)
+
 TWINS: dict[str, Twin] = {
     "amazon": Twin(
         major="AMAZON",
@@ -206,12 +222,9 @@ TWINS: dict[str, Twin] = {
         major="SAMS",
         account="'SAMS'",
         channel="'Bricks'",
-        feed=(
-            f'SELECT {SRC}, "Item Nbr" AS CustItemNumber, "Item Desc 1" AS CustItemDesc, '
-            '"Vendor Stock Nbr" AS CustVendStkNo, CAST("Total Sell Dollars" AS DECIMAL(18,4)) AS POSAmount, '
-            'CAST(trunc("Total Units Sold") AS INT) AS POSQuantity FROM raw '
-            'WHERE "Vendor Stock Nbr" IS NOT NULL AND "Total Sell Dollars" <> 0'
-        ),
+        feed=_SAMS + ' WHERE "Vendor Stock Nbr" IS NULL OR "Total Sell Dollars" IS NULL OR "Total Sell Dollars" <> 0',
+        feed_reference=_SAMS + ' WHERE "Vendor Stock Nbr" IS NOT NULL AND "Total Sell Dollars" <> 0',
+        aside=True,
         passes=(("CustVendStkNo", "item_number", "brand"),),
         final={"UPC": "''"},
         prefer_flagged=True,
@@ -252,12 +265,10 @@ TWINS: dict[str, Twin] = {
         major="WALMART",
         account="'WALMART'",
         channel="'Bricks'",
-        feed=(
-            f'SELECT {SRC}, CAST("Prime Item Nbr" AS VARCHAR) AS CustItemNumber, "Item Desc 1" AS CustItemDesc, '
-            '"Vendor Stk Nbr" AS CustVendStkNo, CAST("POS Sales 202005" AS DECIMAL(18,4)) AS POSAmount, '
-            'CAST(trunc("POS Qty 202005") AS INT) AS POSQuantity FROM raw '
-            "WHERE \"Dept Category Description\" <> 'DOTCOM' AND \"POS Sales 202005\" <> 0"
-        ),
+        feed=_WALMART + " WHERE \"POS Sales 202005\" IS NULL OR (\"Dept Category Description\" <> 'DOTCOM' "
+        'AND "POS Sales 202005" <> 0)',
+        feed_reference=_WALMART + " WHERE \"Dept Category Description\" <> 'DOTCOM' AND \"POS Sales 202005\" <> 0",
+        aside=True,
         passes=(("CustItemNumber", "walmart_id", "brand"),),
         final={"UPC": "''"},
         prefer_flagged=True,
@@ -290,6 +301,7 @@ TWINS: dict[str, Twin] = {
         channel="'Bricks'",
         has=("CustItemNumber", "CustVendStkNo"),
         feed=_kmart_feed("''") + "POSAmount > 0",
+        drops_last_row=True,
         passes=(("CustItemNumber", "vendor_item", "upc12"), ("CustVendStkNo", "item_number", "upc12")),
         final={"UPC": "''"},
         prefer_flagged=True,
@@ -363,7 +375,14 @@ def _columns(t: Twin, item: str, brand: str, outcome: str, reason: str, passed:
 def _base(account: str, mode: str) -> str:
     t = TWINS[account]
     feed = t.feed_reference if mode == "reference" and t.feed_reference else t.feed
-    return f"WITH raw AS ({v.feed_sql(account)}), master AS ({v.master_sql(account)}), feed AS ({feed})"
+    raw = v.feed_sql(account)
+    if t.drops_last_row:
+        raw = f"SELECT * FROM ({raw}) QUALIFY src_row < max(src_row) OVER (PARTITION BY src_file, src_sheet)"
+    return f"WITH raw AS ({raw}), master AS ({v.master_sql(account)}), feed AS ({feed})"
+
+
+def strict_feed_sql(account: str) -> str:
+    return f"{_base(account, 'strict')} SELECT * FROM feed"
 
 
 def strict_sql(account: str) -> str:
@@ -381,9 +400,12 @@ def strict_sql(account: str) -> str:
         hits.append(f"coalesce(hit{n}, FALSE)")
         found.append(f"k{n} IS NOT NULL")
     pick = lambda prefix: "CASE " + " ".join(f"WHEN {h} THEN {prefix}{n}" for n, h in enumerate(hits, 1)) + " END"
+    if t.aside:
+        hits = [f"(aside IS NULL AND {h})" for h in hits]
     outcome = f"CASE WHEN {' OR '.join(hits)} THEN 'final' ELSE 'exception' END"
+    told = "WHEN aside IS NOT NULL THEN aside" if t.aside else ""
     reason = (
-        f"CASE WHEN {' OR '.join(hits)} THEN NULL WHEN {' OR '.join(found)} THEN 'null_flag' ELSE 'no_key' END"
+        f"CASE {told} WHEN {' OR '.join(hits)} THEN NULL WHEN {' OR '.join(found)} THEN 'null_flag' ELSE 'no_key' END"
     )
     columns = _columns(t, pick("i"), pick("b"), outcome, reason, pick(""), "strict")
     return f"{sql} SELECT {columns} FROM feed{joins}"

@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posloom.catalog import views as v
+from posloom.catalog.account_sql import strict_feed_sql
 from posloom.catalog.registry import register
 from posloom.functions import calendar as cal
 from posloom.functions import conditions as cond
 from posloom.functions import numbers as num
 from posloom.functions import text
 from posloom.operators import control, dedup, fanout, filters, lookup, membership, reshape, sets
+from posloom.plans.accounts import ACCOUNTS
 from posloom.plans.consolidated import consolidated_outcomes
+from posloom.plans.engine import layout_errors, run_account
 from posloom.plans.master import Master, measured
 from posloom.plans.publish import gate, stage
 from posloom.schema import PREMIUM_BRANDS
@@ -542,3 +545,76 @@ def _(spark, sf_dir):
     return stamped.groupBy("WeekEnding", "account").agg(
         F.sum("POSAmount").alias("POSAmount"), F.count(F.lit(1)).alias("n")
     )
+
+
+# --- checks of a run --------------------------------------------------------
+
+# Cells as text: every second line's amount and every third line's units are no number.
+BAD_CELLS = {
+    **v.SOURCE,
+    **v.FEEDS["amazon"],
+    "Ordered Revenue": "CASE WHEN l_linenumber = 2 THEN concat('$', CAST(l_extendedprice AS STRING)) "
+    "WHEN l_discount = 0 THEN '0' ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) END",
+    "Ordered Units": "CASE WHEN l_linenumber = 3 THEN '1,000' WHEN l_linenumber = 4 THEN '99999999999' "
+    "ELSE CAST(CAST(l_quantity AS INT) AS STRING) END",
+}
+
+
+@register(
+    "bad_cells",
+    "SELECT CASE l_linenumber WHEN 2 THEN 'bad_amount' WHEN 3 THEN 'bad_quantity' WHEN 4 THEN 'bad_quantity' END AS reason, "
+    "count(*) AS n FROM lineitem WHERE l_linenumber IN (2, 3, 4) GROUP BY ALL",
+)
+def _(spark, sf_dir):
+    """Rows with unreadable cells are exceptions that say so, whatever the filters ask."""
+    cells = v.table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS `{n}`" for n, e in BAD_CELLS.items()])
+    master = measured(v.master_rows(spark, sf_dir))
+    rows = run_account(ACCOUNTS["amazon"], cells, master, dt.date(2020, 3, 1)).rows
+    return rows.filter("outcome = 'exception' AND reason LIKE 'bad%'").groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@register(
+    "layout_errors_reported",
+    "SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS path, problem FROM lineitem, LATERAL (VALUES "
+    "('no column Vendor Stock Nbr', l_suppkey % 3 = 1), ('no sheet number 0 with a header row', l_suppkey % 3 = 2)) r(problem, holds) "
+    "WHERE holds",
+)
+def _(spark, sf_dir):
+    """One workbook per supplier: a third lacks a column, a third has no first sheet."""
+    names = ["Item Nbr", "Item Desc 1", "Vendor Stock Nbr", "Total Sell Dollars", "Total Units Sold"]
+    header = F.array(*[F.lit(n) for n in names])
+    third = F.col("l_suppkey") % 3
+    kept = F.when(third == 1, F.filter(header, lambda n: n != "Vendor Stock Nbr")).otherwise(header)
+    sales = v.table(spark, sf_dir, "lineitem")
+    sheet = F.when(third == 2, 1).otherwise(0).alias("sheet_idx")
+    path = F.col("l_suppkey").cast("string").alias("path")
+    heads = sales.select(path, sheet, F.lit("S").alias("sheet_name"), F.lit(0).cast("long").alias("row_idx"), kept.alias("cells")).distinct()
+    cells = F.transform(kept, lambda n: F.col("l_extendedprice").cast("string"))
+    body = sales.select(path, sheet, F.lit("S").alias("sheet_name"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_idx"), cells.alias("cells"))
+    return layout_errors(ACCOUNTS["sams"], heads.unionByName(body)).select("path", "problem")
+
+
+WATCHED = ["amazon", "depot", "walmart"]
+
+
+@register(
+    "run_metrics",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS account, (SELECT count(*) FROM ({strict_feed_sql(name)})) AS feed_rows, "
+        f"(SELECT CAST(coalesce(sum(POSAmount), 0) AS DOUBLE) FROM ({strict_feed_sql(name)})) AS feed_amount"
+        for name in WATCHED
+    ),
+)
+def _(spark, sf_dir):
+    """Feed rows and amounts noted by observations while the outcomes are staged."""
+    watched = {}
+    master = measured(v.master_rows(spark, sf_dir))
+    for name in WATCHED:
+        def watch(feed, name=name):
+            feed, watched[name] = control.observed(feed, f"metrics {name}")
+            return feed
+
+        rows = run_account(ACCOUNTS[name], v.raw_feed(spark, sf_dir, name), master, dt.date(2020, 3, 1), watch=watch).rows
+        rows.write.format("noop").mode("overwrite").save()
+    found = [(name, o.get["rows"], o.get["amount"]) for name, o in watched.items()]
+    return spark.createDataFrame(found, "account string, feed_rows long, feed_amount decimal(38,4)")

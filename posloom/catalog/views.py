@@ -153,7 +153,8 @@ FEEDS: dict[str, dict[str, str]] = {
         "TY Qty": "l_quantity",
     },
 }
-FEEDS["legacy_kmart"] = FEEDS["kmart"]
+# One sheet a file there, whose last row is a total with an item id.
+FEEDS["legacy_kmart"] = {**FEEDS["kmart"], "src_sheet": "CAST(0 AS BIGINT)"}
 FEEDS["legacy_meijer"] = FEEDS["meijer"]
 FEEDS["legacy_bbb"] = FEEDS["bbb"]
 

@@ -19,6 +19,20 @@ def money(c: Column, is_text: bool = True) -> Column:
     return (strip(c) if is_text else c).try_cast(MONEY)
 
 
+def unreadable(c: Column, is_text: bool = True, dash: bool = False) -> Column:
+    """Is there something in the cell that is no number? Blank cells are unknown, not unreadable."""
+    if not is_text:
+        return F.lit(False)
+    said = strip(c)
+    blank = F.coalesce(said, F.lit("")).isin("", "--") if dash else F.coalesce(said, F.lit("")) == ""
+    return ~blank & money(c).isNull()
+
+
+def beyond_whole(c: Column) -> Column:
+    """A known number that no INT holds."""
+    return c.isNotNull() & whole(c).isNull()
+
+
 def money_or_dash(c: Column) -> Column:
     """``money(dash_to_zero(c))``, with a look for the dash only in cells that
     are no number."""

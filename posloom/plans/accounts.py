@@ -379,6 +379,7 @@ TARGET = AccountSpec(
         "SalesUnits": "Sales U",
     },
     money_columns=(),
+    dashed_numbers={"SalesAmount": "bad_amount", "SalesUnits": "bad_quantity"},
     prepare=_target,
     passes=(
         Pass("CustItemNumber", "target_id", "short_brand"),
@@ -477,6 +478,7 @@ LEGACY_KMART = AccountSpec(
         columns="E:I, K:L, N:Q, R:Y, AA:AD, AF:AI",
     ),
     columns=KMART.columns,
+    drops_last_row=True,
     prepare=_legacy_kmart,
     passes=(
         Pass("CustItemNumber", "vendor_item", "upc12"),

@@ -8,6 +8,7 @@ aggregates of that one outcome table.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,9 +20,10 @@ from posloom.functions import numbers as num
 from posloom.functions.calendar import week_values
 from posloom.functions.text import strip
 from posloom.operators import control, dedup, fanout
+from posloom.operators.filters import drop_last_row
 from posloom.operators.lookup import fan_out_join, first_match, lookup, null_key_once
 from posloom.plans.master import Master
-from posloom.plans.spec import REFERENCE, STRICT, AccountSpec, Containing, Pass
+from posloom.plans.spec import ASIDE, REFERENCE, STRICT, AccountSpec, Containing, Pass, SetAside
 from posloom.schema import CANONICAL, EXCEPTION, FINAL, MONEY, OUTCOME, SOURCE_ORDER
 from posloom.sources import grid as g
 
@@ -67,12 +69,15 @@ def run_account(
     master: Master,
     run_date: dt.date,
     mode: str = STRICT,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> AccountResult:
-    """``rows`` are named rows of a sheet (see ``sources.grid``) or a wide table
+    """``watch`` may count the feed as it passes by. ``rows`` are named rows of a sheet (see ``sources.grid``) or a wide table
     with the raw headers, either with the ``src_`` columns that order it."""
     if mode not in (STRICT, REFERENCE):
         raise ValueError(f"mode must be {STRICT!r} or {REFERENCE!r}: {mode!r}")
     feed = conform(spec, rows, mode)
+    if watch:
+        feed = watch(feed)
     if mode == STRICT:
         matched = match_strict(spec, feed, master)
     else:
@@ -80,8 +85,8 @@ def run_account(
     return AccountResult(spec, feed, lay_out(spec, matched, run_date, mode))
 
 
-def sheet_rows(spec: AccountSpec, grid: DataFrame) -> DataFrame:
-    """The account's named rows out of a workbook grid."""
+def account_sheet(spec: AccountSpec, grid: DataFrame) -> DataFrame:
+    """The cells of the account's sheet and columns."""
     layout = spec.layout
     if layout.sheet_name is not None:
         grid = g.sheet_named(grid, layout.sheet_name)
@@ -89,7 +94,42 @@ def sheet_rows(spec: AccountSpec, grid: DataFrame) -> DataFrame:
         grid = g.sheet_at(grid, layout.sheet_idx)
     if layout.columns:
         grid = grid.withColumn("cells", g.pick_positions(F.col("cells"), layout.columns))
-    return g.named_rows(grid, layout.header_row).withColumns(
+    return grid
+
+
+def wanted_columns(spec: AccountSpec) -> dict[str, g.Wanted]:
+    """Name, or token, of each raw column of the account and how to know it.
+
+    A column without a name of its own is not asked for: it has no header cell.
+    """
+    return {
+        (s.token if isinstance(s, Containing) else s): ((s.token, s.unless) if isinstance(s, Containing) else s)
+        for s in spec.columns.values()
+        if isinstance(s, Containing) or not s.startswith("Unnamed: ")
+    }
+
+
+def layout_errors(spec: AccountSpec, grid: DataFrame) -> DataFrame:
+    """A row per file and thing its sheet lacks: the sheet, its header row, a column."""
+    layout = spec.layout
+    sheet = account_sheet(spec, grid)
+    header = g.promoted_header(sheet) if layout.header_row is None else g.header_at(sheet, layout.header_row)
+    lacking = g.lacking(F.col("header"), wanted_columns(spec))
+    where = layout.sheet_name if layout.sheet_name is not None else f"number {layout.sheet_idx}"
+    problem = F.when(F.col("header").isNull(), F.array(F.lit(f"no sheet {where} with a header row"))).otherwise(
+        F.transform(lacking, lambda name: F.concat(F.lit("no column "), name))
+    )
+    found = grid.select("path").distinct().join(header.drop("_width"), "path", "left")
+    return found.select("path", F.lit(spec.name).alias("account"), F.explode(problem).alias("problem"))
+
+
+def sheet_rows(spec: AccountSpec, grid: DataFrame, mode: str = STRICT) -> DataFrame:
+    """The account's named rows out of a workbook grid; a sheet without one of
+    its columns fails by name. In strict mode rows with empty cells stay."""
+    layout = spec.layout
+    grid = account_sheet(spec, grid)
+    named = g.named_rows(grid, layout.header_row, wanted=wanted_columns(spec), complete_only=mode == REFERENCE)
+    return named.withColumns(
         {"src_file": F.col("path"), "src_sheet": F.col("sheet_idx"), "src_row": F.col("row_idx")}
     )
 
@@ -98,21 +138,30 @@ def conform(spec: AccountSpec, rows: DataFrame, mode: str = STRICT) -> DataFrame
     """The feed as it is matched: typed, filtered, derived and grouped."""
     feed = ungrouped(spec, rows, mode)
     if spec.group_by:
+        alone = []
+        if ASIDE in feed.columns:
+            # A row set aside stays by itself.
+            row = F.col("src_row") if "src_row" in feed.columns else F.lit(0)
+            feed = feed.withColumn("_alone", F.when(F.col(ASIDE).isNotNull(), row))
+            alone = [ASIDE, "_alone"]
         # Each file is grouped by itself: it is judged and published by itself.
         by_file = [c for c in ("src_file",) if c in feed.columns]
         source_columns = [c for c in SOURCE_ORDER if c in feed.columns and c not in by_file]
         feed = control.pre_aggregate(
             feed,
-            [*by_file, *spec.group_by],
+            [*by_file, *alone, *spec.group_by],
             ["POSAmount", "POSQuantity"],
             **{c: F.min(c) for c in source_columns},
-        ).withColumns({"POSAmount": F.col("POSAmount").cast(MONEY), "POSQuantity": num.whole(F.col("POSQuantity"))})
+        ).withColumns({"POSAmount": F.col("POSAmount").cast(MONEY), "POSQuantity": F.col("POSQuantity").cast("int")}).drop("_alone")
     return feed
 
 
 def ungrouped(spec: AccountSpec, rows: DataFrame, mode: str = STRICT) -> DataFrame:
     """Typed feed columns under their common names, filtered and derived."""
     keys = {p.feed_key for p in spec.passes}
+    if spec.drops_last_row:
+        sheet = [c for c in ("src_file", "src_sheet") if c in rows.columns]
+        rows = drop_last_row(rows, sheet, "src_row")
     columns = {}
     for name, source in spec.columns.items():
         value, is_text = _raw(rows, source)
@@ -124,17 +173,48 @@ def ungrouped(spec: AccountSpec, rows: DataFrame, mode: str = STRICT) -> DataFra
             shown = value if is_text else value.cast("string")
             columns[name] = strip(shown) if name in keys else shown
     source_columns = [c for c in SOURCE_ORDER if c in rows.columns]
-    if spec.layout.header_row is None and "row" not in rows.columns:
-        # As when its header is promoted: a row with an empty cell is no data.
-        rows = rows.na.drop("any", subset=[c for c in rows.columns if c not in SOURCE_ORDER])
-    feed = rows.select(*source_columns, *[c.alias(n) for n, c in columns.items()])
-    feed = spec.prepare(feed, mode)
+    if mode == STRICT:
+        aside = _aside(spec, rows)
+        feed = rows.select(*source_columns, *[c.alias(n) for n, c in columns.items()], aside.alias(ASIDE))
+        if spec.layout.header_row is None:
+            told = [F.col(f"`{n}`").isNotNull() for n in columns]
+            feed = feed.filter(_any(told))  # a row without any cell the account asks for is no sale
+        feed = spec.prepare(SetAside(feed), mode).df
+    else:
+        if spec.layout.header_row is None and "row" not in rows.columns:
+            # As when its header is promoted: a row with an empty cell is no data.
+            rows = rows.na.drop("any", subset=[c for c in rows.columns if c not in SOURCE_ORDER])
+        feed = rows.select(*source_columns, *[c.alias(n) for n, c in columns.items()])
+        feed = spec.prepare(feed, mode)
     if spec.group_by and mode == REFERENCE:
         # Grouping loses rows with a NULL key there.
         feed = feed.na.drop("any", subset=list(spec.group_by))
     return feed.withColumn("POSQuantity", num.whole(F.col("POSQuantity")))
 
 
+def _aside(spec: AccountSpec, rows: DataFrame) -> Column:
+    """Why a row cannot be judged: a cell that is no number, or a missing one; else NULL.
+
+    Where the header is the first complete row, a sale has all the cells that
+    the account asks for; only these are read.
+    """
+    reason = F.lit(None).cast("string")
+    if spec.layout.header_row is None:
+        empty = _any([_raw(rows, source)[0].isNull() for source in spec.columns.values()])
+        reason = F.when(empty, "incomplete_row")
+    checks = [(n, "bad_quantity" if n == "POSQuantity" else "bad_amount", False) for n in spec.money_columns]
+    checks += [(n, why, True) for n, why in spec.dashed_numbers.items()]
+    if "POSQuantity" in spec.columns and "POSQuantity" not in spec.money_columns:
+        checks.append(("POSQuantity", "bad_quantity", False))
+    for name, why, dash in checks:
+        value, is_text = _raw(rows, spec.columns[name])
+        bad = num.unreadable(value, is_text, dash)
+        if why == "bad_quantity":
+            bad = bad | num.beyond_whole(num.money(value) if is_text else value)
+        reason = F.when(bad, why).otherwise(reason)
+    return reason
+
+
 def _raw(rows: DataFrame, source: str | Containing) -> tuple[Column, bool]:
     """A raw cell and whether it is text."""
     if "row" in rows.columns:
@@ -214,6 +294,8 @@ def _decide(matched: DataFrame, feed_columns: list[str], passes: list[int]) -> D
         F.lit(None),
     )
     found = _any([F.col(f"m{n}").isNotNull() for n in passes])
+    aside = F.col(ASIDE) if ASIDE in feed_columns else F.lit(None).cast("string")
+    choice = F.when(aside.isNull(), choice)
     chosen = matched.select(*feed_columns, choice.alias("hit"), found.alias("found"))
     is_final = F.col("hit").isNotNull()
     return chosen.select(
@@ -221,7 +303,7 @@ def _decide(matched: DataFrame, feed_columns: list[str], passes: list[int]) -> D
         F.col("hit.item_number").alias("item_number"),
         F.col("hit.tier").alias("tier"),
         F.when(is_final, FINAL).otherwise(EXCEPTION).alias("outcome"),
-        F.when(~is_final, F.when(F.col("found"), "null_flag").otherwise("no_key")).alias("reason"),
+        F.when(~is_final, F.coalesce(aside, F.when(F.col("found"), "null_flag").otherwise("no_key"))).alias("reason"),
         F.col("hit.number").alias("match_pass"),
     )
 

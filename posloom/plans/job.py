@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from posloom.operators.membership import invalid_items
+from posloom.operators.control import observed
+from posloom.operators.membership import invalid_items, not_yet_run
 from posloom.operators.sets import append
 from posloom.plans.accounts import ACCOUNTS
-from posloom.plans.engine import run_account, sheet_rows
+from posloom.plans.engine import layout_errors, run_account, sheet_rows
 from posloom.plans.master import Master, master_from_grid, measured
 from posloom.plans.publish import Sinks, note_processed, publish, read_ledger, stage
 from posloom.plans.spec import STRICT, AccountSpec
+from posloom.schema import EXCEPTION, FINAL
 from posloom.sources import files as listing
 from posloom.sources import grid as g
 from posloom.sources.workbook import decode
@@ -22,9 +25,43 @@ from posloom.sources.workbook import decode
 
 @dataclass(frozen=True)
 class WeeklyRun:
+    """Outcomes, the files they came from, and the checks of the run.
+
+    ``invalid_items`` are master items the warehouse does not list, ``not_run``
+    the accounts missing from the consolidated table before this run (both None
+    if that table was not given). ``metrics`` has the feed rows and amount of
+    each account, counted while they passed by.
+    """
+
     rows: DataFrame
     files: DataFrame
     missing: tuple[str, ...]
+    metrics: dict[str, dict]
+    invalid_items: DataFrame | None = None
+    not_run: DataFrame | None = None
+
+    def reconciliation(self) -> DataFrame:
+        """Feed against outcomes, per account: rows, amounts, and do they balance?
+
+        Holds in strict mode, where every feed row has one outcome.
+        """
+        spark = self.rows.sparkSession
+        fed = spark.createDataFrame(
+            [(name, found["rows"], found["amount"]) for name, found in self.metrics.items()],
+            "AccountMajor string, feed_rows long, feed_amount decimal(38,4)",
+        )
+        out = self.rows.groupBy("AccountMajor").agg(
+            F.count_if(F.col("outcome") == FINAL).alias("final_rows"),
+            F.count_if(F.col("outcome") == EXCEPTION).alias("exception_rows"),
+            F.coalesce(F.sum("POSAmount"), F.lit(0)).cast("decimal(38,4)").alias("outcome_amount"),
+        )
+        joined = fed.join(out, "AccountMajor", "left").na.fill(0, ["final_rows", "exception_rows", "outcome_amount"])
+        same = F.col("feed_rows") == F.col("final_rows") + F.col("exception_rows")
+        return joined.withColumn("balanced", same & (F.col("feed_amount") == F.col("outcome_amount")))
+
+
+class LayoutError(ValueError):
+    """Workbooks lack sheets or columns; the message names all of them."""
 
 
 def account_tokens(accounts: dict[str, AccountSpec] = ACCOUNTS) -> dict[str, str]:
@@ -87,18 +124,49 @@ def run_grid(
     run_date: dt.date,
     accounts: dict[str, AccountSpec] = ACCOUNTS,
     mode: str = STRICT,
+    watched: dict[str, Observation] | None = None,
 ) -> DataFrame:
-    """Outcomes of every account that has a file, as one table."""
-    parts = [
-        run_account(
-            spec, sheet_rows(spec, account_grid(grid, spec, accounts)), master, run_date, mode
-        ).rows
-        for spec in accounts.values()
-        if set(spec.tokens) & set(tokens)
-    ]
+    """Outcomes of every account that has a file, as one table.
+
+    With ``watched`` an observation of each account's feed is put there.
+    """
+    parts = []
+    for spec in present_accounts(tokens, accounts):
+        def watch(feed: DataFrame, name: str = spec.name) -> DataFrame:
+            feed, watched[name] = observed(feed, f"feed {name}")
+            return feed
+
+        rows = sheet_rows(spec, account_grid(grid, spec, accounts), mode)
+        parts.append(run_account(spec, rows, master, run_date, mode, None if watched is None else watch).rows)
     return append(*parts)
 
 
+def present_accounts(tokens: list[str], accounts: dict[str, AccountSpec]) -> list[AccountSpec]:
+    return [spec for spec in accounts.values() if set(spec.tokens) & set(tokens)]
+
+
+def check_layouts(grid: DataFrame, tokens: list[str], accounts: dict[str, AccountSpec] = ACCOUNTS) -> None:
+    """Stop before anything is matched if a file lacks a sheet or a column.
+
+    What comes to the driver is a row per file and missing column.
+    """
+    specs = present_accounts(tokens, accounts)
+    found = append(*[layout_errors(s, account_grid(grid, s, accounts)) for s in specs]).collect()
+    if found:
+        raise LayoutError("; ".join(sorted(f"{r['account']}: {r['path']}: {r['problem']}" for r in found)))
+
+
+def metrics_of(watched: dict[str, Observation], accounts: dict[str, AccountSpec]) -> dict[str, dict]:
+    """Feed rows and amount by account, of the observations of a finished run."""
+    out: dict[str, dict] = {}
+    for name, observation in watched.items():
+        found = observation.get
+        total = out.setdefault(accounts[name].account_major, {"rows": 0, "amount": Decimal(0)})
+        total["rows"] += found["rows"]
+        total["amount"] += Decimal(found["amount"])
+    return out
+
+
 def run(
     spark: SparkSession,
     raw_dir: str,
@@ -109,8 +177,10 @@ def run(
     accounts: dict[str, AccountSpec] = ACCOUNTS,
     mode: str = STRICT,
     ledger: str | None = None,
+    warehouse: DataFrame | None = None,
+    consolidated: DataFrame | None = None,
 ) -> WeeklyRun:
-    """Find, read, match and publish the latest file of every account.
+    """Find, read, check, match and publish the latest file of every account.
 
     With a ``ledger`` folder, files of published accounts are noted there and
     left alone by later runs; a file held back by exceptions comes up again.
@@ -119,12 +189,28 @@ def run(
     files = with_majors(select_files(spark, raw_dir, tokens, ledger), accounts)
     grid, present = load_grid(spark, files)
     master = load_master(spark, master_path, master_sheet)
-    rows = run_grid(grid, present, master, run_date, accounts, mode)
+    check_layouts(grid, present, accounts)
+    watched: dict[str, Observation] = {}
+    rows = run_grid(grid, present, master, run_date, accounts, mode, watched)
     staged = publish(spark, rows, Sinks.under(out), files)
     if ledger:
         note_processed(files, staged, ledger)
     missing = tuple(t for t in tokens if t not in present)
-    return WeeklyRun(staged, files, missing)
+    return WeeklyRun(
+        staged,
+        files,
+        missing,
+        metrics_of(watched, accounts),
+        None if warehouse is None else validate_master(master, warehouse),
+        None if consolidated is None else accounts_not_run(consolidated, accounts),
+    )
+
+
+def accounts_not_run(consolidated: DataFrame, accounts: dict[str, AccountSpec] = ACCOUNTS) -> DataFrame:
+    """Accounts the consolidated table has no rows of."""
+    majors = sorted({spec.account_major for spec in accounts.values()})
+    wanted = consolidated.sparkSession.createDataFrame([(m,) for m in majors], "AccountMajor string")
+    return not_yet_run(wanted, consolidated, "AccountMajor", "AccountMajor")
 
 
 def validate_master(master: Master, warehouse: DataFrame) -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 STRICT = "strict"
 REFERENCE = "reference"
@@ -74,3 +76,49 @@ class AccountSpec:
     second_pass_blanks: tuple[str, ...] = ()
     # Columns computed with as exact decimals; all others but the quantity are text.
     money_columns: tuple[str, ...] = ("POSAmount",)
+    # Text columns that ``prepare`` reads as numbers (``--`` for none): what an
+    # unreadable cell is reported as.
+    dashed_numbers: Mapping[str, str] = field(default_factory=dict)
+    # The sheet's last row is its grand total.
+    drops_last_row: bool = False
+
+
+ASIDE = "_aside"
+
+
+class SetAside:
+    """A feed whose rows set aside pass every filter.
+
+    A row that cannot be judged (``_aside`` says why) must not vanish in a
+    filter over a cell it does not have. It offers what ``prepare`` uses.
+    """
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+
+    @property
+    def columns(self) -> list[str]:
+        return [c for c in self.df.columns if c != ASIDE]
+
+    @property
+    def na(self) -> SetAside:
+        return self
+
+    def filter(self, condition: Column) -> SetAside:
+        return SetAside(self.df.filter(condition | F.col(ASIDE).isNotNull()))
+
+    def fill_filter(self, how: str, subset: list[str]) -> Column:
+        known = [F.col(f"`{c}`").isNotNull() for c in subset]
+        return reduce(lambda a, b: a | b if how == "all" else a & b, known)
+
+    def drop(self, *columns: str, subset: list[str] | None = None) -> SetAside:
+        """Columns to drop, or ``na.drop("any" | "all", subset=…)``."""
+        if subset is not None:
+            return self.filter(self.fill_filter(columns[0], subset))
+        return SetAside(self.df.drop(*columns))
+
+    def withColumn(self, name: str, value: Column) -> SetAside:
+        return SetAside(self.df.withColumn(name, value))
+
+    def withColumns(self, values: dict[str, Column]) -> SetAside:
+        return SetAside(self.df.withColumns(values))

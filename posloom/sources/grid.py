@@ -103,28 +103,60 @@ def promoted_header(grid: DataFrame, keys: tuple[str, ...] = SHEET_KEYS) -> Data
     )
 
 
+# A column by its name, or the last one containing a token and not another.
+Wanted = str | tuple[str, str | None]
+
+
+def lacking(header: Column, wanted: dict[str, Wanted]) -> Column:
+    """Labels of the wanted columns that a header does not have."""
+    def absent(column: Wanted) -> Column:
+        if isinstance(column, tuple):
+            return last_name_with(header, *column).isNull()
+        return ~F.array_contains(header, column)
+
+    return F.array_compact(F.array(*[F.when(absent(c), F.lit(label)) for label, c in wanted.items()]))
+
+
+def checked(header: DataFrame, wanted: dict[str, Wanted], keys: tuple[str, ...]) -> DataFrame:
+    """Headers, one row per sheet; one that lacks a wanted column fails the job by name."""
+    missing = lacking(F.col("header"), wanted)
+    where = F.concat_ws(" ", *[F.col(k).cast("string") for k in keys])
+    message = F.concat(F.lit("layout error: sheet "), where, F.lit(" has no column "), F.array_join(missing, ", "))
+    right = F.when(F.size(missing) == 0, F.col("header"))
+    return header.withColumn("header", right.otherwise(F.raise_error(message).cast("array<string>")))
+
+
 def named_rows(
-    grid: DataFrame, row: int | None = 0, keys: tuple[str, ...] = SHEET_KEYS
+    grid: DataFrame,
+    row: int | None = 0,
+    keys: tuple[str, ...] = SHEET_KEYS,
+    wanted: dict[str, Wanted] | None = None,
+    complete_only: bool = True,
 ) -> DataFrame:
     """Rows below the header as a map of name to cell.
 
     ``row`` is the header's row number. With None the header is the first
-    complete row, and rows with an empty cell are left out as well.
+    complete row, and rows with an empty cell are left out as well unless
+    ``complete_only`` is off. With ``wanted`` a header must have these columns.
     """
     if row is None:
         header = promoted_header(grid, keys)
     else:
         header = header_at(grid, row, keys)
+    if wanted:
+        header = checked(header, wanted, keys)
     below = grid.join(header, list(keys)).filter(F.col("row_idx") > F.col("_header_row"))
     if row is None:
-        below = below.filter((F.size("cells") == F.col("_width")) & complete(F.col("cells"))).drop("_width")
+        if complete_only:
+            below = below.filter((F.size("cells") == F.col("_width")) & complete(F.col("cells")))
+        below = below.drop("_width")
     return below.withColumn("row", row_map(F.col("header"), F.col("cells"))).drop(
         "cells", "_header_row"
     )
 
 
 def cell(name: str, row: Column | None = None) -> Column:
-    """A named cell; NULL if the sheet has no such column."""
+    """A named cell; NULL if the sheet has no such column (see ``named_rows`` for the check)."""
     return F.try_element_at(F.col("row") if row is None else row, F.lit(name))
 
 

@@ -83,6 +83,7 @@ EXCEPTIONS = {
     "KMART": [(None, "6", "no_key")],
     "MARKETPLACE": [("Strange", "9", "no_key")],
     "NORDSTROM": [("None", "6", "no_key"), (None, "6", "no_key")],
+    "SAMS": [("Blank", "10", "incomplete_row")],
     "SEARS": [("None", "5", "no_key")],
     "TARGET": [("Nothing", "7", "no_key")],
     "WALMART.COM": [("None", "3", "no_key")],
@@ -123,7 +124,6 @@ def test_only_clean_accounts_are_published(spark, drop, weekly):
     totals = {r.AccountMajor: (r.POSAmount, r.POSQuantity, r.row_count) for r in read(spark, drop / "out/validation").collect()}
     assert totals == {
         "MEIJER": ("3.3400", "1", "1"),
-        "SAMS": ("10.0000", "1", "1"),
         "WALMART": ("11.0000", "4", "2"),
     }
 
@@ -197,7 +197,7 @@ def test_a_file_of_two_accounts_reaches_both(spark, drop, tmp_path):
 def test_published_files_do_not_come_up_again(spark, drop, weekly):
     again = job.select_files(spark, str(drop / "raw"), job.account_tokens(), str(drop / "ledger"))
     assert {r.account for r in again.collect()} == {
-        "amazon", "bbbmainline", "depot", "kmart", "marketplace", "nordstrom", "sears", "target", "wmcom",
+        "amazon", "bbbmainline", "depot", "kmart", "marketplace", "nordstrom", "sams", "sears", "target", "wmcom",
     }
 
 
@@ -223,5 +223,52 @@ def test_master_is_validated_against_the_warehouse(spark, drop):
     assert sorted(r.item_number for r in invalid.collect()) == ["IT2B", "IT3", "IT9"]
 
 
+def test_metrics_and_reconciliation(weekly):
+    assert weekly.metrics["AMAZON"]["rows"] == len(FINAL["AMAZON"]) + len(EXCEPTIONS["AMAZON"])
+    found = {r.AccountMajor: r for r in weekly.reconciliation().collect()}
+    assert set(found) == set(FINAL) and all(r.balanced for r in found.values())
+    assert weekly.invalid_items is None and weekly.not_run is None
+
+
+def test_accounts_not_run(spark):
+    table = spark.createDataFrame([("Amazon",), ("SEARS",), (None,)], "AccountMajor string")
+    left = {r.AccountMajor for r in job.accounts_not_run(table).collect()}
+    assert "target" in left and not left & {"amazon", "sears"}
+
+
+def run_amazon(spark, tmp_path, sheets):
+    (tmp_path / "raw").mkdir()
+    write_book(tmp_path / "raw" / "amazon.xlsx", sheets)
+    write_book(tmp_path / "m.xlsx", fixtures.MASTER)
+    return job.run(spark, str(tmp_path / "raw"), str(tmp_path / "m.xlsx"), fixtures.MASTER_SHEET, str(tmp_path / "out"), RUN_DATE)
+
+
+def test_a_missing_column_stops_the_run(spark, tmp_path):
+    first = fixtures.FILES[next(n for n in fixtures.FILES if "mazon" in n)]
+    name, rows = next(iter(first.items()))
+    changed = [["Ordered Revenue ($)" if c == "Ordered Revenue" else c for c in row] for row in rows]
+    with pytest.raises(job.LayoutError, match="amazon.*no column Ordered Revenue"):
+        run_amazon(spark, tmp_path, {name: changed})
+
+
+def test_unreadable_cells_are_exceptions(spark, tmp_path):
+    first = fixtures.FILES[next(n for n in fixtures.FILES if "mazon" in n)]
+    name, rows = next(iter(first.items()))
+    at = next(k for k, row in enumerate(rows) if "Ordered Revenue" in row)
+    header = rows[at]
+
+    def row(asin, amount, units):
+        cells = {"ASIN": asin, "Product Title": "t", "Ordered Revenue": amount, "Ordered Units": units}
+        return [cells.get(c) for c in header]
+
+    body = [row("1", "$1,234.50", 1), row("1", 5, "1,000"), row("1", 6, 2), row("1", 7, "99999999999"), row("1", " ", 1)]
+    run = run_amazon(spark, tmp_path, {name: [*rows[: at + 1], *body]})
+    got = sorted((r.outcome, str(r.reason), str(r.POSAmount)) for r in run.rows.collect())
+    assert got == [
+        ("exception", "bad_amount", "None"), ("exception", "bad_quantity", "5.0000"),
+        ("exception", "bad_quantity", "7.0000"), ("final", "None", "6.0000"), ("final", "None", "None"),
+    ]
+
+
 def test_every_account_has_a_token():
     assert all(spec.tokens for spec in ACCOUNTS.values())
