@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from posloom.catalog.queries import QUERIES
@@ -48,12 +49,14 @@ def run(query, spark, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
+    shared = tempfile.TemporaryDirectory(prefix="posloom-bench-", ignore_cleanup_errors=True)
     spark = build_session(
         "bench",
         f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=shared.name,
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
     )
     spark.sparkContext.setLogLevel("ERROR")
