@@ -77,7 +77,6 @@ def measures(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("
         F.length(F.regexp_replace(text, GAP, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
     )
-    stops = F.array(*[F.lit(w) for w in STOP_WORDS])
     counted = base.select(
         *keep,
         "word_chars",
@@ -88,7 +87,6 @@ def measures(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("
         F.size(F.filter("_words", lambda w: w.isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
         repeated_words(F.col("_words")).alias("_ordered"),
     )
-    del stops
     starts = counted.select(
         *[c for c in counted.columns if c != "_ordered"], _repeated_starts(F.col("_ordered")).alias("_starts")
     )
@@ -126,3 +124,37 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+def _rule_sql(measure: str, low: float | None, high: float | None) -> str:
+    value = measure.replace(" / n_words", " / nullif(n_words, 0)").replace(" / n_lines", " / nullif(n_lines, 0)")
+    tests = [f"{value} >= {low}" if low is not None else "", f"{value} <= {high}" if high is not None else ""]
+    return f"coalesce({' AND '.join(t for t in tests if t)}, TRUE)"
+
+
+_STOP_SQL = ", ".join(f"'{w}'" for w in STOP_WORDS)
+OP4_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, w[i:i + 2] AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+), repeated AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM repeated) GROUP BY doc_id
+), m AS (
+  SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, len(lines) AS n_lines,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+         len(list_filter(w, lambda x: x IN ({_STOP_SQL}))) AS n_stop_words
+  FROM d LEFT JOIN covered c USING (doc_id)
+), b AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {" AND ".join(_rule_sql(m, lo, hi) for _, m, lo, hi in RULES)} AS kept
+FROM b
+"""

@@ -16,4 +16,8 @@ QUERIES = {
     "op9_repeated_substrings": substring.op9_repeated_substrings,
     "op10_warc_revisits": warc.op10_warc_revisits,
 }
-TWIN_SQL = {"op1_exact_dedup": exact_dedup.OP1_SQL, "op10_warc_revisits": warc.OP10_SQL}
+TWIN_SQL = {
+    "op1_exact_dedup": exact_dedup.OP1_SQL,
+    "op4_quality_rules": quality.OP4_SQL,
+    "op10_warc_revisits": warc.OP10_SQL,
+}
