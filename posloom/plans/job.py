@@ -15,7 +15,7 @@ from posloom.operators.sets import append
 from posloom.plans.accounts import ACCOUNTS
 from posloom.plans.engine import layout_errors, run_account, sheet_rows
 from posloom.plans.master import Master, master_from_grid, measured
-from posloom.plans.publish import Sinks, note_processed, publish, read_ledger, stage
+from posloom.plans.publish import Sinks, note_processed, publish, read_ledger, stage, unstage
 from posloom.plans.spec import STRICT, AccountSpec
 from posloom.schema import EXCEPTION, FINAL
 from posloom.sources import files as listing
@@ -40,6 +40,10 @@ class WeeklyRun:
     invalid_items: DataFrame | None = None
     not_run: DataFrame | None = None
 
+    def close(self) -> None:
+        """Remove the staged outcomes; ``rows`` cannot be read afterwards."""
+        unstage(self.rows.sparkSession, self.rows)
+
     def reconciliation(self) -> DataFrame:
         """Feed against outcomes, per account: rows, amounts, and do they balance?
 
@@ -196,6 +200,9 @@ def run(
     if ledger:
         note_processed(files, staged, ledger)
     missing = tuple(t for t in tokens if t not in present)
+    unstage(spark, grid)
+    if warehouse is None:
+        unstage(spark, master.rows)
     return WeeklyRun(
         staged,
         files,

@@ -53,6 +53,16 @@ def stage(df: DataFrame, spark: SparkSession, name: str, by: tuple[str, ...] = (
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstage(spark: SparkSession, df: DataFrame) -> None:
+    """Remove the folder of a staged table that nothing reads any more."""
+    root = shared_dir(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for name in {unquote(f).partition(path(root).toUri().getPath() + "/")[2].partition("/")[0] for f in df.inputFiles()}:
+        folder = path(f"{root}/{name}")
+        if name:
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 PARTITIONS = ("for_account", "for_file", "for_week")
 
 

@@ -230,6 +230,22 @@ def test_metrics_and_reconciliation(weekly):
     assert weekly.invalid_items is None and weekly.not_run is None
 
 
+def test_staged_folders_go_with_the_run(spark, drop, tmp_path):
+    from pathlib import Path
+
+    from posloom.session import shared_dir
+
+    shared = Path(shared_dir(spark))
+    before = set(shared.iterdir())
+    (tmp_path / "raw").mkdir()
+    first = next(n for n in fixtures.FILES if "mazon" in n)
+    write_book(tmp_path / "raw" / first, fixtures.FILES[first])
+    run = job.run(spark, str(tmp_path / "raw"), str(drop / "master.xlsx"), fixtures.MASTER_SHEET, str(tmp_path / "out"), RUN_DATE)
+    assert [p.name.partition("-")[0] for p in set(shared.iterdir()) - before] == ["outcomes"]
+    run.close()
+    assert set(shared.iterdir()) == before
+
+
 def test_accounts_not_run(spark):
     table = spark.createDataFrame([("Amazon",), ("SEARS",), (None,)], "AccountMajor string")
     left = {r.AccountMajor for r in job.accounts_not_run(table).collect()}
