@@ -58,8 +58,10 @@ ORACLE_SQL = None  # learned scores, hashed signatures and bins have no SQL; tes
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     scratch = Scratch(spark)
-    for _, stage in STAGES[:-1]:
-        docs = scratch.stage(stage(spark, docs, sf_dir))
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, scratch.stage(stage(spark, docs, sf_dir))
+        if k:
+            scratch.forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
