@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from posloom.session import shared_dir
@@ -71,3 +71,22 @@ def _position() -> dict[str, Column]:
 
 
 KEY = ["_file", "_row"]
+
+
+def top_rows(df: DataFrame, score: str, limit: int, tie: str) -> list[Row]:
+    """At most ``limit`` rows with the largest positive scores, in order.
+
+    A histogram over steps of a ninth tells the score from which on the rows fit;
+    only those come to the driver, however many tasks and rows there are. (A sort
+    with a limit would send the driver ``limit`` rows from every task.)
+    """
+    step = F.floor(8 * F.log2(F.col(score).cast("double")))
+    cut, room = None, limit
+    for row in sorted(df.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        if row["count"] > room:
+            break
+        cut, room = row["step"], room - row["count"]
+    if cut is None:
+        return []
+    found = df.filter(step >= cut).collect()
+    return sorted(found, key=lambda r: (-r[score], r[tie]))

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posloom.llm.common import Scratch, read_table
+from posloom.llm.common import Scratch, read_table, top_rows
 from posloom.session import broadcast_limit
 
 THRESHOLD = 0.3
@@ -174,11 +174,9 @@ def learn_lexicon(training: DataFrame) -> dict[str, float]:
         .withColumn("weight", F.log(ratio))
         .withColumn("sigma", (F.col("seen") - expected) / F.sqrt(expected))
         .filter((F.col("weight") >= math.log(MIN_RATIO)) & (F.col("sigma") >= MIN_SIGMA))
-        .orderBy(F.desc("sigma"), "term")
-        .limit(LEXICON_SIZE)  # the lexicon's documented bound
-        .select("term", "weight")
-        .collect()
+        .select("term", "weight", "sigma")
     )
+    chosen = top_rows(chosen, "sigma", LEXICON_SIZE, "term")  # the lexicon's documented bound
     return {r["term"]: float(r["weight"]) for r in chosen}
 
 
