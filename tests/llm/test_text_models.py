@@ -123,12 +123,13 @@ def test_model_is_a_distribution_over_next_words(spark, tmp_path):
 
 def _model(docs, known_words):
     scratch = Scratch(docs.sparkSession)
-    from posloom.llm.common import KEY, row_keyed
+    from posloom.llm.common import KEY, row_keyed, top_rows
 
     keyed = row_keyed(docs, scratch).select(F.col("doc_id").alias("id"), *KEY, F.col("text").cast("binary").alias("data"))
     training = keyed.filter(~language_model.held_out())
     counts = language_model.counted(training).orderBy(F.desc("n"), "word").collect()
-    top = counts[:known_words]
+    top = top_rows(language_model.counted(training), "n", known_words, "word")
+    assert 64 <= len(top) <= known_words and top == counts[: len(top)]
     words, sizes = [bytes(r["word"]) for r in top], [r["n"] for r in top]
     weights = language_model.train(training, words, sizes, scratch)
     tail = np.ones(language_model.TAIL_CLASSES)
@@ -142,12 +143,12 @@ def _logs(text, vocabulary, weights, tail, exact):
     words = language_model.tokens(text.encode())
     _, code, group, place, sizes, _, _ = vocabulary.read([text.encode()])
     found = language_model.features(code, sizes)
-    flat, bias = weights[: 1 << language_model.BITS], weights[1 << language_model.BITS :]
     out = []
     for k, w in enumerate(words):
-        logs = language_model._classes(flat, bias, found[k : k + 1])[1][0, group[k]]
+        one, mine = found[k : k + 1], group[k : k + 1]
+        logs = language_model._classes(weights, language_model._class_rows(one))[0, group[k]]
         if place[k] >= 0:
-            logs += language_model._words(flat, bias, found[k : k + 1], group[k : k + 1], vocabulary.filled)[1][0, place[k]]
+            logs += language_model._words(weights, language_model._word_rows(one, mine), mine, vocabulary.filled)[0, place[k]]
             out.append(logs / math.log(10))
         else:
             own = (exact.get(w, 0) + 1) / tail[group[k] - language_model.HEAD_CLASSES]
