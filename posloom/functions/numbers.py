@@ -23,14 +23,15 @@ def unreadable(c: Column, is_text: bool = True, dash: bool = False) -> Column:
     """Is there something in the cell that is no number? Blank cells are unknown, not unreadable."""
     if not is_text:
         return F.lit(False)
-    said = strip(c)
-    blank = F.coalesce(said, F.lit("")).isin("", "--") if dash else F.coalesce(said, F.lit("")) == ""
-    return ~blank & money(c).isNull()
+    # Nearly all cells are numbers: one cast settles them.
+    said = c.isNotNull() & c.try_cast(MONEY).isNull() & (F.trim(c) != "")
+    said = said & (c != "--") if dash else said
+    return said & money(c).isNull()
 
 
 def beyond_whole(c: Column) -> Column:
     """A known number that no INT holds."""
-    return c.isNotNull() & whole(c).isNull()
+    return F.abs(c.try_cast(MONEY)) >= 2**31
 
 
 def money_or_dash(c: Column) -> Column:

@@ -175,6 +175,11 @@ def ungrouped(spec: AccountSpec, rows: DataFrame, mode: str = STRICT) -> DataFra
     source_columns = [c for c in SOURCE_ORDER if c in rows.columns]
     if mode == STRICT:
         aside = _aside(spec, rows)
+        numbers = {*spec.money_columns, *spec.dashed_numbers, "POSQuantity"} & set(spec.columns)
+        if any(_raw(rows, spec.columns[name])[1] for name in numbers):
+            # Cells are judged once, here: without this every later use of the
+            # reason, in filters and in the outcome, would parse them again.
+            aside = F.when(F.monotonically_increasing_id() >= 0, aside)
         feed = rows.select(*source_columns, *[c.alias(n) for n, c in columns.items()], aside.alias(ASIDE))
         if spec.layout.header_row is None:
             told = [F.col(f"`{n}`").isNotNull() for n in columns]
@@ -210,7 +215,7 @@ def _aside(spec: AccountSpec, rows: DataFrame) -> Column:
         value, is_text = _raw(rows, spec.columns[name])
         bad = num.unreadable(value, is_text, dash)
         if why == "bad_quantity":
-            bad = bad | num.beyond_whole(num.money(value) if is_text else value)
+            bad = bad | F.coalesce(num.beyond_whole(value), F.lit(False))
         reason = F.when(bad, why).otherwise(reason)
     return reason
 
