@@ -4,15 +4,17 @@ Folding lowers case, maps homoglyphs to Latin letters, removes invisible
 characters and undoes digits and signs that stand for letters inside a word.
 Lexicon terms are whole words or beginnings of longer words. A term is learned
 from training rows: it must be clearly more frequent per word in toxic texts,
-and must follow many different words, so that copies of one text, however
-many, make no term. A word counts with the largest weight among its terms;
+and must follow several different words. Texts with the same folded words count
+once per label, toxic and clean alike, so copies of one text, however many, make
+no term and hide none. A word counts with the largest weight among its terms;
 words inside an exception phrase do not count. A text's hits are normalised by
 its length and turned into a probability by a logistic curve fitted on the
 training rows.
 
 Bounds: the lexicon holds ``LEXICON_SIZE`` terms at most, the curve is fitted
 on about ``FIT_ROWS`` training rows chosen by a hash of the id. Counts are made over
-all training rows, combined per batch and before the shuffle.
+all different training texts, combined per batch and before the shuffle; of
+copies the row stored first is counted, found by 128 bits of a hash of the words.
 
 Defined cases: null and empty texts have no words and get the score of a text
 without hits; without labels, or with one class only, the lexicon is empty and
@@ -23,6 +25,7 @@ repeated rows are scored each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import unicodedata
@@ -34,16 +37,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
-from posloom.llm.common import Scratch, read_table, top_rows
+from posloom.llm.common import KEY, Scratch, read_table, row_keyed, top_rows
 from posloom.session import broadcast_limit
 
 THRESHOLD = 0.3
 LEXICON_SIZE = 5_000
 FIT_ROWS = 100_000
 PREFIXES = (4, 5, 6, 7, 8)
-MIN_CONTEXTS = 5
-COUNTED_CONTEXTS = 58  # of 64 bits; beyond it the bits tell no number
+MIN_CONTEXTS = 5  # far below 64, so 64 bits can tell it
 MIN_RATIO = 4.0
 MIN_SIGMA = 5.0
 FLUSH_TERMS = 200_000
@@ -87,26 +90,24 @@ def _inner(found: re.Match) -> str:
 
 
 def _evidence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per term: occurrences and the preceding words, as 64 bits, by label."""
+    """Per term: occurrences by label and the words before toxic ones, as 64 bits."""
     counts: dict[str, list[int]] = {}
     totals = [0, 0]
 
     def flushed() -> pd.DataFrame:
-        merged: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+        merged: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0])
         for word, found in counts.items():
             for term in (word, *[word[:k] + "*" for k in PREFIXES if len(word) > k]):
                 have = merged[term]
                 have[0] += found[0]
                 have[1] += found[1]
                 have[2] |= found[2]
-                have[3] |= found[3]
-        merged[""] = [*totals, 0, 0]
-        out = pd.DataFrame.from_dict(merged, orient="index", columns=["clean", "toxic", "c", "t"])
-        for name, bits in (("clean_after", "c"), ("toxic_after", "t")):
-            out[name] = out[bits].astype(np.uint64).to_numpy().view(np.int64)
+        merged[""] = [*totals, 0]
+        out = pd.DataFrame.from_dict(merged, orient="index", columns=["clean", "toxic", "after"])
+        out["toxic_after"] = out["after"].astype(np.uint64).to_numpy().view(np.int64)
         counts.clear()
         totals[:] = [0, 0]
-        return out.drop(columns=["c", "t"]).rename_axis("term").reset_index()
+        return out.drop(columns="after").rename_axis("term").reset_index()
 
     for frame in frames:
         for text, toxic in zip(frame["text"], frame["toxic"]):
@@ -116,26 +117,43 @@ def _evidence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for word in words:
                 have = counts.get(word)
                 if have is None:
-                    have = counts[word] = [0, 0, 0, 0]
+                    have = counts[word] = [0, 0, 0]
                 have[toxic] += 1
-                have[2 + toxic] |= 1 << (zlib.crc32(before.encode()) & 63)
+                if toxic:
+                    have[2] |= 1 << (zlib.crc32(before.encode()) & 63)
                 before = word
         if len(counts) > FLUSH_TERMS:
             yield flushed()
     yield flushed()
 
 
+@F.pandas_udf(BinaryType())
+def _words_hash(texts: pd.Series) -> pd.Series:
+    """128 bits that are equal for texts with the same folded words."""
+    return texts.map(lambda t: hashlib.md5(" ".join(_WORD.findall(folded(t or ""))).encode()).digest())
+
+
+def distinct_texts(training: DataFrame, scratch: Scratch) -> DataFrame:
+    """Training rows (row-keyed) without copies: of the same words and label the row stored first."""
+    marks = scratch.stage(training.select(*KEY, "toxic", _words_hash("text").alias("words")))
+    copied = marks.groupBy("words", "toxic").agg(F.min(F.struct(*KEY)).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    copies = scratch.stage(marks.join(copied, ["words", "toxic"]).filter(F.struct(*KEY) != F.col("first")).select(*KEY))
+    if copies.count() * 32 <= broadcast_limit(training.sparkSession):
+        copies = F.broadcast(copies)
+    return training.join(copies, KEY, "left_anti")
+
+
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Training rows: id, text and label; a remainder of 2 is held out."""
+    """Training rows: row key, id, text and label; a remainder of 2 is held out."""
     known = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    rows = labels.count()
-    if rows * 32 <= broadcast_limit(labels.sparkSession):
+    if labels.count() * 32 <= broadcast_limit(labels.sparkSession):
         known = F.broadcast(known)
-    return docs.select("doc_id", "text").filter(~held_out()).join(known, "doc_id").filter("toxic IN (0, 1)")
+    rows = row_keyed(docs.select("doc_id", "text"), Scratch(docs.sparkSession))
+    return rows.filter(~held_out()).join(known, "doc_id").filter("toxic IN (0, 1)")
 
 
 def held_out():
@@ -144,9 +162,11 @@ def held_out():
 
 def learn_lexicon(training: DataFrame) -> dict[str, float]:
     """Term to weight; a term that ends in ``*`` is the beginning of a longer word."""
+    scratch = Scratch(training.sparkSession)
     evidence = (
-        training.select("text", "toxic")
-        .mapInPandas(_evidence, "term string, clean long, toxic long, clean_after long, toxic_after long")
+        distinct_texts(training, scratch)
+        .select("text", "toxic")
+        .mapInPandas(_evidence, "term string, clean long, toxic long, toxic_after long")
         .groupBy("term")
         .agg(
             F.sum("clean").alias("clean"),
@@ -156,23 +176,18 @@ def learn_lexicon(training: DataFrame) -> dict[str, float]:
     )
     evidence = evidence.filter((F.col("term") == "") | ((F.col("contexts") >= MIN_CONTEXTS) & (F.col("toxic") >= MIN_CONTEXTS)))
     # One row, then rows tested against it: both are read from one staged table.
-    evidence = Scratch(training.sparkSession).stage(evidence)
+    evidence = scratch.stage(evidence)
     whole = evidence.filter("term = ''").first()
     if whole is None or not whole["toxic"] or not whole["clean"]:
         return {}
     clean, toxic = whole["clean"], whole["toxic"]
     share = toxic / (clean + toxic)
-    # Of few preceding words, their number (by linear counting) stands for the
-    # occurrences: copies of a text repeat its words after the same words.
-    spread = -64 * F.log(1 - F.least("contexts", F.lit(COUNTED_CONTEXTS)) / 64)
-    seen = F.when(F.col("contexts") < COUNTED_CONTEXTS, F.least(F.col("toxic"), spread)).otherwise(F.col("toxic"))
-    expected = (F.col("clean") + F.col("seen")) * share
-    ratio = (F.col("seen") / toxic) / ((F.col("clean") + 0.5) / clean)
+    expected = (F.col("clean") + F.col("toxic")) * share
+    ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / clean)
     chosen = (
         evidence.filter("term <> ''")
-        .withColumn("seen", seen.cast("double"))
         .withColumn("weight", F.log(ratio))
-        .withColumn("sigma", (F.col("seen") - expected) / F.sqrt(expected))
+        .withColumn("sigma", (F.col("toxic") - expected) / F.sqrt(expected))
         .filter((F.col("weight") >= math.log(MIN_RATIO)) & (F.col("sigma") >= MIN_SIGMA))
         .select("term", "weight", "sigma")
     )

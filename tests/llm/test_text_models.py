@@ -63,6 +63,38 @@ def test_lexicon_is_learned_and_holds_out(spark, labelled_texts):
     assert all(0 <= r["toxicity"] <= 1 for r in scored)
 
 
+def _lexicon(spark, rows):
+    docs = spark.createDataFrame([(n, t) for n, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(n, y) for n, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    return toxicity.learn_lexicon(toxicity.labelled(docs, labels))
+
+
+def _uses(term, count, befores, seed):
+    """Different texts that use a term after one of ``befores`` words."""
+    rng = random.Random(seed)
+    return [f"{prose(rng.random(), 20)} before{rng.choice('abcdefghijklmnopqrst')}{'x' * rng.randrange(befores // 20)} {term}" for _ in range(count)]
+
+
+def test_verdict_on_a_term_does_not_depend_on_input_size(spark):
+    weights = []
+    for times in (1, 12):
+        toxic, clean = _uses("rudeword", 200 * times, 40, 1), _uses("rudeword", 12 * times, 40, 2)
+        other = [prose(10_000 + n, 22) for n in range(600 * times)]
+        lexicon = _lexicon(spark, [(t, 1) for t in toxic] + [(t, 0) for t in [*clean, *other]])
+        weights.append(lexicon["rudeword"])
+    assert abs(weights[0] - weights[1]) < 0.4
+
+
+def test_copies_count_once_under_either_label(spark):
+    rows = [(t, 1) for t in _uses("rudeword", 150, 40, 3)] + [(prose(20_000 + n, 22), 0) for n in range(600)]
+    quote = "someone wrote: R-u-d-e? No, RUDEWORD was the word."
+    once = _lexicon(spark, [*rows, (quote, 0)])
+    # The copies differ in case and signs only; none is a copy of a toxic row.
+    copies = [(quote.lower() if n % 2 else quote.replace("?", "!"), 0) for n in range(400)]
+    many = _lexicon(spark, [*rows, *copies])
+    assert "rudeword" in once and abs(once["rudeword"] - many["rudeword"]) < 0.1
+
+
 def test_toxicity_edges(edge, nothing, labels, labelled_texts, spark):
     kept = toxicity.drop_toxic(edge, labels)
     assert kept.columns == edge.columns
