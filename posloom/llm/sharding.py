@@ -2,8 +2,8 @@
 
 Rows are dealt by hash into parts. How many rows of each part go to each shard
 is drawn exactly, as a uniform permutation of all rows would send them
-(multivariate hypergeometric, without replacement), so shard sizes are exact:
-at most one row apart. Each part permutes its rows by a seeded hash and cuts
+(multivariate hypergeometric, without replacement; by inversion, one law at every
+size), so shard sizes are exact: at most one row apart. Each part permutes its rows by a seeded hash and cuts
 that order by its row of the matrix; each shard permutes what it got again.
 
 Only the matrix goes through the driver: one row of shard counts per part, and
@@ -31,13 +31,38 @@ SHARDS = 40
 PART_ROWS = 500_000
 MIN_PARTS = 16
 SEED = 20_240_501
-EXACT_POPULATION = 10**9  # beyond it numpy has no exact draw and a rounded normal one is used
 
 
 def _seeded(seed: int, step: int) -> Column:
     return F.xxhash64(F.lit(seed), F.lit(step), *KEY)
 
 
+def hypergeometric_law(room: int, others: int, need: int) -> tuple[int, np.ndarray]:
+    """The least number considered and the weights of it and the numbers after it.
+
+    Of ``need`` rows drawn without replacement from ``room + others``, so many are
+    among the ``room``. Weights are products of the ratios of neighbours, from the
+    most likely number outward, so no factorial of a large count is rounded. They
+    end where the rest (by Bernstein's bound) is below what a double can tell.
+    """
+    pool = room + others
+    low, high = max(0, need - others), min(room, need)
+    mode = min(max((need + 1) * (room + 1) // (pool + 2), low), high)
+    reach = math.ceil(12 * math.sqrt(need * (room / pool) * (others / pool))) + 60
+    low, high = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(low, high, dtype=np.float64)
+    ratio = (room - k) * (need - k) / ((k + 1) * (others - need + k + 1))  # of k + 1 to k
+    at = mode - low
+    below = np.cumprod(1 / ratio[:at][::-1])[::-1]
+    return low, np.concatenate([below, [1.0], np.cumprod(ratio[at:])])
+
+
+def _hypergeometric(rng: np.random.Generator, room: int, others: int, need: int) -> int:
+    low, weights = hypergeometric_law(room, others, need)
+    sums = np.cumsum(weights)
+    return low + min(int(np.searchsorted(sums, rng.random() * sums[-1], side="right")), len(sums) - 1)
+
+
 def communication_matrix(sizes: list[int], capacity: list[int], seed: int) -> np.ndarray:
     """Rows of part i that go to shard j; rows sum to ``sizes``, columns to ``capacity``."""
     rng = np.random.default_rng(seed)
@@ -49,13 +74,7 @@ def communication_matrix(sizes: list[int], capacity: list[int], seed: int) -> np
             others = pool - room
             if need == 0:
                 break
-            if pool < EXACT_POPULATION:
-                got = int(rng.hypergeometric(room, others, need)) if room else 0
-            else:
-                share = room / pool
-                spread = math.sqrt(need * share * (1 - share) * (pool - need) / max(pool - 1, 1))
-                got = round(rng.normal(need * share, spread))
-                got = min(max(got, need - others, 0), room, need)
+            got = _hypergeometric(rng, room, others, need) if room else 0
             matrix[i, j] = got
             need -= got
             pool = others

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,6 +162,24 @@ def test_mix_stage(edge, nothing):
     assert mixing.draw_mix(nothing, 1.0, 2).collect() == []
 
 
+@pytest.mark.parametrize("room, others, need", [(5, 7, 6), (1, 3, 4), (3, 0, 2), (0, 4, 2), (10**10, 3 * 10**11, 30), (10**9, 1, 9), (300, 500, 400)])
+def test_drawn_law_equals_exact_binomials(room, others, need):
+    low, weights = sharding.hypergeometric_law(room, others, need)
+    exact = [math.comb(room, k) * math.comb(others, need - k) for k in range(low, low + len(weights))]
+    whole = math.comb(room + others, need)
+    assert np.allclose(weights / weights.sum(), [float(Fraction(x, whole)) for x in exact], rtol=1e-9, atol=1e-30)
+    assert float(1 - Fraction(sum(exact), whole)) < 1e-15
+
+
+def test_communication_matrix_keeps_the_law_beyond_a_billion_rows():
+    none = [sharding.communication_matrix([10], [2 * 10**8, 18 * 10**8], seed)[0, 0] == 0 for seed in range(4000)]
+    assert abs(np.mean(none) - 0.9**10) < 0.03
+    wide = [sharding.communication_matrix([500_000], [10**8, 4 * 10**9], seed)[0, 0] for seed in range(1000)]
+    share = 1 / 41
+    assert abs(np.mean(wide) - 500_000 * share) < 20
+    assert abs(np.std(wide) / math.sqrt(500_000 * share * (1 - share)) - 1) < 0.1
+
+
 def test_shard_digests(edge, spark, tmp_path):
     edge.write.parquet(str(tmp_path / "documents.parquet"))
     got = Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in sharding.op8_shard_shuffle(spark, str(tmp_path)).collect())
