@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from posloom.llm import exact_dedup, language_model, mixing, near_dedup, packing, quality, sharding, substring, toxicity, warc
+from posloom.llm import (
+    exact_dedup,
+    language_model,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    sharding,
+    substring,
+    token_files,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_shard_shuffle": sharding.op8_shard_shuffle,
     "op9_repeated_substrings": substring.op9_repeated_substrings,
     "op10_warc_revisits": warc.op10_warc_revisits,
+    "op11_token_files": token_files.op11_token_files,
 }
 TWIN_SQL = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
