@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from posloom.llm import (
+    centroids,
     exact_dedup,
+    hard_negatives,
     language_model,
     mixing,
     near_dedup,
@@ -28,9 +30,13 @@ QUERIES = {
     "op9_repeated_substrings": substring.op9_repeated_substrings,
     "op10_warc_revisits": warc.op10_warc_revisits,
     "op11_token_files": token_files.op11_token_files,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_centroid_clusters": centroids.op13_centroid_clusters,
 }
 TWIN_SQL = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op4_quality_rules": quality.OP4_SQL,
     "op10_warc_revisits": warc.OP10_SQL,
+    "op12_hard_negatives": hard_negatives.OP12_SQL,
+    "op13_centroid_clusters": centroids.OP13_SQL,
 }
