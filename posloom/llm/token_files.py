@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 from posloom.llm.common import KEY, Scratch, read_table, row_keyed
-from posloom.llm.tokens import VOCABULARY, Encoder
+from posloom.llm.tokens import VOCABULARY, worker_encoder
 from posloom.session import shared_dir
 
 MAGIC = b"DACTOKEN"
@@ -189,34 +189,34 @@ def _written(root: str, vocabulary: str, file_tokens: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        encoder = Encoder(vocabulary)
-        end = np.asarray([END_ID], "<u4").tobytes()
+        encoder = worker_encoder(vocabulary)
         store, folder = fs.FileSystem.from_uri(root)
         store.create_dir(folder, recursive=True)
         keys: list[pa.RecordBatch] = []
-        data: list[bytes] = []
+        data: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
 
         def file() -> pa.RecordBatch:
             table = pa.Table.from_batches(keys)
-            counts = pa.array([len(x) // 4 for x in data], pa.int64())
-            documents = pa.table({"id": table.column("id"), "n_tokens": counts})
-            ids = np.frombuffer(b"".join(data), "<u4")
+            documents = pa.table({"id": table.column("id"), "n_tokens": np.concatenate(sizes)})
+            ids = np.concatenate(data)
             name = f"{uuid.uuid4().hex}.dac"
             with store.open_output_stream(f"{folder}/{name}") as out:
                 out.write(encoded(ids, documents))
             first = table.slice(0, 1)
-            row = [*(first.column(c).combine_chunks() for c in ("id", *KEY)), pa.array([name]), pa.array([len(data)], pa.int64()), pa.array([len(ids)], pa.int64())]
-            keys.clear()
-            data.clear()
+            row = [*(first.column(c).combine_chunks() for c in ("id", *KEY)), pa.array([name]), *(pa.array([n], pa.int64()) for n in (len(table), len(ids)))]
+            for held_ in (keys, data, sizes):
+                held_.clear()
             return pa.RecordBatch.from_arrays(row, schema=schema)
 
         held = 0
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 keys.append(part.select(["id", *KEY]))
-                found = [x + end for x in encoder.encode(texts)]
-                data += found
-                held += sum(map(len, found)) // 4
+                ids, counts = with_end(*encoder.encode(texts), END_ID)
+                data.append(ids)
+                sizes.append(counts)
+                held += len(ids)
                 if held >= file_tokens:
                     yield file()
                     held = 0

@@ -2,28 +2,52 @@
 
 A space between two characters that are no white space starts a token in the
 byte-level vocabulary, so a text whose spaces all stand like that is encoded
-word by word, and each word's ids are kept for its next use. Trailing
-punctuation after a letter or digit is a token run of its own and is kept apart,
-so that ``word`` and ``word,`` share one entry. Any other text is encoded as a
-whole. Words not met before go to the tokenizer together, as one text; the byte
-lengths of its ids tell where a word ends.
+word by word. The different words of a batch are found by Arrow, looked up in a
+cache that lives as long as the Python worker, and their ids are dealt back to
+all places by numpy. Trailing punctuation after a letter or digit is a token run
+of its own and is kept apart, so that ``word`` and ``word,`` share one entry.
+Any other text is encoded as a whole.
 """
 
 from __future__ import annotations
 
+import sys
+import types
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 1_000_000
 LONG_WORD = 64
-WORDS_AT_ONCE = 4096
-
 _POINTS = ".,;:!?"
 
 
-class Encoder:
-    """Texts to ids, as little-endian unsigned 32-bit bytes."""
+def worker_encoder(vocabulary: str = VOCABULARY) -> Encoder:
+    """The encoder of this Python worker, kept from task to task."""
+    home = sys.modules.setdefault("_posloom_worker", types.ModuleType("_posloom_worker"))
+    kept = home.__dict__.setdefault("encoders", {})
+    if vocabulary not in kept:
+        kept[vocabulary] = Encoder(vocabulary)
+    return kept[vocabulary]
+
+
+class Alphabet(dict):
+    """A character, by its number, as the vocabulary's letters for its bytes; asked for once each."""
+
+    def __init__(self):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        super().__init__()
+        self.letters = ByteLevel(add_prefix_space=False, use_regex=False)
 
+    def __missing__(self, number: int) -> str:
+        self[number] = self.letters.pre_tokenize_str(chr(number))[0][0]
+        return self[number]
+
+
+class Encoder:
     def __init__(self, vocabulary: str = VOCABULARY, entries: int = CACHE_ENTRIES):
         import public_tokenizers
         from tokenizers import Tokenizer
@@ -31,9 +55,7 @@ class Encoder:
         self.model = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.entries = entries
         self.cache: dict[str, bytes] = {}
-        known = self.model.get_vocab(with_added_tokens=False)
-        self.size = np.zeros(max(known.values()) + 1, np.int64)  # a vocabulary letter is a byte
-        self.size[list(known.values())] = [len(t) for t in known]
+        self.alphabet = Alphabet()
 
     def plain(self, text: str) -> bytes:
         return self._ids(text).tobytes()
@@ -41,8 +63,8 @@ class Encoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.asarray(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, words: set[str]) -> None:
-        """Put words, each with its leading space, into the cache."""
+    def _learn(self, words: list[str]) -> None:
+        """Put words into the cache, with the ids they have after a space."""
         cache = self.cache
         whole, parted = set(), []
         for word in words:
@@ -53,39 +75,66 @@ class Encoder:
                     whole.add(core)
             else:
                 whole.add(word)
-        short = [w for w in whole if w and len(w) <= LONG_WORD and "<|" not in w]
-        for at in range(0, len(short), WORDS_AT_ONCE):
-            some = short[at : at + WORDS_AT_ONCE]
-            ids = self._ids(" " + " ".join(some))
-            ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(w.encode()) + 1 for w in some])) + 1
-            begin = 0
-            for word, end in zip(some, ends.tolist()):
-                cache[word] = ids[begin:end].tobytes()
-                begin = end
-        for word in whole.difference(short):
+        # A word of letters is one token run: it goes to the merges at once, in the vocabulary's alphabet.
+        letters = [w for w in whole if len(w) <= LONG_WORD and w.isalpha()]
+        merges, alphabet = self.model.model.tokenize, self.alphabet
+        ids: list[int] = []
+        ends = []
+        for word in letters:
+            ids += [t.id for t in merges(" ".translate(alphabet) + word.translate(alphabet))]
+            ends.append(4 * len(ids))
+        raw, begin = np.asarray(ids, "<u4").tobytes(), 0
+        for word, end in zip(letters, ends):
+            cache[word] = raw[begin:end]
+            begin = end
+        for word in whole.difference(letters):
             cache[word] = self.plain(" " + word)
-        ends_: dict[str, bytes] = {}
-        for word, core, end in parted:
-            if end not in ends_:
-                ends_[end] = self.plain(end)
-            cache[word] = cache[core] + ends_[end]
+        tails: dict[str, bytes] = {}
+        for word, core, tail in parted:
+            if tail not in tails:
+                tails[tail] = self.plain(tail)
+            cache[word] = cache[core] + tails[tail]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts side by side, and how many each has."""
+        if not texts:
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        starts = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        units = coded.indices.to_numpy().astype(np.int64)
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        size = len(words)
+        # A word with white space at an end, or none at all, makes its text crowded.
+        odd = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in words), bool, size)
+        firsts = [words[k] for k in units[starts[:-1]].tolist()]
+        crowded = np.fromiter((not w or w[-1].isspace() for w in firsts), bool, len(firsts))
+        inner = odd[units]
+        inner[starts[:-1]] = False
+        crowded |= np.add.reduceat(inner, starts[:-1], dtype=np.int64) > 0
         cache = self.cache
-        split = [t.split(" ") for t in texts]
-        met = {w for words in split for w in words[1:] if w not in cache}
-        # A word with white space at an end, or none at all, makes its text crowded; no such word is kept.
-        odd = {w for w in met if w.strip() != w or not w}
-        if len(cache) + 2 * len(met) > self.entries:
+        if len(cache) > self.entries:
             cache.clear()
-            met = {w for words in split for w in words[1:]}
-        self._learn(met - odd)
-        get = cache.__getitem__
-        out = []
-        for text, words in zip(texts, split):
-            first = words[0]
-            if first != first.rstrip() or not first or (odd and not odd.isdisjoint(words[1:])):
-                out.append(self.plain(text))
-            else:
-                out.append(b"".join([self.plain(first), *map(get, words[1:])]))
-        return out
+        self._learn([w for w, o in zip(words, odd.tolist()) if not o and w not in cache])
+        get = cache.get
+        heads = [self.plain(t if c else w) for t, w, c in zip(texts, firsts, crowded.tolist())]
+        found = [*[get(w, b"") for w in words], *heads]
+        # The first place of a text stands for its first word, or for all of a crowded text.
+        units[starts[:-1]] = size + np.arange(len(texts))
+        stay = ~np.repeat(crowded, np.diff(starts))
+        stay[starts[:-1]] = True
+        owner = np.repeat(np.arange(len(texts)), np.diff(starts))[stay]
+        units = units[stay]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        counts = sizes[units]
+        begin = (np.cumsum(sizes) - sizes)[units] - (np.cumsum(counts) - counts)
+        ids = flat[np.repeat(begin, counts) + np.arange(int(counts.sum()))]
+        return ids, np.bincount(owner, counts, len(texts)).astype(np.int64)
+
+
+def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with an end id after each text."""
+    out = np.full(len(ids) + len(counts), end, "<u4")
+    out[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+    return out, counts + 1
