@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 from posloom.llm.common import KEY, Scratch, read_table, row_keyed
-from posloom.llm.tokens import VOCABULARY, worker_encoder
+from posloom.llm.tokens import VOCABULARY, with_end, worker_encoder
 from posloom.session import shared_dir
 
 MAGIC = b"DACTOKEN"
