@@ -63,6 +63,12 @@ def row_keyed(docs: DataFrame, scratch: Scratch) -> DataFrame:
         return scratch.stage(docs).withColumns(_position())
 
 
+def wrapped(docs: DataFrame, scratch: Scratch, **columns: str) -> DataFrame:
+    """Row-keyed ``doc``, a struct of the whole row, beside the named columns: no name in ``docs`` can clash."""
+    named = [F.col(f"`{name}`").alias(own) for own, name in columns.items()]
+    return row_keyed(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *named), scratch)
+
+
 def _position() -> dict[str, Column]:
     return {
         "_file": F.xxhash64(F.col("_metadata.file_path")),

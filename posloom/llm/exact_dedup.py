@@ -8,7 +8,8 @@ hashes, never a text, and counts are combined before each shuffle.
 
 Defined cases: of equal texts the smallest id stays, a null id is larger than
 any other, and of rows with the same id the one stored first (by file and
-position) stays. An empty table gives an empty result.
+position) stays. An empty table gives an empty result. Columns of any name are
+returned with their values.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posloom.llm.common import GAP, KEY, Scratch, read_table, row_keyed
+from posloom.llm.common import GAP, KEY, Scratch, read_table, row_keyed, wrapped
 
 PREFIX_CHARS = 64
 
@@ -88,9 +89,9 @@ def _full_hash(keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that repeat an earlier text; columns unchanged."""
     scratch = Scratch(docs.sparkSession)
-    keyed = row_keyed(docs, scratch)
-    dropped = exact_groups(keyed.drop(*KEY), id_col, text_col).filter("NOT kept").select(*KEY)
-    return keyed.join(dropped, KEY, "left_anti").select(*docs.columns)
+    keyed = wrapped(docs, scratch, id=id_col, text=text_col)
+    dropped = exact_groups(keyed.select("id", "text"), "id", "text").filter("NOT kept").select(*KEY)
+    return keyed.join(dropped, KEY, "left_anti").select("doc.*")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

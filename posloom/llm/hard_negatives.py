@@ -23,8 +23,8 @@ Defined cases: rows with a null label or vector, or a null or non-finite
 component, take no part; shorter vectors are filled up with zeros; a null id is
 no anchor and comes last among ties; rows with equal ids are rows of their own,
 in stored order; a positive whose window is empty (a negative score) has no
-negatives; an anchor without positives gives no rows; scores beyond the range of
-a long are cut off there after exact comparison; an empty table gives no rows.
+negatives; an anchor without positives gives no rows; scores stop at the range of
+a long; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,6 +46,7 @@ BLOCK_ROWS = 8192
 ANCHOR_ROWS = 1024
 STEP = 8  # columns read between two looks at the bitmap
 EXACT = 1 << 52  # whole numbers of a double
+MOST_LONG = (1 << 63) - 1
 
 
 def finite(vector: Column) -> Column:
@@ -136,9 +137,10 @@ def _top(candidates: np.ndarray, scores: np.ndarray, k: int) -> list[tuple[int,
 def best_positives(rows: Block, query: np.ndarray, same: np.ndarray, k: int) -> list[tuple[int, int]]:
     def keep(lower, upper):
         cut = _kth(lower, k)
-        return np.ones(len(lower), bool) if cut is None else upper >= cut
+        return np.ones(len(lower), bool) if cut is None else upper >= min(cut, MOST_LONG)
 
-    return _top(*bounded_scan(rows, query, same, keep), k)
+    found, scores = bounded_scan(rows, query, same, keep)
+    return _top(found, np.maximum(np.minimum(scores, MOST_LONG), -MOST_LONG), k)
 
 
 def best_negatives(rows: Block, query: np.ndarray, others: np.ndarray, windows: list[tuple[int, int]], k: int):
@@ -177,10 +179,6 @@ def _paired(anchors: DataFrame, rows: DataFrame, anchor_blocks: int, row_blocks:
     return left.groupBy("part", "block").cogroup(right.groupBy("part", "block"))
 
 
-def _long(x: int) -> int:
-    return max(-(2**63), min(2**63 - 1, x))
-
-
 def mined(
     vectors: DataFrame,
     scratch: Scratch,
@@ -204,6 +202,8 @@ def mined(
     id_type = rows.schema["id"].dataType.simpleString()
     found = f"anchor_id {id_type}, a_file long, a_row long, id {id_type}, _file long, _row long, score long"
 
+    found_schema, negative_schema = _arrow(found), _arrow(f"{found}, nth long")
+
     def table(out: list[tuple], left: Block, right: Block, extra: list[str]) -> pa.Table:
         """Rows from (anchor place, row place, score, further numbers)."""
         a, b, *more = zip(*out) if out else ([], [], *[[]] * (1 + len(extra)))
@@ -215,12 +215,12 @@ def mined(
 
     def positive_part(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.schema(_arrow(found)).empty_table()
+            return found_schema.empty_table()
         anchors_, rows_ = Block(left), Block(right)
         queries, labels, out = _numbers(anchors_, rows_), rows_.labels(), []
         for i, label in enumerate(anchors_.labels()):
             same = np.flatnonzero((labels == label) & ~(rows_.key == anchors_.key[:, i : i + 1]).all(axis=0))
-            out += [(i, place, _long(score)) for place, score in best_positives(rows_, queries[i], same, positives)]
+            out += [(i, place, score) for place, score in best_positives(rows_, queries[i], same, positives)]
         return table(out, anchors_, rows_, [])
 
     met = _paired(_packed(anchors, "part"), blocks, anchor_blocks, row_blocks).applyInArrow(positive_part, found)
@@ -234,7 +234,7 @@ def mined(
 
     def negative_part(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.schema(_arrow(f"{found}, nth long")).empty_table()
+            return negative_schema.empty_table()
         anchors_, rows_ = Block(left, "positives"), Block(right)
         queries, labels, out = _numbers(anchors_, rows_), rows_.labels(), []
         chosen_ = anchors_.fields["positives"].to_pylist()
@@ -242,7 +242,7 @@ def mined(
             others = np.flatnonzero(labels != label)
             ranges = [score_window(p["score"], window) for p in chosen_[i]]
             for p, part in zip(chosen_[i], best_negatives(rows_, queries[i], others, ranges, negatives)):
-                out += [(i, place, _long(score), p["nth"]) for place, score in part]
+                out += [(i, place, score, p["nth"]) for place, score in part]
         return table(out, anchors_, rows_, ["nth"])
 
     pairs = _paired(_packed(known, "part", "positives"), blocks, anchor_blocks, row_blocks)

@@ -17,7 +17,8 @@ of slices of a leaf follows its document count.
 Defined cases: a null domain, language or source is a node of its own; a null
 or empty text has no tokens and is taken only if the prefix passes it; weights
 default to 1, a weight of 0 gets nothing; an empty table gives no rows; rows
-that are equal are ordered by their stored position.
+that are equal are ordered by their stored position. Columns of any name are
+returned with their values.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from posloom.llm.common import KEY, Scratch, read_table, row_keyed, words_of
+from posloom.llm.common import KEY, Scratch, read_table, row_keyed, words_of, wrapped
 
 LEVELS = ("domain", "lang", "source")
 SEED = 7_321
@@ -161,10 +162,10 @@ def mixed(
 def draw_mix(docs: DataFrame, share: float, epochs: int, **options) -> DataFrame:
     """``docs`` as the mix takes them: a row for each time it is taken; columns unchanged."""
     scratch = Scratch(docs.sparkSession)
-    keyed = row_keyed(docs, scratch)
-    taken = mixed(keyed.drop(*KEY), share, epochs, **options).filter("times > 0").select(*KEY, F.col("times").alias("_times"))
-    repeated = keyed.join(taken, KEY)
-    return repeated.withColumn("_times", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select(*docs.columns)
+    keyed = wrapped(docs, scratch, id="doc_id", text="text", lang="lang", source="source")
+    taken = mixed(keyed.select("id", "text", "lang", "source"), share, epochs, id_col="id", **options).filter("times > 0")
+    repeated = keyed.select("doc", *KEY).join(taken.select(*KEY, "times"), KEY)
+    return repeated.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("nth")).select("doc.*")
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ copies cost one signature. No pair of copies is ever made a row.
 
 Defined cases: texts without words are equal to each other; a null id is larger
 than any other; of a class the smallest id stays, then the row stored first; an
-empty table gives no rows.
+empty table gives no rows. Columns of any name are returned with their values.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
 
-from posloom.llm.common import KEY, Scratch, read_table, row_keyed
+from posloom.llm.common import KEY, Scratch, read_table, row_keyed, wrapped
 
 WORDS = 5
 BANDS = 32
@@ -382,15 +382,14 @@ def _labels(keyed: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
     labels = components(links, scratch)
 
     large = members.filter(F.col("members") > SMALL_BUCKET)
-    groups = components(large.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), scratch)
+    groups = components(_hub_edges(large), scratch)
     standing = (
         groups.withColumnRenamed("label", "group")
         .join(nodes.select("node", "size"), "node")
         .join(labels, "node", "left")
         .withColumn("label", F.coalesce("label", "node"))
     )
-    links = scratch.stage(links.unionByName(_blocks(standing, contents, scratch)))
-    labels = components(links, scratch)
+    labels = _relabelled(labels, _blocks(standing, contents, scratch), scratch)
 
     small = members.filter(F.col("members") <= SMALL_BUCKET).join(labels, "node", "left")
     small = small.select("bucket", "node", "size", F.coalesce("label", "node").alias("label"))
@@ -400,15 +399,39 @@ def _labels(keyed: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
     pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")))
     pairs = pairs.filter(_sizes_fit("x.size", "y.size")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     pairs = pairs.join(stars, ["a", "b"], "left_anti")
-    return components(links.unionByName(_verified(pairs, contents)), scratch)
+    return _relabelled(labels, _verified(pairs, contents), scratch)
+
+
+def _hub_edges(members: DataFrame) -> DataFrame:
+    """Edges that connect what buckets connect: a text with its smallest hub, and that hub with the text's others.
+
+    A bucket's own hub is one of its texts, and pairs of hubs are few however many texts share them.
+    """
+    texts = members.groupBy("node").agg(F.min("hub").alias("least"), F.collect_set("hub").alias("hubs"))  # at most BANDS
+    own = texts.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    between = texts.select(F.col("least").alias("a"), F.explode("hubs").alias("b")).filter("a <> b").distinct()
+    return own.unionByName(between)
+
+
+def _relabelled(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """Labels after further links: components of the labels that the links join, so old links are not walked again."""
+    links = scratch.stage(links)
+    for end in ("a", "b"):
+        here = labels.select(F.col("node").alias(end), F.col("label").alias("_label"))
+        links = links.join(here, end, "left").withColumn(end, F.coalesce("_label", end)).drop("_label")
+    joined = scratch.stage(components(links.filter("a <> b").distinct(), scratch))
+    lower = joined.select(F.col("node").alias("label"), F.col("label").alias("low"))
+    moved = labels.join(lower, "label", "left").select("node", F.coalesce("low", "label").alias("label"))
+    fresh = joined.join(labels.select("node"), "node", "left_anti")
+    return scratch.stage(moved.unionByName(fresh))
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class; columns unchanged."""
     scratch = Scratch(docs.sparkSession)
-    keyed = row_keyed(docs, scratch)
-    dropped = near_classes(keyed.drop(*KEY), id_col, text_col).filter("NOT kept").select(*KEY)
-    return keyed.join(dropped, KEY, "left_anti").select(*docs.columns)
+    keyed = wrapped(docs, scratch, id=id_col, text=text_col)
+    dropped = near_classes(keyed.select("id", "text"), "id", "text").filter("NOT kept").select(*KEY)
+    return keyed.join(dropped, KEY, "left_anti").select("doc.*")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -211,7 +211,7 @@ def _written(root: str, vocabulary: str, file_tokens: int, schema: pa.Schema):
 
         held = 0
         for batch in batches:
-            for part, texts in slices(batch, "text"):
+            for part, texts in slices(batch, "text", TEXT_AT_ONCE):
                 keys.append(part.select(["id", *KEY]))
                 ids, counts = with_end(*encoder.encode(texts), END_ID)
                 data.append(ids)
@@ -226,7 +226,7 @@ def _written(root: str, vocabulary: str, file_tokens: int, schema: pa.Schema):
     return run
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = TEXT_AT_ONCE) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of a batch with about ``size`` characters of text each, and their texts; null is empty."""
     at, total, texts = 0, 0, []
     for text in batch.column(batch.schema.get_field_index(column)):

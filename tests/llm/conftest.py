@@ -4,6 +4,7 @@ import pytest
 from corpus_texts import prose
 from pyspark.sql import types as T
 
+CLASHING = ("kept", "_row", "_file", "_times", "doc", "id", "node", "size", "label", "toxicity", "times", "shard")
 DOCUMENT = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -12,10 +13,9 @@ DOCUMENT = T.StructType(
         T.StructField("source", T.StringType()),
         T.StructField("n_chars", T.LongType()),
         # names the operators use themselves
-        *[T.StructField(n, T.StringType()) for n in ("kept", "_row", "node", "size", "label", "toxicity", "times", "shard")],
+        *[T.StructField(n, T.StringType()) for n in CLASHING],
     ]
 )
-EXTRA = ("x",) * 8
 
 
 def edge_rows() -> list[tuple]:
@@ -38,7 +38,7 @@ def edge_rows() -> list[tuple]:
     for n, (doc, text) in enumerate([*texts, *copies, *changed]):
         lang = [None, "en", "de", "fr"][n % 4]
         source = [None, "src0", "src0", "src0", "src12", "plain"][n % 6]
-        rows.append((doc, text, lang, source, None, *EXTRA))
+        rows.append((doc, text, lang, source, None, *[f"{name} of {n}" for name in CLASHING]))
     return rows
 
 
@@ -50,6 +50,19 @@ def edge(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
+@pytest.fixture(scope="session")
+def unchanged():
+    """Checks that rows of a stage are rows of the edge table, all columns with their values."""
+    known = {row[-1]: row for row in edge_rows()}
+
+    def check(stage):
+        found = [tuple(r) for r in stage.collect()]
+        assert all(known[row[-1]] == row for row in found)
+        return found
+
+    return check
+
+
 @pytest.fixture(scope="session")
 def nothing(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("nothing") / "documents.parquet")

@@ -36,8 +36,9 @@ def test_exact_groups_equal_brute_force(edge):
         assert sum(r["kept"] for r in got) == len(groups)
 
 
-def test_exact_stage_keeps_columns(edge, nothing):
+def test_exact_stage_keeps_columns(edge, nothing, unchanged):
     kept = exact_dedup.drop_exact(edge)
+    unchanged(kept)
     assert kept.columns == edge.columns
     texts = [normal(r["text"]) for r in kept.select("text").collect()]
     assert len(texts) == len(set(texts)) == len({normal(r["text"]) for r in edge.select("text").collect()})
@@ -90,13 +91,51 @@ def test_near_classes_equal_brute_force(edge, monkeypatch):
     assert sum(r["kept"] for r in got) == len(by_text)
 
 
-def test_near_stage(edge, nothing):
+def test_near_stage(edge, nothing, unchanged):
     kept = near_dedup.drop_near(edge)
+    unchanged(kept)
     assert kept.columns == edge.columns
     assert kept.count() == len(set(classes([r["text"] for r in edge.collect()])))
     assert near_dedup.drop_near(nothing).collect() == []
 
 
+def test_hub_edges_connect_what_buckets_connect(spark):
+    """Few edges even where every text has many buckets, and the same components."""
+    rng = np.random.default_rng(7)
+    buckets = {b: rng.choice(400, 60, replace=False) + 1000 * (b % 3) for b in range(24)}
+    names = [str(x).zfill(6).encode() for x in range(4000)]
+    rows = [(names[t], b, names[min(texts)]) for b, texts in buckets.items() for t in texts.tolist()]
+    members = spark.createDataFrame(rows, "node binary, bucket long, hub binary")
+    edges = near_dedup._hub_edges(members).collect()
+    texts = {bytes(r[0]) for r in rows}
+    assert len(edges) <= len(texts) + len(buckets) ** 2
+
+    def together(pairs):
+        parent = {t: t for t in texts}
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in pairs:
+            x, y = sorted((root(bytes(a)), root(bytes(b))))
+            parent[y] = x
+        return {t: root(t) for t in texts}
+
+    assert together((e["a"], e["b"]) for e in edges) == together((r[0], r[2]) for r in rows)
+
+
+def test_later_links_join_labels(spark):
+    from posloom.llm.common import Scratch
+
+    scratch = Scratch(spark)
+    labels = spark.createDataFrame([(b"a", b"a"), (b"b", b"a"), (b"c", b"c"), (b"d", b"c"), (b"e", b"e"), (b"f", b"e")], "node binary, label binary")
+    links = spark.createDataFrame([(b"b", b"d"), (b"x", b"f"), (b"y", b"z"), (b"a", b"b")], "a binary, b binary")
+    got = {bytes(r["node"]): bytes(r["label"]) for r in near_dedup._relabelled(labels, links, scratch).collect()}
+    assert got == {b"a": b"a", b"b": b"a", b"c": b"a", b"d": b"a", b"e": b"e", b"f": b"e", b"x": b"e", b"y": b"y", b"z": b"y"}
+
+
 def test_signatures_estimate_weighted_similarity():
     """Agreement of registers is close to the weighted similarity, heavy weights included."""
     rng = np.random.default_rng(3)

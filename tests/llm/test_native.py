@@ -149,8 +149,9 @@ def test_mix_does_not_depend_on_slices(edge):
     assert sorted(map(str, one)) == sorted(map(str, other))
 
 
-def test_mix_stage(edge, nothing):
+def test_mix_stage(edge, nothing, unchanged):
     drawn = mixing.draw_mix(edge, 1.0, 3)
+    unchanged(drawn)
     assert drawn.columns == edge.columns
     times = Counter(r["text"] for r in drawn.select("text").collect())
     want = Counter()
