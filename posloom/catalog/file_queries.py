@@ -15,7 +15,7 @@ from posloom.catalog import views as v
 from posloom.catalog.operator_queries import OUTCOMES, WEEK, outcomes
 from posloom.catalog.registry import register
 from posloom.functions import conditions as cond
-from posloom.plans.publish import Sinks, publish
+from posloom.plans.publish import Sinks, publish, read_ledger, read_published
 from posloom.session import shared_dir
 from posloom.sources import text as text_files
 from posloom.streaming import guard, weekly
@@ -107,22 +107,21 @@ def _sink_sql(held: str) -> str:
 
 
 def _sinks_read_back(spark: SparkSession, sinks: Sinks) -> DataFrame:
-    def totals(sink: str, path: str, sep: str, n) -> DataFrame:
-        rows = spark.read.option("header", True).option("sep", sep).csv(path)
+    def totals(shown: str, sink: str, n) -> DataFrame:
         amount = F.col("POSAmount").cast("decimal(28,4)")
-        return rows.groupBy(
-            F.lit(sink).alias("sink"),
+        return read_published(spark, sinks, sink).groupBy(
+            F.lit(shown).alias("sink"),
             F.col("for_account").alias("account"),
-            F.col("for_week").cast("string").alias("week"),
+            F.col("for_week").alias("week"),
         ).agg(n, F.sum(amount).alias("amount"))
 
     written = F.count(F.lit(1)).alias("n")
     counted = F.sum(F.col("row_count").cast("bigint")).alias("n")
     return (
-        totals("tsv", sinks.tsv, "\t", written)
-        .unionByName(totals("archive", sinks.archive_csv, ",", written))
-        .unionByName(totals("exceptions", sinks.exceptions, ",", written))
-        .unionByName(totals("validation", sinks.validation, ",", counted))
+        totals("tsv", "tsv", written)
+        .unionByName(totals("archive", "archive_csv", written))
+        .unionByName(totals("exceptions", "exceptions", written))
+        .unionByName(totals("validation", "validation", counted))
     )
 
 
@@ -142,6 +141,24 @@ def _(spark, sf_dir):
     return _sinks_read_back(spark, sinks)
 
 
+@register(
+    "publish_ledger",
+    "SELECT DISTINCT 'part ' || (l_orderkey % 997) AS path, a AS account FROM lineitem, "
+    "(VALUES ('amazon'), ('sears'), ('target')) t(a) WHERE NOT (a = 'sears' AND l_orderkey % 997 IN "
+    + "(SELECT l_orderkey % 997 FROM (" + OUTCOMES + "SELECT src_row // 10 AS l_orderkey FROM outcomes "
+    "WHERE account = 'sears' AND outcome = 'exception')))",
+)
+def _(spark, sf_dir):
+    """Nearly a thousand files of each of three accounts; those of one account with exceptions come up again."""
+    sinks = Sinks.under(scratch(spark, "noted"))
+    number = F.floor(F.col("src_row") / 10)
+    rows = published_rows(spark, sf_dir, "sears").withColumn("src_file", F.concat(F.lit("part "), (number % 997).cast("string")))
+    parts = v.table(spark, sf_dir, "lineitem").select(F.concat(F.lit("part "), (F.col("l_orderkey") % 997).cast("string")).alias("path")).distinct()
+    names = F.array(*[F.struct(F.lit(n).alias("account"), F.lit(n.upper()).alias("major")) for n in ("amazon", "sears", "target")])
+    publish(spark, rows, sinks, parts.select("path", F.inline(names)))
+    return read_ledger(spark, sinks.commits)
+
+
 def newest_first(spark: SparkSession, path: str, schema) -> DataFrame:
     """A stream of a folder's files or of one file, one file a batch, newest first."""
     one = f"{path[:-1]}[{path[-1]}]"  # a pattern may name a file or a folder of files

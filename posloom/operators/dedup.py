@@ -7,8 +7,6 @@ ships one row per map task, not the group.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,19 +22,12 @@ def first_per_key(df: DataFrame, keys: list[str | Column], order: list[str | Col
 def first_per_key_if(
     df: DataFrame, flag: DataFrame, keys: list[str | Column], order: list[str | Column]
 ) -> DataFrame:
-    """``first_per_key`` if the one-row, one-column ``flag`` is true, else ``df``."""
-    return when_flag(flag, df, lambda d: first_per_key(d, keys, order), lambda d: d)
-
-
-def when_flag(
-    flag: DataFrame,
-    df: DataFrame,
-    fired: Callable[[DataFrame], DataFrame],
-    otherwise: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """``fired(df)`` if the one-row flag is true, ``otherwise(df)`` if not.
+    """``first_per_key`` if the one-row, one-column ``flag`` is true, else ``df``.
 
-    The flag's aggregate runs now and one boolean comes back. Planning both
-    branches and filtering one of them empty would read the feed once more.
+    One plan: the flag is a scalar subquery, so nothing runs while the plan is
+    built and ``df`` is read once beside the flag. Where the flag is false every
+    row gets a key of its own; the rows then spread evenly and all are first.
     """
-    return fired(df) if flag.first()[0] else otherwise(df)
+    alone = F.when(F.coalesce(flag.scalar(), F.lit(False)), F.lit(None)).otherwise(F.monotonically_increasing_id())
+    steered = df.withColumn("_alone", alone)
+    return first_per_key(steered, [*keys, "_alone"], order).drop("_alone")

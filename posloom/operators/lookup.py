@@ -2,9 +2,9 @@
 
 A master is reduced to its first row per key, measured once, and broadcast
 only if the measured size is within the session's limit. Beyond that the feed
-is split by key weight: keys that each hold over a thousandth of the feed (so
-fewer than a thousand keys, whatever the data) join their few master rows by
-broadcast, the rest shuffles evenly.
+is split by key weight: keys that each hold over a thousandth of the feed (found
+by a sketch, so at most a fixed number of keys, whatever the data) join their few
+master rows by broadcast, the rest shuffles evenly.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ from posloom.operators.dedup import first_per_key
 from posloom.session import broadcast_limit
 
 HEAVY_SHARE = 1000
+HEAVY_KEYS = 2000  # no more keys can have an estimate over 1/HEAVY_SHARE of the rows
+SKETCH_KEYS = 8192
+SALTS = 4096
 ROW_OVERHEAD_BYTES = 16
 
 
@@ -89,44 +92,58 @@ def lookup(
 def weighted_lookup(
     feed: DataFrame, dim: DataFrame, on: list[tuple[str, str]], null_safe: bool = False
 ) -> DataFrame:
-    """Left join to a dimension too large to broadcast, safe for heavy keys."""
+    """Left join to a dimension too large to broadcast, safe for heavy keys.
+
+    The feed is read twice: once for a sketch of its heavy keys, once to be
+    joined. Master rows of heavy keys go by broadcast. Feed rows that are done
+    by then (or can match nothing) pass the shuffled join under a salt that no
+    master row has, so they spread evenly.
+    """
     feed_keys = [f for f, _ in on]
-    heavy = heavy_keys(feed, feed_keys).select(
-        *[F.col(k).alias(f"_heavy_{i}") for i, k in enumerate(feed_keys)]
-    )
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_heavy_{i}")) for i, k in enumerate(feed_keys)],
-    )
-    marked = feed.join(F.broadcast(heavy.withColumn("_is_heavy", F.lit(True))), same, "left")
-    helper = ["_is_heavy", *heavy.columns]
+    numbered = range(len(on))
+    heavy = F.broadcast(heavy_keys(feed, feed_keys))
+    types = [feed.schema[f].dataType for f in feed_keys]
+    dim_hash = F.xxhash64(*[F.col(d).cast(t) for (_, d), t in zip(on, types)])
+    row = F.struct(*[F.col(f"`{c}`") for c in dim.columns])
+    keyed = dim.select(*[F.col(d).alias(f"_dim_{i}") for i, (_, d) in enumerate(on)], row.alias("_row"), dim_hash.alias("_hash"))
+
+    marked = feed.join(heavy, F.xxhash64(*feed_keys) == F.col("_heavy"), "left")
     keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in feed_keys])
-    # A row that can match nothing must not travel to the one NULL partition.
-    near = F.col("_is_heavy").isNotNull() if null_safe else F.col("_is_heavy").isNotNull() | keyless
-
-    light_feed = marked.filter(~near).drop(*helper)
-    near_feed = marked.filter(near).drop(*helper)
-    dim_same = reduce(
-        lambda a, b: a & b,
-        [F.col(d).eqNullSafe(F.col(f"_heavy_{i}")) for i, (_, d) in enumerate(on)],
-    )
-    near_dim = dim.join(F.broadcast(heavy), dim_same, "left_semi")
+    near = F.col("_heavy").isNotNull() if null_safe else F.col("_heavy").isNotNull() | keyless
+    plain = [f.name for f in feed.schema.fields if f.dataType.typeName() != "map"]  # maps have no hash
+    salt = F.when(near, 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(SALTS))).otherwise(0)
 
-    light = light_feed.join(dim, _condition(light_feed, dim, on, null_safe), "left")
-    close = near_feed.join(
-        F.broadcast(near_dim), _condition(near_feed, near_dim, on, null_safe), "left"
-    )
-    return light.unionByName(close)
+    def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+        return rows.select(*[F.col(f"_dim_{i}").alias(f"{name}_{i}") for i in numbered], F.col("_row").alias(name), *more)
+
+    def same(name: str) -> Column:
+        pairs = [(F.col(f"`{f}`"), F.col(f"{name}_{i}")) for i, f in enumerate(feed_keys)]
+        return reduce(lambda a, b: a & b, [x.eqNullSafe(y) if null_safe else x == y for x, y in pairs])
+
+    near_dim = side(keyed.join(heavy, F.col("_hash") == F.col("_heavy"), "left_semi"), "_near")
+    # Always 0, but not a literal: the salt stays a key of the shuffle.
+    far_dim = side(keyed.withColumn("_zero", F.pmod("_hash", F.lit(1))), "_far", "_zero")
+    closed = marked.withColumn("_salt", salt.cast("bigint")).join(F.broadcast(near_dim), same("_near"), "left")
+    met = closed.join(far_dim, same("_far") & (F.col("_salt") == F.col("_zero")), "left")
+    found = [F.coalesce(F.col(f"_near.`{c}`"), F.col(f"_far.`{c}`")).alias(c) for c in dim.columns]
+    return met.select(*[F.col(f"`{c}`") for c in feed.columns], *found)
 
 
 def heavy_keys(feed: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys holding more than 1/HEAVY_SHARE of the rows: fewer than that many."""
-    total = feed.agg(F.count(F.lit(1)).alias("n"))
+    """Hashes (``_heavy``) of all keys that hold more than 1/HEAVY_SHARE of the rows.
+
+    They come from a mergeable frequent-items sketch, one small state per task,
+    so no table of all keys is shuffled. The sketch's error is at most 3.5 in
+    SKETCH_KEYS of the rows: no heavy key is missing, and as many as HEAVY_KEYS
+    keys have an estimate that large. A key that is a little lighter, or shares
+    a hash, may be among them; only a few more master rows then travel.
+    """
+    top = F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(HEAVY_KEYS), F.lit(SKETCH_KEYS))
     return (
-        feed.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") * HEAVY_SHARE > total.scalar())
-        .select(*keys)
+        feed.agg(top.alias("_top"), F.count(F.lit(1)).alias("_rows"))
+        .select(F.explode("_top").alias("_key"), "_rows")
+        .filter(F.col("_key.count") * HEAVY_SHARE > F.col("_rows"))
+        .select(F.col("_key.item").alias("_heavy"))
     )
 
 

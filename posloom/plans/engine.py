@@ -394,15 +394,27 @@ def _first_pass(
         joined = plain(feed)
         once = dedup.first_per_key(joined.filter(_hit(1)), keys, [*order, "m1.master_row"])
         return once.unionByName(joined.filter(~_hit(1)))
+    # Whether duplicates go is a scalar subquery of the plan: the same rows then
+    # go through one keep-first and one join, steered by it.
+    in_feed = set(keys) <= set(feed.columns)
     if spec.dedup == "rows":
         flag = fanout.rows_multiply(
             flag_feed, items, step.feed_key, step.master_key, master_bytes=master.size
         )
-        return dedup.when_flag(flag, feed, kept_first, single)
+        if in_feed:
+            return single(dedup.first_per_key_if(feed, flag, keys, order))
+        return dedup.first_per_key_if(single(feed), flag, keys, order)
     flag = fanout.amount_changes(
         flag_feed, items, step.feed_key, step.master_key, master_bytes=master.size
     )
-    return dedup.when_flag(flag, feed, kept_first, plain)
+    steered = dedup.first_per_key_if(items, flag, [step.master_key], ["master_row"])
+
+    def joined_to(part: DataFrame) -> DataFrame:
+        return fan_out_join(part, _dimension(steered, step, 1), on, master_bytes=master.size)
+
+    if in_feed:
+        return joined_to(dedup.first_per_key_if(feed, flag, keys, order))
+    return dedup.first_per_key_if(joined_to(feed), flag, keys, order)
 
 
 def lay_out(

@@ -15,7 +15,7 @@ from posloom.operators.sets import append
 from posloom.plans.accounts import ACCOUNTS
 from posloom.plans.engine import layout_errors, run_account, sheet_rows
 from posloom.plans.master import Master, master_from_grid, measured
-from posloom.plans.publish import Sinks, note_processed, publish, read_ledger, stage, unstage
+from posloom.plans.publish import Sinks, publish, read_ledger, stage, unstage
 from posloom.plans.spec import STRICT, AccountSpec
 from posloom.schema import EXCEPTION, FINAL
 from posloom.sources import files as listing
@@ -186,8 +186,9 @@ def run(
 ) -> WeeklyRun:
     """Find, read, check, match and publish the latest file of every account.
 
-    With a ``ledger`` folder, files of published accounts are noted there and
-    left alone by later runs; a file held back by exceptions comes up again.
+    Rows and the list of files that are done are published by one commit. With a
+    ``ledger`` folder commits are kept there, and files that an earlier run
+    published are left alone; a file held back by exceptions comes up again.
     """
     tokens = account_tokens(accounts)
     files = with_majors(select_files(spark, raw_dir, tokens, ledger), accounts)
@@ -196,9 +197,7 @@ def run(
     check_layouts(grid, present, accounts)
     watched: dict[str, Observation] = {}
     rows = run_grid(grid, present, master, run_date, accounts, mode, watched)
-    staged = publish(spark, rows, Sinks.under(out), files)
-    if ledger:
-        note_processed(files, staged, ledger)
+    staged = publish(spark, rows, Sinks.under(out, ledger), files)
     missing = tuple(t for t in tokens if t not in present)
     unstage(spark, grid)
     if warehouse is None:

@@ -2,6 +2,12 @@
 
 Outcomes are computed once, into a staged table in the shared folder; every
 sink reads that table. A lost executor costs the tasks it ran, not the lineage.
+
+A run writes a version of its own into each sink and then names it in one
+commit, together with the files that are done. Until then readers find what was
+published before, from then on the new rows; nothing is removed in between, and
+a run that stops anywhere can be repeated. ``read_published`` reads the sinks,
+``vacuum`` removes versions that no reader is given any more.
 """
 
 from __future__ import annotations
@@ -14,27 +20,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posloom.operators.control import control_totals
+from posloom.operators.sets import append
 from posloom.plans.engine import exception_rows
 from posloom.schema import CANONICAL, EXCEPTION, FINAL
 from posloom.session import shared_dir
+from posloom.sources import commits as log
+
+SINKS = {"tsv": "\t", "archive_csv": ",", "exceptions": ",", "validation": ","}  # and what separates their cells
 
 
 @dataclass(frozen=True)
 class Sinks:
-    """Folders of the four published tables."""
+    """Folders of the four published tables, and of the commits that name their versions."""
 
     tsv: str
     archive_csv: str
     exceptions: str
     validation: str
+    commits: str
 
     @classmethod
-    def under(cls, folder: str) -> Sinks:
+    def under(cls, folder: str, commits: str | None = None) -> Sinks:
         base = folder.rstrip("/")
         return cls(
-            f"{base}/processed_tsv", f"{base}/archive_csv", f"{base}/exceptions", f"{base}/validation"
+            f"{base}/processed_tsv",
+            f"{base}/archive_csv",
+            f"{base}/exceptions",
+            f"{base}/validation",
+            commits or f"{base}/_commits",
         )
 
+    def path(self, sink: str) -> str:
+        return getattr(self, sink)
+
 
 def failed_groups(rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return rows.filter(F.col("outcome") == EXCEPTION).select(*by).distinct()
@@ -67,16 +85,14 @@ PARTITIONS = ("for_account", "for_file", "for_week")
 
 
 def write_text(df: DataFrame, path: str, sep: str = ",") -> None:
-    """Headed text per account, file token and week; a re-run replaces just those folders.
+    """Headed text in a new folder, by account, file token and week.
 
     The partition columns are copies, so the files keep every column. The
     rebalance gives files of even size, however large one account is.
     """
     (
         df.hint("rebalance", *PARTITIONS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
+        .write.partitionBy(*PARTITIONS)
         .option("sep", sep)
         .option("header", True)
         .option("emptyValue", "")
@@ -92,18 +108,6 @@ def _partition_columns() -> dict:
     }
 
 
-def clear_partitions(spark: SparkSession, sink: str, keys: set[tuple[str, str, str]]) -> None:
-    """Remove what earlier runs published under ``keys``: (account, token, week), one per file of the run."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    pattern = path("/".join([sink, *[f"{name}=*" for name in PARTITIONS]]))
-    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in system.globStatus(pattern) or []:
-        folder = found.getPath()
-        parts = [folder.getParent().getParent(), folder.getParent(), folder]
-        if tuple(unquote(part.getName().partition("=")[2]) for part in parts) in keys:
-            system.delete(folder, True)
-
-
 def with_tokens(rows: DataFrame, files: DataFrame | None) -> DataFrame:
     """Outcomes with the token of the file they came from; null without a file list.
 
@@ -116,46 +120,94 @@ def with_tokens(rows: DataFrame, files: DataFrame | None) -> DataFrame:
     return rows.join(F.broadcast(named), same, "left").withColumn("token", F.col("_token")).drop("_path", "_token", "_major")
 
 
+RECORD = (
+    "version string, groups array<array<string>>, done array<array<string>>, "
+    "columns map<string, array<string>>"
+)
+
+
 def publish(spark: SparkSession, rows: DataFrame, sinks: Sinks, files: DataFrame | None = None) -> DataFrame:
     """Write outcomes of any number of accounts; returns the staged rows.
 
     Each account and file token is judged by itself: with exceptions it gets
     only its exceptions written, without it gets its rows (tab separated, and
-    the CSV archive) and control totals. What an earlier run published for the
-    same account, token and week goes from all four sinks, so a file that now
-    fails is no longer published, and exceptions that are mended are gone.
+    the CSV archive) and control totals. The commit takes the place of what
+    earlier runs published for the same account, token and week in all four
+    sinks, so a file that now fails is no longer published, and exceptions that
+    are mended are gone. It also notes the files without exceptions as done.
     """
     staged = stage(with_tokens(rows, files).withColumns(_partition_columns()), spark, "outcomes", ("AccountMajor", "outcome"))
     by = ("for_account", "for_file")
     passed = gate(staged, by).filter(F.col("outcome") == FINAL)
     clean = passed.select(*CANONICAL, *PARTITIONS)
-    run = {tuple(r) for r in staged.select(*PARTITIONS).distinct().collect()}  # one per file and week
-    for sink in (sinks.tsv, sinks.archive_csv, sinks.exceptions, sinks.validation):
-        clear_partitions(spark, sink, run)
     failed = staged.filter(F.col("outcome") == EXCEPTION)
-    kept = exception_rows(staged).columns
-    write_text(failed.select(*kept, *PARTITIONS), sinks.exceptions)
-    write_text(clean, sinks.tsv, "\t")
-    write_text(clean, sinks.archive_csv)
-    write_text(control_totals(passed, ("AccountMajor", "WeekEnding", *PARTITIONS)), sinks.validation)
+    parts = {
+        "tsv": clean,
+        "archive_csv": clean,
+        "exceptions": failed.select(*exception_rows(staged).columns, *PARTITIONS),
+        "validation": control_totals(passed, ("AccountMajor", "WeekEnding", *PARTITIONS)),
+    }
+    version = f"v{uuid.uuid4().hex}"
+    for sink, part in parts.items():
+        write_text(part, f"{sinks.path(sink)}/version={version}", SINKS[sink])
+    groups = [list(r) for r in staged.select(*PARTITIONS).distinct().collect()]  # one per file and week
+    done = [] if files is None else [list(r) for r in processed(files, staged).collect()]  # one per file of the run
+    columns = {sink: [c for c in part.columns if c not in PARTITIONS] for sink, part in parts.items()}
+    log.commit(spark, sinks.commits, {"version": version, "groups": groups, "done": done, "columns": columns})
     return staged
 
 
-def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+def live_groups(spark: SparkSession, sinks: Sinks) -> DataFrame:
+    """The version each published account, token and week is read from."""
+    found = log.read_commits(spark, sinks.commits, RECORD).select("number", "version", F.explode("groups").alias("g"))
+    keys = [F.col("g")[i].alias(name) for i, name in enumerate(PARTITIONS)]
+    return found.groupBy(*keys).agg(F.max_by("version", "number").alias("version"))
+
+
+def read_published(spark: SparkSession, sinks: Sinks, sink: str) -> DataFrame:
+    """A sink's rows as last committed, all cells as text, with the partition columns."""
+    live = live_groups(spark, sinks)
+    wanted = live.select("version").distinct()
+    written = log.read_commits(spark, sinks.commits, RECORD).join(wanted, "version", "left_semi")
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for row in written.select("version", "columns").collect():  # one per run that is still read from
+        layouts.setdefault(tuple(row["columns"][sink]), []).append(row["version"])
+    parts = []
+    for names, versions in layouts.items():
+        cells = ", ".join(f"`{n}` string" for n in (*names, "version", *PARTITIONS))
+        reader = spark.read.schema(cells).option("header", True).option("sep", SINKS[sink])
+        folders = [f"{sinks.path(sink)}/version={v}" for v in sorted(versions)]
+        parts.append(reader.option("basePath", sinks.path(sink)).csv(folders))
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in PARTITIONS))
+    return append(*parts).join(F.broadcast(live), ["version", *PARTITIONS], "left_semi").drop("version")
+
+
+def vacuum(spark: SparkSession, sinks: Sinks) -> list[str]:
+    """Remove versions that no group is read from, and those never committed. Run it when no one publishes or reads."""
+    live = {r["version"] for r in live_groups(spark, sinks).select("version").distinct().collect()}
+    gone = set()
+    for sink in SINKS:
+        for name in log.names_in(spark, sinks.path(sink)):
+            if name.startswith("version=") and name.removeprefix("version=") not in live:
+                log.remove(spark, f"{sinks.path(sink)}/{name}")
+                gone.add(name.removeprefix("version="))
+    return sorted(gone)
+
+
+def read_ledger(spark: SparkSession, commits: str) -> DataFrame:
     """Files already published, by path and token; none if nothing ever was."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(ledger)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], "path string, account string")
-    return spark.read.schema("path string, account string").parquet(ledger)
+    found = log.read_commits(spark, commits, RECORD).select(F.explode("done").alias("d"))
+    return found.select(F.col("d")[0].alias("path"), F.col("d")[1].alias("account")).distinct()
 
 
-def note_processed(files: DataFrame, staged: DataFrame, ledger: str) -> None:
-    """Add the files without exceptions to the ledger of finished loads.
+def processed(files: DataFrame, staged: DataFrame) -> DataFrame:
+    """Path and token of the files without exceptions.
 
     They come from the file list, so a file whose rows were all filtered out is
-    noted as well.
+    done as well.
     """
     failed = staged.filter(F.col("outcome") == EXCEPTION).select(
         F.col("src_file").alias("path"), F.col("AccountMajor").alias("major")
     ).distinct()
-    files.join(failed, ["path", "major"], "left_anti").select("path", "account").write.mode("append").parquet(ledger)
+    return files.join(failed, ["path", "major"], "left_anti").select("path", "account")

@@ -12,6 +12,7 @@ import fixtures
 from books import write_book
 from posloom.plans import job
 from posloom.plans.accounts import ACCOUNTS
+from posloom.plans.publish import Sinks, publish, read_ledger, read_published, vacuum
 from posloom.schema import CANONICAL
 from posloom.sources.workbook import read_workbooks
 
@@ -108,20 +109,21 @@ def test_outcomes_of_an_account(weekly, account):
     assert sorted((tuple(r) for r in failed.collect()), key=str) == sorted(expected, key=str)
 
 
-def read(spark, path, sep=","):
-    return spark.read.option("header", True).option("sep", sep).csv(str(path))
+def read(spark, out, sink, commits=None):
+    return read_published(spark, Sinks.under(str(out), commits and str(commits)), sink)
 
 
 def test_only_clean_accounts_are_published(spark, drop, weekly):
     clean = set(FINAL) - set(EXCEPTIONS)
-    tsv = read(spark, drop / "out/processed_tsv", "\t")
-    assert tsv.columns == [*CANONICAL, "for_account", "for_file", "for_week"]
+    out, ledger = drop / "out", drop / "ledger"
+    tsv = read(spark, out, "tsv", ledger)
+    assert tsv.columns == ["for_account", "for_file", "for_week", *CANONICAL]
     assert {r.AccountMajor for r in tsv.collect()} == clean
-    assert tsv.count() == sum(len(FINAL[a]) for a in clean) == read(spark, drop / "out/archive_csv").count()
-    failed = read(spark, drop / "out/exceptions")
+    assert tsv.count() == sum(len(FINAL[a]) for a in clean) == read(spark, out, "archive_csv", ledger).count()
+    failed = read(spark, out, "exceptions", ledger)
     assert {r.AccountMajor for r in failed.select("AccountMajor").collect()} == set(EXCEPTIONS)
     assert {"src_file", "src_row", "reason"} <= set(failed.columns)
-    totals = {r.AccountMajor: (r.POSAmount, r.POSQuantity, r.row_count) for r in read(spark, drop / "out/validation").collect()}
+    totals = {r.AccountMajor: (r.POSAmount, r.POSQuantity, r.row_count) for r in read(spark, out, "validation", ledger).collect()}
     assert totals == {
         "MEIJER": ("3.3400", "1", "1"),
         "WALMART": ("11.0000", "4", "2"),
@@ -129,11 +131,10 @@ def test_only_clean_accounts_are_published(spark, drop, weekly):
 
 
 def test_rerun_replaces_its_folders(spark, drop, weekly):
-    from posloom.plans.publish import Sinks, publish
-
-    before = read(spark, drop / "out/processed_tsv", "\t").count()
-    publish(spark, weekly.rows, Sinks.under(str(drop / "out")))
-    assert read(spark, drop / "out/processed_tsv", "\t").count() == before
+    sinks = Sinks.under(str(drop / "out"), str(drop / "ledger"))
+    before = read_published(spark, sinks, "tsv").count()
+    publish(spark, weekly.rows, sinks)
+    assert read_published(spark, sinks, "tsv").count() == before
 
 
 def outcome(account, name, kind, amount="1"):
@@ -142,48 +143,100 @@ def outcome(account, name, kind, amount="1"):
     return (name, 0, 1, *row.values(), kind, None if kind == "final" else "no_key", None, 1)
 
 
-def published(spark, rows, files, out):
-    from posloom.plans.publish import Sinks, publish
-
+def outcome_frame(spark, rows):
     kinds = {"POSAmount": "decimal(18,4)", "POSQuantity": "int", "WeekEnding": "date"}
     schema = "src_file string, src_sheet int, src_row bigint, " + ", ".join(f"{c} {kinds.get(c, 'string')}" for c in CANONICAL)
-    frame = spark.createDataFrame(rows, schema + ", outcome string, reason string, match_pass int, counted int")
-    named = spark.createDataFrame(files, "path string, account string, major string")
-    sinks = Sinks.under(str(out))
-    staged = publish(spark, frame, sinks, named)
+    return spark.createDataFrame(rows, schema + ", outcome string, reason string, match_pass int, counted int")
 
-    def held(path, sep=","):
-        try:
-            return sorted({(r.for_account, r.for_file) for r in read(spark, path, sep).collect()})
-        except Exception as error:  # an empty sink has no schema to read
-            assert "UNABLE_TO_INFER_SCHEMA" in str(error) or "PATH_NOT_FOUND" in str(error), error
-            return []
 
-    return staged, named, [held(sinks.tsv, "\t"), held(sinks.archive_csv), held(sinks.exceptions), held(sinks.validation)]
+def held(spark, sinks):
+    """Account and token of what each sink publishes."""
+    return [
+        sorted({(r.for_account, r.for_file) for r in read_published(spark, sinks, sink).collect()})
+        for sink in ("tsv", "archive_csv", "exceptions", "validation")
+    ]
+
+
+def published(spark, rows, files, out):
+    named = spark.createDataFrame(files, "path string, account string, major string")
+    sinks = Sinks.under(str(out))
+    publish(spark, outcome_frame(spark, rows), sinks, named)
+    return sinks, held(spark, sinks)
 
 
 def test_a_rerun_unpublishes_what_fails_now(spark, tmp_path):
     files = [("f1", "amazon", "AMAZON"), ("f2", "sears", "SEARS")]
     good, bad = [("amazon", "amazon")], [("sears", "sears")]
     rows = [outcome("AMAZON", "f1", "final"), outcome("SEARS", "f2", "final"), outcome("SEARS", "f2", "exception")]
-    assert published(spark, rows, files, tmp_path)[2] == [good, good, bad, good]
+    assert published(spark, rows, files, tmp_path)[1] == [good, good, bad, good]
     rows = [outcome("AMAZON", "f1", "exception"), outcome("SEARS", "f2", "final")]
-    assert published(spark, rows, files, tmp_path)[2] == [bad, bad, good, bad]
+    sinks, now = published(spark, rows, files, tmp_path)
+    assert now == [bad, bad, good, bad]
+    assert len(vacuum(spark, sinks)) == 1 and held(spark, sinks) == now and vacuum(spark, sinks) == []
 
 
 def test_two_files_of_one_account_are_published_by_themselves(spark, tmp_path):
-    from posloom.plans.publish import note_processed, read_ledger
-
     main, maxi = ("f1", "bbbmainline", "BUY BUY BABY"), ("f2", "bbbmaxi", "BUY BUY BABY")
     first = [("buy buy baby", "bbbmainline")]
-    staged, files, held = published(spark, [outcome("BUY BUY BABY", "f1", "final")], [main, ("f3", "sams", "SAMS")], tmp_path)
-    assert held == [first, first, [], first]
-    ledger = str(tmp_path / "ledger")
-    assert read_ledger(spark, ledger).count() == 0
-    note_processed(files, staged, ledger)  # a file without rows is done as well
-    assert sorted(r.account for r in read_ledger(spark, ledger).collect()) == ["bbbmainline", "sams"]
-    failed = published(spark, [outcome("BUY BUY BABY", "f2", "exception")], [maxi], tmp_path)[2]
+    assert read_ledger(spark, Sinks.under(str(tmp_path)).commits).count() == 0
+    sinks, now = published(spark, [outcome("BUY BUY BABY", "f1", "final")], [main, ("f3", "sams", "SAMS")], tmp_path)
+    assert now == [first, first, [], first]
+    # A file without rows is done as well.
+    assert sorted(r.account for r in read_ledger(spark, sinks.commits).collect()) == ["bbbmainline", "sams"]
+    failed = published(spark, [outcome("BUY BUY BABY", "f2", "exception")], [maxi], tmp_path)[1]
     assert failed == [first, first, [("buy buy baby", "bbbmaxi")], first]
+    assert sorted(r.account for r in read_ledger(spark, sinks.commits).collect()) == ["bbbmainline", "sams"]
+
+
+STEPS = ["write_text:0", "write_text:1", "write_text:3", "processed:0", "rename"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_run_that_stops_leaves_the_old_version(spark, tmp_path, monkeypatch, step):
+    """Stopped before each write, before the list of done files, and before the one step that commits."""
+    from posloom.plans import publish as module
+
+    files = [("f1", "amazon", "AMAZON"), ("f2", "sears", "SEARS")]
+    old = [outcome("AMAZON", "f1", "final", "5"), outcome("SEARS", "f2", "exception")]
+    sinks, before = published(spark, old, files, tmp_path)
+    done = sorted(tuple(r) for r in read_ledger(spark, sinks.commits).collect())
+    name, _, nth = step.partition(":")
+    calls = []
+
+    def stop_at(original):
+        def call(*args, **options):
+            calls.append(args)
+            if len(calls) > int(nth or 0):
+                raise KeyboardInterrupt
+            return original(*args, **options)
+
+        return call
+
+    with monkeypatch.context() as patch:
+        if name == "rename":
+            patch.setattr(module.log, "commit", stop_at(module.log.commit))
+        else:
+            patch.setattr(module, name, stop_at(getattr(module, name)))
+        new = [outcome("AMAZON", "f1", "exception"), outcome("SEARS", "f2", "final")]
+        with pytest.raises(KeyboardInterrupt):
+            published(spark, new, files, tmp_path)
+    assert held(spark, sinks) == before
+    assert sorted(tuple(r) for r in read_ledger(spark, sinks.commits).collect()) == done == [("f1", "amazon")]
+    after = published(spark, new, files, tmp_path)[1]  # the same run again
+    good, bad = [("sears", "sears")], [("amazon", "amazon")]
+    assert after == [good, good, bad, good]
+    vacuum(spark, sinks)
+    assert held(spark, sinks) == after
+
+
+def test_a_commit_is_not_overwritten(spark, tmp_path):
+    from posloom.sources import commits as log
+
+    folder = str(tmp_path / "log")
+    assert log.commit(spark, folder, {"version": "a"}) == 1 and log.commit(spark, folder, {"version": "b"}) == 2
+    with pytest.raises(FileExistsError):
+        log.commit(spark, folder, {"version": "c"}, 2)
+    assert sorted(tuple(r) for r in log.read_commits(spark, folder, "version string").collect()) == [(1, "a"), (2, "b")]
 
 
 def test_a_file_of_two_accounts_reaches_both(spark, drop, tmp_path):

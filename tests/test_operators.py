@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from decimal import Decimal
 
 import pytest
@@ -37,15 +38,36 @@ def test_weighted_lookup_equals_the_plain_join(skewed, dim, null_safe):
     assert rows(lookup.lookup(skewed, dim, on, null_safe), "id", "d_id") == expected
 
 
-def test_heavy_keys_are_few_whatever_the_data(skewed):
-    heavy = rows(lookup.heavy_keys(skewed, ["key"]))
-    assert ("hot",) in heavy and (None,) in heavy
-    assert len(heavy) < lookup.HEAVY_SHARE
-
-
-def test_rows_without_a_key_stay_out_of_the_shuffle(skewed, dim):
+def test_sketch_misses_no_heavy_key_and_names_few_others(spark):
+    """Two dozen keys over the limit among 200,000 light ones, in many tasks."""
+    feed = spark.range(0, 400_000, 1, 13).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN concat('h', id % 48) WHEN id % 1001 = 1 THEN NULL ELSE concat('k', id) END AS key"
+    )
+    counts = feed.groupBy("key").count()
+    total = feed.count()
+    true = counts.filter(F.col("count") * lookup.HEAVY_SHARE > total).select(F.xxhash64("key").alias("_heavy"))
+    found = {r[0] for r in lookup.heavy_keys(feed, ["key"]).collect()}
+    assert {r[0] for r in true.collect()} <= found and len(found) <= 40
+    plan = lookup.heavy_keys(feed, ["key"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange SinglePartition" in plan  # of sketches, not of keys
+
+
+def test_weighted_lookup_reads_the_feed_twice(spark, tmp_path, skewed, dim):
+    skewed.write.parquet(str(tmp_path / "feed"))
+    dim.write.parquet(str(tmp_path / "dim"))
+    feed, items = spark.read.parquet(str(tmp_path / "feed")), spark.read.parquet(str(tmp_path / "dim"))
+    joined = lookup.weighted_lookup(feed, items, [("key", "d_key")])
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    reads = [line for line in final.splitlines() if "FileScan" in line and "/feed" in line]
+    assert len(reads) <= 2, plan
+
+
+def test_rows_that_are_done_spread_over_the_shuffle(skewed, dim):
     plan = lookup.weighted_lookup(skewed, dim, [("key", "d_key")])._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in plan and "isnotnull" in plan.lower()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line and "_salt" in line]
+    assert len(joins) == 1 and re.search(r"_salt#\d+L = _zero#\d+L", joins[0])
 
 
 def test_broadcast_only_within_the_measured_limit(spark, skewed, dim):
@@ -58,9 +80,9 @@ def test_broadcast_only_within_the_measured_limit(spark, skewed, dim):
 
     spark.conf.set(BROADCAST_LIMIT_KEY, str(size))
     try:
-        assert hints().count("_is_heavy") == 0
+        assert hints().count("_heavy") == 0
         spark.conf.set(BROADCAST_LIMIT_KEY, str(size - 1))
-        assert hints().count("_is_heavy") > 0
+        assert hints().count("_heavy") > 0
     finally:
         spark.conf.unset(BROADCAST_LIMIT_KEY)
 
@@ -78,6 +100,20 @@ def test_first_per_key_reduces_a_hot_key_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+def test_conditional_dedup_is_one_plan(spark, tmp_path):
+    spark.range(500).selectExpr("id % 7 AS k", "id AS o").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    flag = df.agg((F.max("o") > 3).alias("f"))
+    spark.sparkContext.setJobGroup("planning", "")
+    kept = dedup.first_per_key_if(df, flag, ["k"], ["o"])
+    kept._jdf.queryExecution().executedPlan()
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("planning") == []
+    spark.sparkContext.setJobGroup("other", "")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("WindowGroupLimit") == 2
+    assert sorted(r.o for r in kept.collect()) == list(range(7))
+
+
 @pytest.mark.parametrize("fired", [True, False, None])
 def test_conditional_dedup(spark, fired):
     df = spark.createDataFrame([("a", 1), ("a", 2)], "k string, o int")
