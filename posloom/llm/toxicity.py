@@ -11,10 +11,16 @@ words inside an exception phrase do not count. A text's hits are normalised by
 its length and turned into a probability by a logistic curve fitted on the
 training rows.
 
-Bounds: the lexicon holds ``LEXICON_SIZE`` terms at most, the curve is fitted
-on about ``FIT_ROWS`` training rows chosen by a hash of the id. Counts are made over
-all different training texts, combined per batch and before the shuffle; of
-copies the row stored first is counted, found by 128 bits of a hash of the words.
+Every term that passes the thresholds is in the lexicon, save those that cannot
+change a score because a kept beginning of theirs weighs as much. A lexicon whose
+measured size is within the session's broadcast limit is matched in one pass by
+an automaton in every task; a larger one stays a table that the texts' words
+meet in a join, with the same result.
+
+Bounds: the curve is fitted on about ``FIT_ROWS`` training rows chosen by a hash
+of the id. Counts are made over all different training texts, combined per batch
+and before the shuffle; of copies the row stored first is counted, found by 128
+bits of a hash of the words.
 
 Defined cases: null and empty texts have no words and get the score of a text
 without hits; without labels, or with one class only, the lexicon is empty and
@@ -39,11 +45,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from posloom.llm.common import KEY, Scratch, read_table, row_keyed, top_rows
+from posloom.llm.common import KEY, Scratch, read_table, row_keyed
+from posloom.operators.lookup import measured_bytes
 from posloom.session import broadcast_limit
 
 THRESHOLD = 0.3
-LEXICON_SIZE = 5_000
 FIT_ROWS = 100_000
 PREFIXES = (4, 5, 6, 7, 8)
 MIN_CONTEXTS = 5  # far below 64, so 64 bits can tell it
@@ -138,7 +144,7 @@ def distinct_texts(training: DataFrame, scratch: Scratch) -> DataFrame:
     marks = scratch.stage(training.select(*KEY, "toxic", _words_hash("text").alias("words")))
     copied = marks.groupBy("words", "toxic").agg(F.min(F.struct(*KEY)).alias("first"), F.count("*").alias("n")).filter("n > 1")
     copies = scratch.stage(marks.join(copied, ["words", "toxic"]).filter(F.struct(*KEY) != F.col("first")).select(*KEY))
-    if copies.count() * 32 <= broadcast_limit(training.sparkSession):
+    if measured_bytes(copies) <= broadcast_limit(training.sparkSession):
         copies = F.broadcast(copies)
     return training.join(copies, KEY, "left_anti")
 
@@ -150,7 +156,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    if labels.count() * 32 <= broadcast_limit(labels.sparkSession):
+    if measured_bytes(known) <= broadcast_limit(labels.sparkSession):
         known = F.broadcast(known)
     rows = row_keyed(docs.select("doc_id", "text"), Scratch(docs.sparkSession))
     return rows.filter(~held_out()).join(known, "doc_id").filter("toxic IN (0, 1)")
@@ -160,8 +166,8 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learn_lexicon(training: DataFrame) -> dict[str, float]:
-    """Term to weight; a term that ends in ``*`` is the beginning of a longer word."""
+def learn_lexicon(training: DataFrame) -> DataFrame:
+    """``term`` and ``weight``; a term that ends in ``*`` is the beginning of a longer word."""
     scratch = Scratch(training.sparkSession)
     evidence = (
         distinct_texts(training, scratch)
@@ -178,21 +184,33 @@ def learn_lexicon(training: DataFrame) -> dict[str, float]:
     # One row, then rows tested against it: both are read from one staged table.
     evidence = scratch.stage(evidence)
     whole = evidence.filter("term = ''").first()
-    if whole is None or not whole["toxic"] or not whole["clean"]:
-        return {}
-    clean, toxic = whole["clean"], whole["toxic"]
+    clean, toxic = (whole["clean"], whole["toxic"]) if whole else (0, 0)
+    if not toxic or not clean:
+        return evidence.select("term", F.lit(0.0).alias("weight")).limit(0)
     share = toxic / (clean + toxic)
     expected = (F.col("clean") + F.col("toxic")) * share
     ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / clean)
-    chosen = (
+    passed = (
         evidence.filter("term <> ''")
         .withColumn("weight", F.log(ratio))
         .withColumn("sigma", (F.col("toxic") - expected) / F.sqrt(expected))
         .filter((F.col("weight") >= math.log(MIN_RATIO)) & (F.col("sigma") >= MIN_SIGMA))
-        .select("term", "weight", "sigma")
+        .select("term", "weight")
     )
-    chosen = top_rows(chosen, "sigma", LEXICON_SIZE, "term")  # the lexicon's documented bound
-    return {r["term"]: float(r["weight"]) for r in chosen}
+    return scratch.stage(without_implied(scratch.stage(passed)))
+
+
+def without_implied(terms: DataFrame) -> DataFrame:
+    """Terms that decide a weight: none whose beginning is a term of at least its weight.
+
+    A word counts with its largest weight, so the others change no score.
+    """
+    bare = F.regexp_replace("term", r"\*$", "")
+    longer = F.filter(F.array(*[F.lit(k) for k in PREFIXES]), lambda k: F.length(bare) > k)
+    begun = terms.select("term", "weight", F.explode(F.transform(longer, lambda k: F.concat(F.substring(bare, F.lit(1), k), F.lit("*")))).alias("start"))
+    starts = terms.select(F.col("term").alias("start"), F.col("weight").alias("over"))
+    implied = begun.join(starts, "start").filter(F.col("over") >= F.col("weight")).select("term").distinct()
+    return terms.join(implied, "term", "left_anti")
 
 
 class Matcher:
@@ -253,56 +271,135 @@ def fit_curve(features: np.ndarray, labels: np.ndarray, penalty: float = 1e-2, s
     return weights
 
 
-Model = tuple[dict[str, float], np.ndarray]  # lexicon and curve, small enough for every task
+class Model:
+    """Lexicon and curve. ``lexicon`` is a dictionary where it fits every task, else a table."""
+
+    def __init__(self, lexicon: dict[str, float] | DataFrame, curve: np.ndarray):
+        self.lexicon, self.curve = lexicon, curve
+
+
+def fitting(lexicon: DataFrame) -> dict[str, float] | DataFrame:
+    """The lexicon as a dictionary if its measured size allows it to be sent to every task."""
+    if measured_bytes(lexicon) > broadcast_limit(lexicon.sparkSession):
+        return lexicon
+    return {r["term"]: float(r["weight"]) for r in lexicon.collect()}
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     training = labelled(docs, labels)
-    lexicon = learn_lexicon(training)
+    lexicon = fitting(learn_lexicon(training))
     share = min(1.0, FIT_ROWS / max(1, labels.count()))  # documented bound of the curve's sample
-    rows = (
-        training.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * share))
-        .mapInPandas(_counted(lexicon, "toxic"), "words long, hits long, weight double, toxic int")
-        .toPandas()
-    )
+    sample = training.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * share))
+    rows = counted(sample.select("toxic", "text", *KEY), lexicon, "toxic").toPandas()
     if not len(rows):
-        return {}, np.asarray([-30.0, 0, 0, 0, 0])
+        return Model({}, np.asarray([-30.0, 0, 0, 0, 0]))
     toxic = rows["toxic"].to_numpy(float)
-    if not lexicon or toxic.min() == toxic.max():
+    found = rows[["words", "hits", "weight"]].to_numpy(float)
+    if not found[:, 1].any() or toxic.min() == toxic.max():
         odds = min(max(toxic.mean(), 1e-9), 1 - 1e-9)
-        return {}, np.asarray([math.log(odds / (1 - odds)), 0, 0, 0, 0])
-    counted = rows[["words", "hits", "weight"]].to_numpy(float)
-    return lexicon, fit_curve(_features(*counted.T), toxic)
+        return Model({}, np.asarray([math.log(odds / (1 - odds)), 0, 0, 0, 0]))
+    return Model(lexicon, fit_curve(_features(*found.T), toxic))
+
+
+COUNTS = "words long, hits long, weight double"
+
 
+def counted(docs: DataFrame, lexicon: dict[str, float] | DataFrame, *keep: str) -> DataFrame:
+    """Words, words hit and their summed weight of each text, beside the columns to keep.
+
+    ``docs`` has ``text``; for a lexicon that is a table also the row key.
+    """
+    kept = [docs.schema[c] for c in keep]
+    if isinstance(lexicon, DataFrame):
+        return _counted_by_join(docs, lexicon, *keep)
+    sent = docs.sparkSession.sparkContext.broadcast(lexicon)
 
-def _counted(lexicon: dict[str, float], *keep: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matcher = Matcher(lexicon)
+        matcher = Matcher(sent.value)
         for frame in frames:
-            found = [matcher.hits(t) for t in frame["text"]]
-            out = pd.DataFrame(found, columns=["words", "hits", "weight"])
+            out = pd.DataFrame([matcher.hits(t) for t in frame["text"]], columns=["words", "hits", "weight"])
             for name in keep:
                 out[name] = frame[name].to_numpy()
             yield out
 
-    return run
+    spec = ", ".join([COUNTS, *[f"`{f.name}` {f.dataType.simpleString()}" for f in kept]])
+    return docs.select("text", *keep).mapInPandas(run, spec)
+
+
+def _counted_by_join(docs: DataFrame, lexicon: DataFrame, *keep: str) -> DataFrame:
+    """The same through a join of the texts' different words with the lexicon's table."""
+
+    def words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import ahocorasick
+
+        spare = ahocorasick.Automaton()
+        for phrase in EXCEPTIONS:
+            spare.add_word(f" {phrase} ", len(phrase) + 2)
+        spare.make_automaton()
+        for frame in frames:
+            for at in range(0, len(frame), 200):
+                rows = []
+                for file, row, text in frame.iloc[at : at + 200][[*KEY, "text"]].itertuples(index=False):
+                    found, counts = _WORD.findall(folded(text or "")), defaultdict(int)
+                    line, place = f" {' '.join(found)} ", 0
+                    spared = [(end - size + 1, end) for end, size in spare.iter(line)]
+                    for word in found:
+                        if not any(low <= place < high for low, high in spared):
+                            counts[word] += 1
+                        place += len(word) + 1
+                    rows += [(file, row, len(found), w, n) for w, n in (counts or {"": 0}).items()]
+                yield pd.DataFrame(rows, columns=[*KEY, "words", "word", "n"])
+
+    spoken = docs.select(*KEY, "text").mapInPandas(words, "_file long, _row long, words long, word string, n long")
+    starts = F.transform(
+        F.filter(F.array(*[F.lit(k) for k in PREFIXES]), lambda k: F.length("word") > k),
+        lambda k: F.concat(F.substring(F.col("word"), F.lit(1), k), F.lit("*")),
+    )
+    different = spoken.select("word").distinct().select("word", F.explode(F.concat(F.array("word"), starts)).alias("term"))
+    weights = different.join(lexicon, "term").groupBy("word").agg(F.max("weight").alias("weight"))
+    totals = (
+        spoken.join(weights, "word", "left")
+        .groupBy(*KEY)
+        .agg(
+            F.max("words").alias("words"),
+            F.coalesce(F.sum(F.when(F.col("weight").isNotNull(), F.col("n"))), F.lit(0)).alias("hits"),
+            F.coalesce(F.sum(F.col("n") * F.col("weight")), F.lit(0.0)).alias("weight"),
+        )
+    )
+    return docs.select(*keep, *KEY).join(totals, KEY).select("words", "hits", "weight", *keep)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` with ``toxicity``, the model's score."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    """All columns of ``docs`` (with ``text``) and ``toxicity``, the model's score."""
+    if isinstance(model.lexicon, DataFrame):
+        scratch = Scratch(docs.sparkSession)
+        keyed = row_keyed(docs.select(F.struct(*docs.columns).alias("doc"), "text"), scratch)
+        found = counted(keyed, model.lexicon, *KEY)
+        curve = model.curve
+
+        @F.pandas_udf("double")
+        def probability(words: pd.Series, hits: pd.Series, weight: pd.Series) -> pd.Series:
+            return pd.Series(_probability(_features(*(x.to_numpy(float) for x in (words, hits, weight))), curve))
+
+        marked = found.select(*KEY, probability("words", "hits", "weight").alias("toxicity"))
+        return keyed.join(marked, KEY).select("doc.*", "toxicity")
+    sent = docs.sparkSession.sparkContext.broadcast((model.lexicon, model.curve))
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lexicon, curve = sent.value
         matcher = Matcher(lexicon)
         for batch in texts:
-            counted = np.asarray([matcher.hits(t) for t in batch], dtype=float).reshape(-1, 3)
-            yield pd.Series(1 / (1 + np.exp(-np.clip(_features(*counted.T) @ curve, -30, 30))))
+            found = np.asarray([matcher.hits(t) for t in batch], dtype=float).reshape(-1, 3)
+            yield pd.Series(_probability(_features(*found.T), curve))
 
     return docs.withColumn("toxicity", score("text"))
 
 
+def _probability(features: np.ndarray, curve: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(features @ curve, -30, 30)))
+
+
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the texts scored at or over the threshold; columns unchanged."""
     model = train(docs, labels)

@@ -10,10 +10,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from posloom.llm import language_model, substring, toxicity, warc
 from posloom.llm.common import Scratch
+from posloom.session import BROADCAST_LIMIT_KEY
 from corpus_texts import prose
 
 
@@ -54,10 +56,11 @@ def labelled_texts(spark):
 
 def test_lexicon_is_learned_and_holds_out(spark, labelled_texts):
     docs, labels = labelled_texts
-    lexicon, _ = toxicity.train(docs, labels)
-    assert {"nastyword", "vileword"} <= set(lexicon) and any(t.startswith("grimw") for t in lexicon)
-    assert not set(prose(77, 80).split()) & set(lexicon)
-    scored = toxicity.scored(docs, (lexicon, toxicity.train(docs, labels)[1])).collect()
+    model = toxicity.train(docs, labels)
+    words = ["nastyword", "vileword", "grimwordly", "grimwordish"]
+    assert all(any(t == w or (t[-1] == "*" and w.startswith(t[:-1])) for t in model.lexicon) for w in words)
+    assert not set(prose(77, 80).split()) & set(model.lexicon)
+    scored = toxicity.scored(docs, model).collect()
     right = sum((r["toxicity"] >= toxicity.THRESHOLD) == (r["doc_id"] % 6 == 0) for r in scored if r["doc_id"] < 5000)
     assert right > 0.97 * 1200
     assert all(0 <= r["toxicity"] <= 1 for r in scored)
@@ -66,7 +69,11 @@ def test_lexicon_is_learned_and_holds_out(spark, labelled_texts):
 def _lexicon(spark, rows):
     docs = spark.createDataFrame([(n, t) for n, (t, _) in enumerate(rows)], "doc_id long, text string")
     labels = spark.createDataFrame([(n, y) for n, (_, y) in enumerate(rows)], "doc_id long, toxic int")
-    return toxicity.learn_lexicon(toxicity.labelled(docs, labels))
+    return {r["term"]: r["weight"] for r in toxicity.learn_lexicon(toxicity.labelled(docs, labels)).collect()}
+
+
+def _weight(lexicon, word):
+    return toxicity.Matcher(lexicon).hits(word)[2]
 
 
 def _uses(term, count, befores, seed):
@@ -81,7 +88,7 @@ def test_verdict_on_a_term_does_not_depend_on_input_size(spark):
         toxic, clean = _uses("rudeword", 200 * times, 40, 1), _uses("rudeword", 12 * times, 40, 2)
         other = [prose(10_000 + n, 22) for n in range(600 * times)]
         lexicon = _lexicon(spark, [(t, 1) for t in toxic] + [(t, 0) for t in [*clean, *other]])
-        weights.append(lexicon["rudeword"])
+        weights.append(_weight(lexicon, "rudeword"))
     assert abs(weights[0] - weights[1]) < 0.4
 
 
@@ -92,7 +99,64 @@ def test_copies_count_once_under_either_label(spark):
     # The copies differ in case and signs only; none is a copy of a toxic row.
     copies = [(quote.lower() if n % 2 else quote.replace("?", "!"), 0) for n in range(400)]
     many = _lexicon(spark, [*rows, *copies])
-    assert "rudeword" in once and abs(once["rudeword"] - many["rudeword"]) < 0.1
+    assert _weight(once, "rudeword") and abs(_weight(once, "rudeword") - _weight(many, "rudeword")) < 0.1
+
+
+def test_no_term_that_passes_is_lost(spark):
+    """Eight thousand toxic words, none the beginning of another: all are terms, or have one that weighs as much."""
+    rng = random.Random(11)
+    bad = ["".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(8000)]
+    rows = []
+    for turn in range(7):
+        rng.shuffle(bad)
+        for at in range(0, len(bad), 20):
+            rows.append((" ".join(f"w{turn}{k % 7} {x}".replace(str(turn), "rstuvwx"[turn]).replace(str(k % 7), "rstuvwx"[k % 7]) for k, x in enumerate(bad[at : at + 20])), 1))
+    rows += [(prose(40_000 + n, 400), 0) for n in range(2000)]
+    lexicon = _lexicon(spark, rows)
+    assert len(lexicon) > 5000
+    assert all(_weight(lexicon, w) > 0 for w in bad)
+
+
+def test_implied_terms_change_no_weight(spark):
+    rng = random.Random(3)
+    terms = {}
+    for _ in range(400):
+        word = "".join(rng.choices("ab", k=rng.randint(3, 12)))
+        terms[word if rng.random() < 0.5 or len(word) not in toxicity.PREFIXES else word + "*"] = rng.choice([1.0, 2.0, 3.0])
+    kept = toxicity.without_implied(spark.createDataFrame(list(terms.items()), "term string, weight double"))
+    few = {r["term"]: r["weight"] for r in kept.collect()}
+    assert len(few) < len(terms) and few.items() <= terms.items()
+    words = ["".join(rng.choices("ab", k=rng.randint(1, 14))) for _ in range(2000)]
+    for word in words:
+        assert toxicity.Matcher(few).hits(word) == toxicity.Matcher(terms).hits(word)
+
+
+def test_a_large_lexicon_is_joined_with_the_same_result(spark, edge, nothing, labels, labelled_texts):
+    docs, known = labelled_texts
+    sent = toxicity.train(docs, known)
+    spark.conf.set(BROADCAST_LIMIT_KEY, "1")
+    try:
+        joined = toxicity.train(docs, known)
+        assert isinstance(joined.lexicon, DataFrame) and isinstance(sent.lexicon, dict)
+        assert np.allclose(joined.curve, sent.curve)
+        for table in (docs.union(spark.createDataFrame([(9000, "a trash can vileword TRASH CAN"), (9001, None)], docs.schema)), edge, nothing):
+            pairs = [sorted((str(r["doc_id"]), round(r["toxicity"], 9)) for r in toxicity.scored(table, m).collect()) for m in (sent, joined)]
+            assert pairs[0] == pairs[1]
+        assert sorted(map(str, toxicity.drop_toxic(edge, labels).columns)) == sorted(edge.columns)
+    finally:
+        spark.conf.unset(BROADCAST_LIMIT_KEY)
+
+
+def test_scores_equal_plain_python(labelled_texts):
+    """Folding aside, a score worked out word by word from the lexicon and the curve."""
+    docs, known = labelled_texts
+    model = toxicity.train(docs, known)
+    for row in toxicity.scored(docs.limit(200), model).collect():
+        words = row["text"].split()
+        best = [max([w for t, w in model.lexicon.items() if word == t or (t[-1] == "*" and word.startswith(t[:-1]) and len(word) > len(t) - 1)], default=0.0) for word in words]
+        weight, hits, size = sum(best), sum(b > 0 for b in best), len(words)
+        z = np.dot(model.curve, [1, math.log1p(weight), math.log1p(100 * weight / size), math.log1p(hits), (hits > 0) * math.log(size)])
+        assert abs(row["toxicity"] - 1 / (1 + math.exp(-z))) < 1e-9
 
 
 def test_toxicity_edges(edge, nothing, labels, labelled_texts, spark):
