@@ -370,7 +370,8 @@ def _counted_by_join(docs: DataFrame, lexicon: DataFrame, *keep: str) -> DataFra
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` (with ``text``) and ``toxicity``, the model's score."""
+    """All columns of ``docs`` (with ``text``) and ``toxicity``, the model's score, in place of any column of that name."""
+    docs = docs.drop("toxicity")
     if isinstance(model.lexicon, DataFrame):
         scratch = Scratch(docs.sparkSession)
         keyed = row_keyed(docs.select(F.struct(*docs.columns).alias("doc"), "text"), scratch)

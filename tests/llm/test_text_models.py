@@ -106,15 +106,23 @@ def test_no_term_that_passes_is_lost(spark):
     """Eight thousand toxic words, none the beginning of another: all are terms, or have one that weighs as much."""
     rng = random.Random(11)
     bad = ["".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(8000)]
-    rows = []
-    for turn in range(7):
+    rows, before = [], defaultdict(set)
+    for turn in range(8):
         rng.shuffle(bad)
         for at in range(0, len(bad), 20):
-            rows.append((" ".join(f"w{turn}{k % 7} {x}".replace(str(turn), "rstuvwx"[turn]).replace(str(k % 7), "rstuvwx"[k % 7]) for k, x in enumerate(bad[at : at + 20])), 1))
+            words = []
+            for k, word in enumerate(bad[at : at + 20]):
+                context = "context" + "qrstuvwx"[turn] + "qrstuvwx"[k % 8]
+                if zlib.crc32(str(len(rows)).encode()) % 4 != 2:  # not held out
+                    before[word].add(zlib.crc32(context.encode()) & 63)
+                words += [context, word]
+            rows.append((" ".join(words), 1))
     rows += [(prose(40_000 + n, 400), 0) for n in range(2000)]
     lexicon = _lexicon(spark, rows)
     assert len(lexicon) > 5000
-    assert all(_weight(lexicon, w) > 0 for w in bad)
+    matcher = toxicity.Matcher(lexicon)
+    passing = [w for w in bad if len(before[w]) >= toxicity.MIN_CONTEXTS]
+    assert len(passing) > 5000 and all(matcher.hits(w)[2] > 0 for w in passing)
 
 
 def test_implied_terms_change_no_weight(spark):
