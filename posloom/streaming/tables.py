@@ -1,50 +1,24 @@
-"""Tables written batch by batch, one folder per batch number.
-
-A compacted folder is named by the last batch it holds and a half, so it stands
-after that batch and before the next one.
-"""
+"""Tables written batch by batch, one folder per batch number."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-
-def _file_system(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+from posloom.sources.commits import names_in
 
 
-def batch_numbers(spark: SparkSession, table_dir: str) -> list[str]:
-    """Names of the batch folders present, in order."""
-    system, folder = _file_system(spark, table_dir)
-    if not system.exists(folder):
-        return []
-    names = [entry.getPath().getName() for entry in system.listStatus(folder)]
-    return sorted((n.removeprefix("batch=") for n in names if n.startswith("batch=")), key=float)
+def batch_numbers(spark: SparkSession, table_dir: str) -> list[int]:
+    """Numbers of the batch folders present, in order."""
+    names = names_in(spark, table_dir)
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
 
 
 def batches_before(
     spark: SparkSession, table_dir: str, number: float, schema: StructType
 ) -> DataFrame | None:
     """Rows of the batches before ``number``; None if there is none."""
-    earlier = [n for n in batch_numbers(spark, table_dir) if float(n) < number]
+    earlier = [n for n in batch_numbers(spark, table_dir) if n < number]
     if not earlier:
         return None
     return spark.read.schema(schema).parquet(*[f"{table_dir}/batch={n}" for n in earlier])
-
-
-def replace_batches(spark: SparkSession, table_dir: str, merged: DataFrame, upto: str) -> None:
-    """Put ``merged`` in place of all batches up to ``upto``.
-
-    The merged folder is complete before it gets its name, and it gets its name
-    before the folders it replaces go, so a reader always finds every key.
-    """
-    old = [n for n in batch_numbers(spark, table_dir) if float(n) <= float(upto)]
-    system, folder = _file_system(spark, table_dir)
-    waiting = f"{table_dir}/_compacted"
-    merged.write.mode("overwrite").parquet(waiting)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    system.rename(path(waiting), path(f"{table_dir}/batch={int(float(upto))}.5"))
-    for name in old:
-        system.delete(path(f"{table_dir}/batch={name}"), True)
