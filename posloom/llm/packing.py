@@ -5,12 +5,18 @@ first piece is short. The rest depends on the histogram of piece lengths alone
 (at most one row per token of capacity, so it may pass through the driver):
 
 1. Configuration linear program: how often to use each multiset of lengths that
-   fits a sequence so that all lengths are covered. Solved by multiplicative
-   weights: lengths covered less weigh more, the best configuration for the
-   weights is priced by an unbounded knapsack over the capacity, and it is used
-   until one of its lengths runs out.
-2. Rounding: whole uses stay; what is left is placed by best fit, longest first,
-   into the room that is left, in groups of equal sequences.
+   fits a sequence so that all lengths are covered, with the fewest sequences.
+   Solved by multiplicative weights in small steps: a length weighs less the more
+   of its pieces are covered; an unbounded knapsack over the capacity prices
+   every length's best configuration at once, and those near the best price are
+   each used a little more, so that no length gains more than ``STEP`` of its
+   demand. The weights are a dual solution and bound the sequences from below.
+   Steps end once the uses, scaled to cover everything, are within ``GAP`` of the
+   best bound (or stop coming nearer, for histograms of a few pieces).
+2. Rounding: whole uses first, then one more of the configurations with the
+   largest uses, as long as pieces are left for them. What remains is placed by
+   best fit, longest first, into the room that is left, in groups of equal
+   sequences.
 
 The result is a table of runs: ``count`` places for pieces of one length, in
 following sequences, at one offset. A piece's rank among those of its length
@@ -23,9 +29,11 @@ rows are packed each; an empty table gives no rows; ids may be null.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,81 +42,36 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from posloom.llm.common import KEY, Scratch, read_table, row_keyed
+from posloom.llm.tokens import VOCABULARY, slices, with_end, worker_encoder
 
 CAPACITY = 2048
 END_ID = 0
 RANK_ROWS = 100_000
-ROUNDS = 300
-RATE = 4.0
-CACHE_ENTRIES = 300_000
-VOCABULARY = "byte_bpe_50k.tiktoken"
-SPECIALS = {"<|endoftext|>": 50256}
-
-
-def encoder(vocabulary: str = VOCABULARY) -> Callable[[str], bytes]:
-    """Text to token ids, as little-endian unsigned 32-bit bytes.
-
-    A space before a character that is no white space starts a token in this
-    vocabulary, so a text without further white space beside its spaces is
-    encoded word by word through a bounded cache; any other text as a whole.
-    """
-    import base64
-    import re
-
-    import public_tokenizers
-    import tiktoken
-
-    with open(public_tokenizers.path(vocabulary), "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    model = tiktoken.Encoding(
-        vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIALS
-    )
-    crowded = re.compile(r"\s | \s")
-    cache: dict[str, bytes] = {}
-
-    def plain(text: str) -> bytes:
-        return np.asarray(model.encode(text, allowed_special="all"), dtype="<u4").tobytes()
-
-    def word(text: str) -> bytes:
-        if len(cache) >= CACHE_ENTRIES:
-            cache.clear()
-        ids = plain(text)
-        if len(text) <= 64:
-            cache[text] = ids
-        return ids
-
-    def encode(text: str) -> bytes:
-        if crowded.search(text):
-            return plain(text)
-        first, *rest = text.split(" ")
-        found = cache.get
-        return b"".join([plain(first), *[found(w) or word(w) for w in [" " + r for r in rest]]])
-
-    return encode
+GAP = 0.06
+STEP = 0.1
+RATE = 20.0
+NEAR = 0.02  # configurations within this share of the best price are used
+STALE_ROUNDS = 100
+TEXT_AT_ONCE = 4 << 20
 
 
 def _pieces(vocabulary: str, capacity: int, schema: pa.Schema) -> Callable[[Iterator], Iterator]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
-        end = np.asarray([END_ID], dtype="<u4").tobytes()
+        encoder = worker_encoder(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                rows: list[int] = []
-                out: list[tuple[int, int, int, int]] = []
-                for row, text in enumerate(part.column(part.schema.get_field_index("_text"))):
-                    ids = encode(text.as_py() or "") + end
-                    total = len(ids) // 4
-                    count = -(-total // capacity)
-                    start = 0
-                    for piece in range(count):
-                        length = total - capacity * (count - 1) if piece == 0 else capacity
-                        rows.append(row)
-                        out.append((piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
-                        start += length
-                table = np.asarray(out, dtype=np.int64).reshape(-1, 4)
+            for part, texts in slices(batch, "_text", TEXT_AT_ONCE):
+                ids, sizes = with_end(*encoder.encode(texts), END_ID)
+                counts = -(-sizes // capacity)
+                rows = np.repeat(np.arange(len(sizes)), counts)
+                piece = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
+                first = sizes - capacity * (counts - 1)
+                length = np.where(piece == 0, first[rows], capacity)
+                start = np.where(piece == 0, 0, first[rows] + capacity * (piece - 1))
+                begin = (np.cumsum(sizes) - sizes)[rows] + start
+                view = memoryview(np.ascontiguousarray(ids)).cast("B")
+                sums = [zlib.crc32(view[4 * a : 4 * (a + n)]) for a, n in zip(begin.tolist(), length.tolist())]
                 keys = part.drop_columns(["_text"]).take(pa.array(rows, pa.int64()))
-                columns = [pa.array(table[:, 0], pa.int32()), *[pa.array(table[:, i]) for i in (1, 2, 3)]]
+                columns = [pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, sums)]]
                 yield pa.RecordBatch.from_arrays([*keys.columns, *columns], schema=schema)
 
     return run
@@ -129,55 +92,90 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, vocabular
 Bins = list[tuple[tuple[int, ...], int]]  # lengths of a sequence, how many such sequences
 
 
+class Prices:
+    """Most valuable multisets of lengths for every room up to the capacity."""
+
+    def __init__(self, lengths: np.ndarray, values: np.ndarray, capacity: int):
+        self.lengths = lengths
+        self.best = np.zeros(capacity + 1)
+        self.pick = np.full(capacity + 1, -1)  # an item to take, or -1: as for one less room
+        ends = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+        for room in range(1, capacity + 1):
+            self.best[room] = self.best[room - 1]
+            if ends[room]:
+                gains = values[: ends[room]] + self.best[room - lengths[: ends[room]]]
+                k = int(gains.argmax())
+                if gains[k] > self.best[room]:
+                    self.best[room], self.pick[room] = gains[k], k
+
+    def items(self, room: int) -> list[int]:
+        out = []
+        while room > 0:
+            k = int(self.pick[room])
+            if k < 0:
+                room -= 1
+            else:
+                out.append(k)
+                room -= int(self.lengths[k])
+        return out
+
+
 def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> list[int]:
     """Lengths (with repeats) of the most valuable multiset that fits."""
-    best = np.zeros(capacity + 1)
-    pick = np.full(capacity + 1, -1)
-    ends = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for room in range(1, capacity + 1):
-        best[room] = best[room - 1]
-        if ends[room]:
-            gains = values[: ends[room]] + best[room - lengths[: ends[room]]]
-            k = int(gains.argmax())
-            if gains[k] > best[room]:
-                best[room], pick[room] = gains[k], k
-    chosen, room = [], capacity
-    while room > 0:
-        if pick[room] < 0:
-            room -= 1
-        else:
-            chosen.append(int(lengths[pick[room]]))
-            room -= chosen[-1]
-    return chosen
-
-
-def fractional(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS, rate: float = RATE) -> Bins:
-    """Whole uses of configurations from the multiplicative-weights solution."""
+    return [int(lengths[k]) for k in Prices(lengths, values, capacity).items(capacity)]
+
+
+def fractional(
+    histogram: dict[int, int], capacity: int, gap: float = GAP
+) -> tuple[dict[tuple[int, ...], float], float, float]:
+    """Uses of configurations that cover the histogram, a lower bound of sequences, and uses over bound."""
     lengths = np.asarray(sorted(histogram))
     demand = np.asarray([histogram[x] for x in lengths], dtype=float)
-    covered = np.zeros(len(lengths))
-    index = {int(x): i for i, x in enumerate(lengths)}
-    out: Bins = []
-    for _ in range(rounds):
-        left = np.floor(demand - covered)
-        open_ = left > 0
-        if not open_.any():
-            break
-        weights = np.exp(-rate * covered / demand) * lengths / capacity
-        config = knapsack(lengths[open_], weights[open_], capacity)
-        uses: dict[int, int] = defaultdict(int)
-        for x in config:
-            uses[x] += 1
-        times = int(min(left[index[x]] // n for x, n in uses.items()))
-        if times == 0:  # a length would be used more often than it is left: use it as often
-            config = []
-            for x, n in uses.items():
-                config += [x] * int(min(n, left[index[x]]))
-            times = 1
-        for x in config:
-            covered[index[x]] += times
-        out.append((tuple(sorted(config, reverse=True)), times))
-    return out
+    covered = np.zeros(len(lengths))  # as shares of the demand
+    uses: dict[tuple[int, ...], float] = defaultdict(float)
+    bound, total, turn, ratio, earlier = float(lengths @ demand) / capacity, 0.0, 0, np.inf, np.inf
+    while ratio > 1 + gap:
+        values = np.exp(-RATE * (covered - covered.min())) * lengths / capacity
+        prices = Prices(lengths, values, capacity)
+        top = prices.best[capacity]
+        bound = max(bound, float(values @ demand) / top)
+        near = np.flatnonzero(values + prices.best[capacity - lengths] >= (1 - NEAR) * top)
+        gained, shares = np.zeros(len(lengths)), []
+        for k in near.tolist():
+            config = tuple(sorted([k, *prices.items(capacity - int(lengths[k]))]))
+            share = min(demand[i] / config.count(i) for i in set(config))
+            shares.append((config, share))
+            for i in config:
+                gained[i] += share
+        gained /= demand
+        scale = STEP / gained.max()
+        for config, share in shares:
+            uses[config] += scale * share
+        total += scale * sum(share for _, share in shares)
+        covered += scale * gained
+        ratio = total / covered.min() / bound if covered.min() > 0 else np.inf
+        turn += 1
+        if turn % STALE_ROUNDS == 0:
+            if ratio > 0.999 * earlier:
+                break
+            earlier = ratio
+    least = covered.min()
+    return {tuple(int(lengths[i]) for i in c): x / least for c, x in uses.items()}, bound, ratio
+
+
+def rounded(histogram: dict[int, int], uses: dict[tuple[int, ...], float]) -> tuple[Bins, dict[int, int]]:
+    """Whole uses within what is there, the largest first, and the pieces left."""
+    left, bins = dict(histogram), []
+    order = sorted(uses, key=lambda c: (-uses[c], c))
+    for more in (False, True):
+        for config in order:
+            need = {x: config.count(x) for x in set(config)}
+            times = min(1 if more else int(uses[config]), *(left[x] // n for x, n in need.items()))
+            if times > 0:
+                for x, n in need.items():
+                    left[x] -= n * times
+                bins.append((tuple(sorted(config, reverse=True)), times))
+    return bins, {x: n for x, n in left.items() if n}
 
 
 def best_fit(left: dict[int, int], bins: Bins, capacity: int) -> Bins:
@@ -208,16 +206,34 @@ def best_fit(left: dict[int, int], bins: Bins, capacity: int) -> Bins:
     return [(tuple(c), n) for groups in room.values() for c, n in groups]
 
 
-def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Bins:
-    full = histogram.get(capacity, 0)
+@dataclass(frozen=True)
+class Plan:
+    """Bins with what the program says of them: no packing has fewer sequences than ``bound``."""
+
+    bins: Bins
+    bound: int
+    ratio: float  # of the fractional solution to its bound
+    pieces: int
+    by_program: int  # pieces that the rounded program placed
+
+    @property
+    def sequences(self) -> int:
+        return sum(n for _, n in self.bins)
+
+
+def planned(histogram: dict[int, int], capacity: int = CAPACITY, gap: float = GAP) -> Plan:
+    full = histogram.get(capacity, 0)  # a sequence each
     rest = {x: n for x, n in histogram.items() if x < capacity}
-    bins = fractional(rest, capacity, rounds) if rest else []
-    left = dict(rest)
-    for config, count in bins:
-        for x in config:
-            left[x] -= count
-    bins = best_fit({x: n for x, n in left.items() if n}, bins, capacity)
-    return [*([((capacity,), full)] if full else []), *bins]
+    uses, bound, ratio = fractional(rest, capacity, gap) if rest else ({}, 0.0, 1.0)
+    bins, left = rounded(rest, uses)
+    placed = sum(rest.values()) - sum(left.values())
+    bins = best_fit(left, bins, capacity)
+    bins = [*([((capacity,), full)] if full else []), *bins]
+    return Plan(bins, full + math.ceil(bound - 1e-6), ratio, full + sum(rest.values()), full + placed)
+
+
+def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY, gap: float = GAP) -> Bins:
+    return planned(histogram, capacity, gap).bins
 
 
 def _places(bins: Bins) -> dict[int, tuple[np.ndarray, ...]]:
@@ -243,7 +259,7 @@ def packed(
     text_col: str = "text",
     capacity: int = CAPACITY,
     vocabulary: str = VOCABULARY,
-    rounds: int = ROUNDS,
+    gap: float = GAP,
 ) -> DataFrame:
     """A row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
@@ -251,7 +267,7 @@ def packed(
     keyed = row_keyed(docs.select(id_col, text_col), scratch)
     cut = scratch.stage(pieces(keyed, id_col, text_col, capacity, vocabulary))
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # <= capacity rows
-    places = spark.sparkContext.broadcast(_places(plan_bins(histogram, capacity, rounds)))
+    places = spark.sparkContext.broadcast(_places(plan_bins(histogram, capacity, gap)))
     salts = spark.createDataFrame(
         [(x, 1 + n // RANK_ROWS) for x, n in histogram.items()], "length bigint, salts bigint"
     )

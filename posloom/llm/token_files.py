@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 from posloom.llm.common import KEY, Scratch, read_table, row_keyed
-from posloom.llm.tokens import VOCABULARY, with_end, worker_encoder
+from posloom.llm.tokens import VOCABULARY, slices, with_end, worker_encoder
 from posloom.session import shared_dir
 
 MAGIC = b"DACTOKEN"
@@ -226,19 +226,6 @@ def _written(root: str, vocabulary: str, file_tokens: int, schema: pa.Schema):
     return run
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Parts of a batch with about ``size`` characters of text each, and their texts; null is empty."""
-    at, total, texts = 0, 0, []
-    for text in batch.column(batch.schema.get_field_index(column)):
-        texts.append(text.as_py() or "")
-        total += len(texts[-1])
-        if total >= size:
-            yield batch.slice(at, len(texts)), texts
-            at, total, texts = at + len(texts), 0, []
-    if texts:
-        yield batch.slice(at, len(texts)), texts
-
-
 def write_tokens(
     docs: DataFrame,
     root: str,
