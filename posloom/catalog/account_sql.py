@@ -423,14 +423,16 @@ def reference_sql(account: str) -> str:
     sql = _base(account, "reference")
     feed_key, key, flag = t.passes[0]
     sql += (
-        ", joined AS (SELECT feed.*, item_number, short_brand, master_row AS m1_row, "
-        f"({flag} IS NOT NULL) AS hit FROM feed LEFT JOIN {_null_key_once(key)} ON feed.{feed_key} IS NOT DISTINCT FROM {key})"
+        f", items AS MATERIALIZED (SELECT * FROM {_null_key_once(key)})"
+        ", joined AS MATERIALIZED (SELECT feed.*, item_number, short_brand, master_row AS m1_row, "
+        f"({flag} IS NOT NULL) AS hit FROM feed LEFT JOIN items ON feed.{feed_key} IS NOT DISTINCT FROM {key})"
     )
     number = f"row_number() OVER (PARTITION BY {t.keys} ORDER BY {t.order}, m1_row)"
     kept = {
         "none": "SELECT * FROM joined",
         "always": f"SELECT * FROM joined QUALIFY {number} = 1",
-        "final": f"SELECT * FROM (SELECT * FROM joined WHERE hit QUALIFY {number} = 1) "
+        "final": "SELECT unnest(f) FROM (SELECT arg_min(j, {'o': [src_file::VARCHAR, lpad(src_sheet::VARCHAR, 18, '0'), "
+        f"lpad(src_row::VARCHAR, 18, '0')], 'm': m1_row}}) AS f FROM joined j WHERE hit GROUP BY {t.keys}) "
         "UNION ALL SELECT * FROM joined WHERE NOT hit",
         "rows": f"SELECT * FROM joined QUALIFY {number} = 1 OR "
         "(SELECT count(*) FROM joined) = (SELECT count(*) FROM feed)",

@@ -17,6 +17,7 @@ from posloom.catalog.registry import register
 from posloom.functions import conditions as cond
 from posloom.plans.publish import Sinks, publish, read_ledger, read_published
 from posloom.session import shared_dir
+from posloom.sources import grid as g
 from posloom.sources import text as text_files
 from posloom.streaming import guard, weekly
 
@@ -50,8 +51,25 @@ def _(spark, sf_dir):
     balance = F.when(F.col("c_custkey") % 10 == 3, "?").otherwise(F.col("c_acctbal").cast("string"))
     v.table(spark, sf_dir, "customer").select("c_custkey", "c_name", balance.alias("c_acctbal")).write.option("header", True).csv(path)
     read = text_files.read_delimited(spark, path, "c_custkey bigint, c_name string, c_acctbal double", bad_lines="drop")
-    # All columns are asked for: a line is judged by the columns read.
-    return read.filter(F.col("c_acctbal").isNotNull()).select("c_custkey", "c_name")
+    return read.select("c_custkey", "c_name")
+
+
+@register(
+    "split_text_sheet",
+    "SELECT c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS row_idx, "
+    "CAST(c_custkey AS VARCHAR) AS nbr, c_name || ', \"' || c_mktsegment || '\"' AS label FROM customer",
+)
+def _(spark, sf_dir):
+    """One export per nation, read in splits; line numbers as in the file, quoted cells."""
+    path = scratch(spark, "customer-sheets")
+    label = F.format_string('%s, "%s"', "c_name", "c_mktsegment")
+    rows = v.table(spark, sf_dir, "customer").select("c_nationkey", F.col("c_custkey").alias("Item Nbr"), label.alias("Label"))
+    sorted_rows = rows.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "Item Nbr")
+    sorted_rows.write.partitionBy("c_nationkey").option("header", True).option("escape", '"').csv(path)
+    grid = text_files.delimited_grid(spark, path)
+    nation = F.regexp_extract("path", "c_nationkey=(\\d+)", 1).cast("int")
+    named = g.named_rows(grid, 0)
+    return named.select(nation.alias("c_nationkey"), "row_idx", g.cell("Item Nbr").alias("nbr"), g.cell("Label").alias("label"))
 
 
 @register(

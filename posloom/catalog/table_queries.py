@@ -15,7 +15,7 @@ from posloom.operators import filters, membership, reshape, sets
 from posloom.plans.periods import MEASURES, period_report, period_rows
 from posloom.sources import files as listing
 from posloom.sources import grid as g
-from posloom.sources.spine import date_spine
+from posloom.sources.spine import date_spine, with_random_value
 
 CUSTOMER = "CAST(c_custkey AS STRING)"
 BALANCE = "CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING)"
@@ -620,3 +620,19 @@ _date_query(
 )
 def _(spark, sf_dir):
     return date_spine(v.table(spark, sf_dir, "orders"), "o_orderdate")
+
+
+def _uniform_sql(step: int) -> str:
+    return f"((('0x' || substr(md5('7:{step}:' || day), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0"
+
+
+@register(
+    "date_spine_values",
+    f"SELECT day, round(sqrt(-2 * ln({_uniform_sql(1)})) * cos(2 * pi() * {_uniform_sql(2)}), 6) AS value FROM ("
+    f"SELECT strftime(unnest(generate_series(lo, hi, INTERVAL 1 DAY)), '%Y-%m-%d') AS day FROM "
+    f"(SELECT min({DAY}) AS lo, max({DAY}) AS hi FROM orders))",
+)
+def _(spark, sf_dir):
+    """A seeded normal draw beside each day, the same wherever it is drawn."""
+    days = date_spine(v.table(spark, sf_dir, "orders"), "o_orderdate")
+    return with_random_value(days, 7, "day").withColumn("value", F.round("value", 6))

@@ -152,7 +152,7 @@ def conform(spec: AccountSpec, rows: DataFrame, mode: str = STRICT) -> DataFrame
             [*by_file, *alone, *spec.group_by],
             ["POSAmount", "POSQuantity"],
             **{c: F.min(c) for c in source_columns},
-        ).withColumns({"POSAmount": F.col("POSAmount").cast(MONEY), "POSQuantity": F.col("POSQuantity").cast("int")}).drop("_alone")
+        ).withColumns({"POSAmount": F.col("POSAmount").cast(MONEY), "POSQuantity": F.col("POSQuantity").cast("bigint")}).drop("_alone")
     return feed
 
 

@@ -20,8 +20,12 @@ from posloom.plans.spec import STRICT, AccountSpec
 from posloom.schema import EXCEPTION, FINAL
 from posloom.sources import files as listing
 from posloom.sources import grid as g
+from posloom.sources.text import delimited_grid
 from posloom.sources.workbook import decode
 
+RAW_FILES = "*.{xlsx,csv,tsv,txt}"
+SEPARATORS = {".csv": ",", ".tsv": "\t", ".txt": "\t"}
+
 
 @dataclass(frozen=True)
 class WeeklyRun:
@@ -76,27 +80,41 @@ def account_tokens(accounts: dict[str, AccountSpec] = ACCOUNTS) -> dict[str, str
 def select_files(
     spark: SparkSession, raw_dir: str, tokens: dict[str, str], ledger: str | None = None
 ) -> DataFrame:
-    """The latest workbook per account token that the ledger does not hold."""
-    found = listing.files_of_accounts(listing.list_files(spark, raw_dir, "*.xlsx"), tokens)
+    """The latest workbook or delimited export per account token that the ledger does not hold."""
+    found = listing.files_of_accounts(listing.list_files(spark, raw_dir, RAW_FILES), tokens)
     latest = listing.latest_per_account(found)
     return listing.not_processed(latest, read_ledger(spark, ledger)) if ledger else latest
 
 
 def load_grid(spark: SparkSession, files: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Cells of the selected workbooks, decoded once and staged by token.
+    """Cells of the selected files, read once and staged by token.
 
     Only paths come to the driver, one per account token, to name the files to
-    open; that is the file listing any reader makes.
+    open; that is the file listing any reader makes. Delimited exports are read
+    in splits by Spark, workbooks are decoded file by file.
     """
     pairs = [(row["path"], row["account"]) for row in files.select("account", "path").collect()]
     if not pairs:
         raise FileNotFoundError("no workbook of any account found")
-    grid = decode(spark.read.format("binaryFile").load(sorted({path for path, _ in pairs})))
+    grid = read_cells(spark, sorted({path for path, _ in pairs}))
     by_path = spark.createDataFrame(pairs, "path string, token string")
     keyed = grid.join(F.broadcast(by_path), "path")  # a file of two accounts goes to both
     return stage(keyed, spark, "grid", ("token",)), sorted({token for _, token in pairs})
 
 
+def read_cells(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Grid rows of workbooks and delimited exports alike."""
+    parts = []
+    for end, sep in SEPARATORS.items():
+        mine = [p for p in paths if p.lower().endswith(end)]
+        if mine:
+            parts.append(delimited_grid(spark, mine, sep))
+    books = [p for p in paths if not p.lower().endswith(tuple(SEPARATORS))]
+    if books:
+        parts.append(decode(spark.read.format("binaryFile").load(books)))
+    return append(*parts)
+
+
 def with_majors(files: DataFrame, accounts: dict[str, AccountSpec]) -> DataFrame:
     """The file list with the account each token publishes under."""
     majors = [(token, spec.account_major) for spec in accounts.values() for token in spec.tokens]
@@ -105,8 +123,8 @@ def with_majors(files: DataFrame, accounts: dict[str, AccountSpec]) -> DataFrame
 
 
 def load_master(spark: SparkSession, path: str, sheet: str, header_row: int = 6) -> Master:
-    """The item master sheet, decoded once and staged."""
-    grid = decode(spark.read.format("binaryFile").load(path))
+    """The item master sheet, read once and staged."""
+    grid = read_cells(spark, [path])
     return measured(stage(master_from_grid(grid, sheet, header_row), spark, "master"))
 
 

@@ -16,10 +16,11 @@ ITEM_COLUMNS = ("Item Nbr", "Item Desc 1", "Vendor Stock Nbr")
 
 def period_rows(sheet: DataFrame, periods: list[str], measure: str = "Data Type") -> DataFrame:
     """Item, measure, period, value; without blank and total rows."""
-    items = sheet.filter(F.col("Item Nbr").isNotNull()).filter(
-        not_sentinel(F.col("Item Nbr"), "Inventory")
-    )
-    return to_long(items, [*ITEM_COLUMNS, measure], periods, "period", "value")
+    return to_long(item_rows(sheet), [*ITEM_COLUMNS, measure], periods, "period", "value")
+
+
+def item_rows(sheet: DataFrame) -> DataFrame:
+    return sheet.filter(F.col("Item Nbr").isNotNull()).filter(not_sentinel(F.col("Item Nbr"), "Inventory"))
 
 
 def period_report(
@@ -28,5 +29,8 @@ def period_report(
     measure: str = "Data Type",
     measures: tuple[str, ...] = MEASURES,
 ) -> DataFrame:
-    long = period_rows(sheet, periods, measure)
+    """Sums by item and period. The sheet is summed before its periods become rows."""
+    sums = [F.sum(f"`{p}`").alias(p) for p in periods]
+    summed = item_rows(sheet).groupBy(*[F.col(f"`{c}`") for c in (*ITEM_COLUMNS, measure)]).agg(*sums)
+    long = to_long(summed, [*ITEM_COLUMNS, measure], periods, "period", "value")
     return pivot_sum(long, [*ITEM_COLUMNS, "period"], measure, "value", list(measures))

@@ -17,17 +17,18 @@ SHEET_KEYS = ("path", "sheet_idx")
 
 
 def sheet_named(grid: DataFrame, name: str) -> DataFrame:
-    return grid.filter(F.col("sheet_name") == name)
+    """A delimited export has one sheet without a name, which is the one asked for."""
+    return grid.filter((F.col("sheet_name") == name) | F.col("sheet_name").isNull())
 
 
 def sheet_at(grid: DataFrame, index: int) -> DataFrame:
-    """0-based."""
-    return grid.filter(F.col("sheet_idx") == index)
+    """0-based; or the one sheet of a delimited export."""
+    return grid.filter((F.col("sheet_idx") == index) | F.col("sheet_name").isNull())
 
 
 def sheets_without(grid: DataFrame, token: str) -> DataFrame:
     """Sheets whose name does not contain ``token``."""
-    return grid.filter(~F.col("sheet_name").contains(token))
+    return grid.filter(~F.coalesce(F.col("sheet_name"), F.lit("")).contains(token))
 
 
 def positions(ranges: str) -> list[int]:

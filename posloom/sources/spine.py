@@ -21,7 +21,7 @@ def with_random_value(df: DataFrame, seed: int, key: str, name: str = "value") -
     (Box-Muller), so no partitioning and no repeated task changes a draw.
     """
     def uniform(step: int):
-        bits = F.pmod(F.xxhash64(F.lit(seed), F.lit(step), F.col(key)), F.lit(2**52))
-        return (bits.cast("double") + 0.5) / 2.0**52
+        digits = F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit(step), F.col(key).cast("string")).cast("binary")), 1, 13)
+        return (F.conv(digits, 16, 10).cast("double") + 0.5) / 2.0**52
 
     return df.withColumn(name, F.sqrt(-2 * F.log(uniform(1))) * F.cos(2 * F.pi() * uniform(2)))

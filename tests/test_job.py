@@ -341,3 +341,25 @@ def test_unreadable_cells_are_exceptions(spark, tmp_path):
 
 def test_every_account_has_a_token():
     assert all(spec.tokens for spec in ACCOUNTS.values())
+
+
+def test_delimited_exports_run_like_workbooks(spark, drop, weekly, tmp_path):
+    """The sheets of two accounts and the master as text files, read in splits."""
+    import csv
+
+    (tmp_path / "raw").mkdir()
+    sheets = {name: list(sheets.values())[-1] for name, sheets in fixtures.FILES.items() if "amazon" in name.lower() or "meijer" in name.lower()}
+    assert len(sheets) == 2
+    for k, (name, rows) in enumerate(sheets.items()):
+        with open(tmp_path / "raw" / name.replace(".xlsx", [".csv", ".tsv"][k]), "w", newline="") as out:
+            csv.writer(out, delimiter=",\t"[k]).writerows(["" if c is None else c for c in row] for row in rows)
+    with open(tmp_path / "master.csv", "w", newline="") as out:
+        csv.writer(out).writerows(["" if c is None else c for c in row] for row in fixtures.MASTER[fixtures.MASTER_SHEET])
+    run = job.run(spark, str(tmp_path / "raw"), str(tmp_path / "master.csv"), fixtures.MASTER_SHEET, str(tmp_path / "out"), RUN_DATE)
+
+    def found(rows):
+        mine = rows.filter(F.col("AccountMajor").isin("AMAZON", "MEIJER"))
+        return sorted((tuple(r) for r in mine.select(*CANONICAL, "outcome", "reason", "src_row").collect()), key=str)
+
+    assert found(run.rows) == found(weekly.rows) and len(found(run.rows)) > 5
+    assert [r.for_account for r in read(spark, tmp_path / "out", "tsv").collect()] == ["meijer"]

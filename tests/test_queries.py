@@ -18,7 +18,7 @@ from posloom.catalog.queries import QUERIES, TWIN_SQL
 DATA = Path("/root/testdata/sf0.001")
 NAMES = list(QUERIES)
 WRITES = {
-    "csv_round_trip", "csv_bad_lines_dropped", "text_records", "publish_round_trip", "publish_replaces", "publish_ledger",
+    "csv_round_trip", "csv_bad_lines_dropped", "text_records", "publish_round_trip", "publish_replaces", "publish_ledger", "split_text_sheet",
     "weekly_control_stream", "run_guard_stream", "run_metrics",
 }
 

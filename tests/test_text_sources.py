@@ -92,3 +92,29 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Cluster())
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_line_numbers_over_many_blocks(spark, tmp_path):
+    """Row numbers are line numbers however many splits read the file, blank lines and quotes included."""
+    lines = ["Weekly report", "Item Nbr,Label", ""] + [f'{n},"a ""{n}"", b"' if n % 3 else f"{n},plain" for n in range(3, 4000)]
+    (tmp_path / "one.csv").write_text("\ufeff" + "\r\n".join(lines) + "\r\n")
+    (tmp_path / "two.csv").write_text("x\nNbr,L\n7,\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        grid = text.delimited_grid(spark, str(tmp_path))
+        assert grid.rdd.getNumPartitions() >= 5
+        rows = {(r.path[-7:-4], r.row_idx): r.cells for r in grid.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = {("one", 0): ["Weekly report"], ("one", 1): ["Item Nbr", "Label"], ("one", 2): [None]}
+    want |= {("one", n): [str(n), f'a "{n}", b' if n % 3 else "plain"] for n in range(3, 4000)}
+    want |= {("two", 0): ["x"], ("two", 1): ["Nbr", "L"], ("two", 2): ["7", None]}
+    assert rows == want
+
+
+def test_bad_lines_are_dropped_whatever_is_asked_for(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n1,2\n3,x\n5,6\n")
+    read = text.read_delimited(spark, str(tmp_path), "a int, b int", bad_lines="drop")
+    assert sorted(r.a for r in read.select("a").collect()) == [1, 5] and read.count() == 2
