@@ -471,6 +471,7 @@ LEGACY_KMART = AccountSpec(
     account_major="KMART",
     account="KMART",
     channel="Bricks",
+    tokens=KMART.tokens,
     layout=Layout(
         sheet_name="LW SALES",
         sheet_idx=None,
@@ -493,6 +494,7 @@ LEGACY_MEIJER = AccountSpec(
     account_major="MEIJER",
     account="MEIJER",
     channel="Bricks",
+    tokens=MEIJER.tokens,
     layout=Layout(sheet_name="LAST WEEK SALES", sheet_idx=None, header_row=4),
     columns={
         **MEIJER.columns,
@@ -522,6 +524,7 @@ LEGACY_BBB = AccountSpec(
     account_major="BUY BUY BABY",
     account="BUY BUY BABY",
     channel="Bricks",
+    tokens=BBB.tokens,
     layout=Layout(sheet_name="Total", sheet_idx=None, header_row=5),
     columns={**BBB.columns, "Format": "Format"},
     money_columns=("AvgRetail", "POSQuantity"),

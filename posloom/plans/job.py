@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -17,7 +18,7 @@ from posloom.plans.engine import layout_errors, run_account, sheet_rows
 from posloom.plans.master import Master, master_from_grid, measured
 from posloom.plans.publish import Sinks, publish, read_ledger, stage, unstage
 from posloom.plans.spec import STRICT, AccountSpec
-from posloom.schema import EXCEPTION, FINAL
+from posloom.schema import CROSSREF_HEADERS, EXCEPTION, FINAL
 from posloom.sources import files as listing
 from posloom.sources import grid as g
 from posloom.sources.text import delimited_grid
@@ -128,6 +129,12 @@ def load_master(spark: SparkSession, path: str, sheet: str, header_row: int = 6)
     return measured(stage(master_from_grid(grid, sheet, header_row), spark, "master"))
 
 
+def load_crossref(spark: SparkSession, path: str, sheet: str, header_row: int = 0) -> Master:
+    """An account's own cross reference sheet, as the master it is matched to."""
+    rows = master_from_grid(read_cells(spark, [path]), sheet, header_row, CROSSREF_HEADERS)
+    return measured(stage(rows, spark, "crossref"))
+
+
 def account_grid(grid: DataFrame, spec: AccountSpec, accounts: dict[str, AccountSpec]) -> DataFrame:
     """The account's cells; where accounts share files, those of its layout."""
     mine = grid.filter(F.col("token").isin(*spec.tokens))
@@ -142,16 +149,20 @@ def account_grid(grid: DataFrame, spec: AccountSpec, accounts: dict[str, Account
 def run_grid(
     grid: DataFrame,
     tokens: list[str],
-    master: Master,
+    master: Master | None,
     run_date: dt.date,
     accounts: dict[str, AccountSpec] = ACCOUNTS,
     mode: str = STRICT,
     watched: dict[str, Observation] | None = None,
+    crossrefs: Mapping[str, Master] | None = None,
 ) -> DataFrame:
     """Outcomes of every account that has a file, as one table.
 
-    With ``watched`` an observation of each account's feed is put there.
+    An account with a cross reference of its own is matched to that, all others
+    to the item master. With ``watched`` an observation of each account's feed is
+    put there.
     """
+    own = crossrefs or {}
     parts = []
     for spec in present_accounts(tokens, accounts):
         def watch(feed: DataFrame, name: str = spec.name) -> DataFrame:
@@ -159,7 +170,10 @@ def run_grid(
             return feed
 
         rows = sheet_rows(spec, account_grid(grid, spec, accounts), mode)
-        parts.append(run_account(spec, rows, master, run_date, mode, None if watched is None else watch).rows)
+        known = own.get(spec.name, master)
+        if known is None:
+            raise ValueError(f"neither an item master nor a cross reference for {spec.name}")
+        parts.append(run_account(spec, rows, known, run_date, mode, None if watched is None else watch).rows)
     return append(*parts)
 
 
@@ -192,8 +206,8 @@ def metrics_of(watched: dict[str, Observation], accounts: dict[str, AccountSpec]
 def run(
     spark: SparkSession,
     raw_dir: str,
-    master_path: str,
-    master_sheet: str,
+    master_path: str | None,
+    master_sheet: str | None,
     out: str,
     run_date: dt.date,
     accounts: dict[str, AccountSpec] = ACCOUNTS,
@@ -201,9 +215,13 @@ def run(
     ledger: str | None = None,
     warehouse: DataFrame | None = None,
     consolidated: DataFrame | None = None,
+    crossrefs: Mapping[str, tuple[str, str]] | None = None,
 ) -> WeeklyRun:
     """Find, read, check, match and publish the latest file of every account.
 
+    ``crossrefs`` names path and sheet of the cross reference that an account is
+    matched to instead of the item master, which only the others need.
+
     Rows and the list of files that are done are published by one commit. With a
     ``ledger`` folder commits are kept there, and files that an earlier run
     published are left alone; a file held back by exceptions comes up again.
@@ -211,21 +229,22 @@ def run(
     tokens = account_tokens(accounts)
     files = with_majors(select_files(spark, raw_dir, tokens, ledger), accounts)
     grid, present = load_grid(spark, files)
-    master = load_master(spark, master_path, master_sheet)
+    master = load_master(spark, master_path, master_sheet) if master_path else None
+    own = {name: load_crossref(spark, *where) for name, where in (crossrefs or {}).items()}
     check_layouts(grid, present, accounts)
     watched: dict[str, Observation] = {}
-    rows = run_grid(grid, present, master, run_date, accounts, mode, watched)
+    rows = run_grid(grid, present, master, run_date, accounts, mode, watched, own)
     staged = publish(spark, rows, Sinks.under(out, ledger), files)
     missing = tuple(t for t in tokens if t not in present)
     unstage(spark, grid)
-    if warehouse is None:
-        unstage(spark, master.rows)
+    for known in [*own.values(), *([master] if master and warehouse is None else [])]:
+        unstage(spark, known.rows)
     return WeeklyRun(
         staged,
         files,
         missing,
         metrics_of(watched, accounts),
-        None if warehouse is None else validate_master(master, warehouse),
+        None if warehouse is None or master is None else validate_master(master, warehouse),
         None if consolidated is None else accounts_not_run(consolidated, accounts),
     )
 

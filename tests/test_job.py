@@ -363,3 +363,45 @@ def test_delimited_exports_run_like_workbooks(spark, drop, weekly, tmp_path):
 
     assert found(run.rows) == found(weekly.rows) and len(found(run.rows)) > 5
     assert [r.for_account for r in read(spark, tmp_path / "out", "tsv").collect()] == ["meijer"]
+
+
+def test_legacy_accounts_run_from_cross_references(spark, tmp_path):
+    """The older job: each account's export against its own cross reference sheet."""
+    import csv
+
+    from posloom.plans.accounts import LEGACY_ACCOUNTS
+    from posloom.schema import CROSSREF_HEADERS
+
+    def export(name, rows):
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        with open(path, "w", newline="") as out:
+            csv.writer(out).writerows(["" if c is None else c for c in row] for row in rows)
+        return str(path)
+
+    meijer = [list(r) for r in fixtures.FILES["MEIJER 02-22-20.xlsx"]["WEEK"]]
+    for row, more in zip(meijer[4:], (["Sales: $ LY", "Sales: $ % Diff TYLY"], [2, 0.5], [2, 0.5], [2, 0.5])):
+        row += more
+    bbb = [list(r) for r in fixtures.FILES["BBB-Mainline W-E 02-22-2020.xlsx"]["Total"]]
+    for row in bbb[5:]:
+        row.append("Format" if row[0] == "Concept" else "F1")
+    export("raw/KMART W-E 02-22-20.csv", fixtures.FILES["KMART W-E 02-22-20.xlsx"]["LW SALES"])
+    export("raw/MEIJER 02-22-20.csv", meijer)
+    export("raw/BBB-Mainline W-E 02-22-2020.csv", bbb)
+    head = list(CROSSREF_HEADERS.values())
+
+    def known(name, **cells):
+        return export(name, [head, [cells.get(column) for column in CROSSREF_HEADERS]])
+
+    where = {
+        "legacy_kmart": (known("kmart.csv", item_number="XK", vendor_item="001", upc12="1", short_brand="QUINNY"), "any"),
+        "legacy_meijer": (known("meijer.csv", item_number="XM", vendor_item="2", upc12="1"), "any"),
+        "legacy_bbb": (known("bbb.csv", item_number="XB", upc12="190000000001", description="Seat"), "any"),
+    }
+    run = job.run(spark, str(tmp_path / "raw"), None, None, str(tmp_path / "out"), RUN_DATE, LEGACY_ACCOUNTS, crossrefs=where)
+    found = {(r.AccountMajor, r.ItemNumber, r.outcome) for r in run.rows.collect()}
+    assert {("KMART", "XK", "final"), ("MEIJER", "XM", "final"), ("BUY BUY BABY", "XB", "final")} <= found
+    assert ("KMART", None, "exception") in found and ("BUY BUY BABY", None, "exception") in found
+    assert [r.for_account for r in read(spark, tmp_path / "out", "tsv").collect()] == ["meijer"]
+    with pytest.raises(ValueError, match="legacy_bbb"):
+        job.run(spark, str(tmp_path / "raw"), None, None, str(tmp_path / "out"), RUN_DATE, LEGACY_ACCOUNTS, crossrefs={k: v for k, v in where.items() if k != "legacy_bbb"})
