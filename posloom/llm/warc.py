@@ -15,7 +15,9 @@ a slice captures are ordered one by one. Payloads take no part in it.
 Defined cases: captures without URL or date resolve to nothing; captures with
 equal date are ordered by record id, and a response of the same instant is not
 earlier; repeated records count as one capture each; a body or header that is
-missing is empty; an empty table gives no rows.
+missing is empty; a page without a number makes no capture; a body that holds the
+separator ``CRLF CRLF WARC/`` is cut there when files are read; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
