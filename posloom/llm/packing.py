@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -127,12 +128,17 @@ def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> list[int
 
 def fractional(
     histogram: dict[int, int], capacity: int, gap: float = GAP
-) -> tuple[dict[tuple[int, ...], float], float, float]:
-    """Uses of configurations that cover the histogram, a lower bound of sequences, and uses over bound."""
+) -> tuple[dict[bytes, float], float, float]:
+    """Uses of configurations that cover the histogram, a lower bound of sequences, and uses over bound.
+
+    There may be some hundred thousand configurations, so each is kept as the
+    bytes of its lengths (``array("I")``), ascending.
+    """
     lengths = np.asarray(sorted(histogram))
     demand = np.asarray([histogram[x] for x in lengths], dtype=float)
     covered = np.zeros(len(lengths))  # as shares of the demand
-    uses: dict[tuple[int, ...], float] = defaultdict(float)
+    uses: dict[bytes, float] = defaultdict(float)
+    size = lengths.tolist()
     bound, total, turn, ratio, earlier = float(lengths @ demand) / capacity, 0.0, 0, np.inf, np.inf
     while ratio > 1 + gap:
         values = np.exp(-RATE * (covered - covered.min())) * lengths / capacity
@@ -150,7 +156,7 @@ def fractional(
         gained /= demand
         scale = STEP / gained.max()
         for config, share in shares:
-            uses[config] += scale * share
+            uses[array("I", [size[i] for i in config]).tobytes()] += scale * share
         total += scale * sum(share for _, share in shares)
         covered += scale * gained
         ratio = total / covered.min() / bound if covered.min() > 0 else np.inf
@@ -160,17 +166,20 @@ def fractional(
                 break
             earlier = ratio
     least = covered.min()
-    return {tuple(int(lengths[i]) for i in c): x / least for c, x in uses.items()}, bound, ratio
+    for config in uses:
+        uses[config] /= least
+    return uses, bound, ratio
 
 
-def rounded(histogram: dict[int, int], uses: dict[tuple[int, ...], float]) -> tuple[Bins, dict[int, int]]:
+def rounded(histogram: dict[int, int], uses: dict[bytes, float]) -> tuple[Bins, dict[int, int]]:
     """Whole uses within what is there, the largest first, and the pieces left."""
     left, bins = dict(histogram), []
     order = sorted(uses, key=lambda c: (-uses[c], c))
     for more in (False, True):
-        for config in order:
+        for packed_ in order:
+            config = array("I", packed_)
             need = {x: config.count(x) for x in set(config)}
-            times = min(1 if more else int(uses[config]), *(left[x] // n for x, n in need.items()))
+            times = min(1 if more else int(uses[packed_]), *(left[x] // n for x, n in need.items()))
             if times > 0:
                 for x, n in need.items():
                     left[x] -= n * times
