@@ -88,6 +88,21 @@ def test_promoted_header_skips_preamble_and_incomplete_rows(spark):
     assert [r.row for r in rows] == [{"Item": "1", "Sales": "2", "Qty": "3"}]
 
 
+def test_header_search_hashes_numbers_and_sorts_no_cells(spark):
+    """Sheets without an index, a header that comes twice, a complete row too narrow to be one."""
+    grid = spark.createDataFrame(
+        [("a", None, 0, ["t"]), ("a", None, 1, ["n", None]), ("a", None, 2, ["y", "z"]), ("a", None, 2, ["x", "z"]), ("a", None, 3, ["1", "2"]),
+         ("b", 0, 0, ["p", None]), ("c", 1, 5, ["k"])],
+        "path string, sheet_idx int, row_idx bigint, cells array<string>",
+    )
+    header = g.promoted_header(grid)
+    found = sorted((tuple(r) for r in header.select("path", "sheet_idx", "_header_row", "header", "_width").collect()), key=str)
+    assert found == [("a", None, 2, ["x", "z"], 2), ("c", 1, 5, ["k"], 1)]
+    plan = header._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and all("(cells" in line for line in plan.splitlines() if "SortAggregate" in line)
+    assert "SortMergeJoin" not in plan
+
+
 def test_last_column_with_token_wins(spark):
     grid = grid_of(spark, {"p": [["POS Sales 1", "POS Qty POS Sales", "POS Qty 1"], ["1", "2", "3"]]})
     picked = g.named_rows(grid, 0).select(
