@@ -12,7 +12,7 @@ from posloom.functions import conditions as cond
 from posloom.functions import numbers as num
 from posloom.functions import text
 from posloom.operators import filters, membership, reshape, sets
-from posloom.plans.periods import MEASURES, period_report, period_rows
+from posloom.plans.periods import MEASURES, period_report, period_rows, summed_rows
 from posloom.sources import files as listing
 from posloom.sources import grid as g
 from posloom.sources.spine import date_spine, with_random_value
@@ -381,10 +381,9 @@ def period_sheet(spark, sf_dir):
     + ") GROUP BY ALL",
 )
 def _(spark, sf_dir):
-    rows = period_rows(period_sheet(spark, sf_dir), PERIODS)
-    return rows.groupBy(F.col("Item Nbr").alias("item"), F.col("Data Type").alias("measure"), "period").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("value").alias("value")
-    )
+    summed = summed_rows(period_sheet(spark, sf_dir), PERIODS, ("Item Nbr", "Data Type"))
+    rows = period_rows(summed, PERIODS, ids=("Item Nbr", "n"))
+    return rows.select(F.col("Item Nbr").alias("item"), F.col("Data Type").alias("measure"), "period", "n", "value")
 
 
 @register(

@@ -14,9 +14,18 @@ MEASURES = ("Total Units Sold", "Total Sell Dollars", "Avg On-Hand Qty", "Avg On
 ITEM_COLUMNS = ("Item Nbr", "Item Desc 1", "Vendor Stock Nbr")
 
 
-def period_rows(sheet: DataFrame, periods: list[str], measure: str = "Data Type") -> DataFrame:
-    """Item, measure, period, value; without blank and total rows."""
-    return to_long(item_rows(sheet), [*ITEM_COLUMNS, measure], periods, "period", "value")
+def period_rows(
+    sheet: DataFrame, periods: list[str], measure: str = "Data Type", ids: tuple[str, ...] = ITEM_COLUMNS
+) -> DataFrame:
+    """Item, measure, period, value; without blank and total rows. A row becomes as
+    many as there are periods: to be summed, sum first (``summed_rows``)."""
+    return to_long(item_rows(sheet), [*ids, measure], periods, "period", "value")
+
+
+def summed_rows(sheet: DataFrame, periods: list[str], by: tuple[str, ...], count: str = "n") -> DataFrame:
+    """The sheet with one row per key, still a column per period, and its number of rows."""
+    sums = [F.sum(f"`{p}`").alias(p) for p in periods]
+    return item_rows(sheet).groupBy(*[F.col(f"`{c}`") for c in by]).agg(F.count(F.lit(1)).alias(count), *sums)
 
 
 def item_rows(sheet: DataFrame) -> DataFrame:
