@@ -294,7 +294,7 @@ def cascade(spark, sf_dir):
         dim = lookup.first_match(items.rows, key, ["master_row"]).select(
             F.col(key).alias(f"k{number}"), F.col("item_number").alias(f"i{number}")
         )
-        matched = lookup.lookup(matched, dim, [(feed_key, f"k{number}")], dim_bytes=items.size)
+        matched = lookup.lookup(matched, dim, [(feed_key, f"k{number}")], dim_bytes=items.bytes_of(key, "item_number"))
     return matched.withColumns(
         {
             "ItemNumber": F.coalesce("i1", "i2"),

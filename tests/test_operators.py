@@ -1,12 +1,19 @@
 from __future__ import annotations
 
+import datetime as dt
 import re
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from posloom.catalog.queries import QUERIES
 from posloom.operators import control, dedup, fanout, filters, lookup, membership, reshape, sets
+from posloom.plans.accounts import ACCOUNTS
+from posloom.plans.engine import run_account
+from posloom.plans.master import Master, measured
+from posloom.plans.periods import period_rows, summed_rows
+from posloom.schema import MASTER_HEADERS
 from posloom.session import BROADCAST_LIMIT_KEY
 
 
@@ -87,6 +94,33 @@ def test_broadcast_only_within_the_measured_limit(spark, skewed, dim):
         spark.conf.unset(BROADCAST_LIMIT_KEY)
 
 
+def test_shuffled_lookup_sorts_no_feed(skewed, dim):
+    text = lookup.weighted_lookup(skewed, dim, [("key", "d_key")])._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_only_the_columns_sent_count_for_the_broadcast(spark):
+    """A master over the limit whose key and item are within it."""
+    master = measured(spark.range(500).selectExpr("concat('k', id) AS key", "id AS master_row", "repeat('x', 1000) AS title"))
+    assert master.size == lookup.measured_bytes(master.rows)
+    assert master.bytes_of("key", "master_row") == lookup.measured_bytes(master.rows.select("key", "master_row")) < master.size / 10
+    assert Master(master.rows, 7).bytes_of("key") == 7 and master.bytes_of("key", "none") == master.size
+
+
+def test_strict_match_broadcasts_by_what_it_sends(spark):
+    raw = spark.sql("SELECT 'i1' AS ASIN, 't' AS `Product Title`, CAST(1 AS DECIMAL(18,2)) AS `Ordered Revenue`, 1 AS `Ordered Units`")
+    other = [c for c in MASTER_HEADERS if c not in ("item_number", "amazon_id")]
+    items = spark.range(300).selectExpr("concat('i', id) AS amazon_id", "concat('n', id) AS item_number", "id AS master_row",
+                                        *[f"repeat('x', 500) AS {c}" for c in other])
+    spark.conf.set(BROADCAST_LIMIT_KEY, str(300 * 200))
+    try:
+        rows = run_account(ACCOUNTS["amazon"], raw, measured(items), dt.date(2020, 3, 1)).rows
+        assert "approx_top_k" not in rows._jdf.queryExecution().analyzed().toString()
+        assert [r["ItemNumber"] for r in rows.collect()] == ["n1"]
+    finally:
+        spark.conf.unset(BROADCAST_LIMIT_KEY)
+
+
 def test_first_per_key_treats_null_as_a_key(spark):
     df = spark.createDataFrame([(None, 2), (None, 1), ("a", 3), ("a", 4)], "k string, o int")
     assert rows(dedup.first_per_key(df, ["k"], ["o"])) == [("a", 3), (None, 1)]
@@ -237,3 +271,25 @@ def test_sets(spark):
     assert rows(crossed) == [(i, m) for i in (0, 1) for m in ("d", "e", "u")]
     plan = crossed._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "CartesianProduct" not in plan
+
+
+def test_periods_become_rows_after_the_sums(spark):
+    sheet = spark.sql(
+        "SELECT * FROM VALUES ('1', 'u', 1, NULL), ('1', 'u', 2, NULL), ('1', NULL, 5, 6), (NULL, 'u', 7, 7), ('Inventory', 'u', 8, 8) "
+        "AS t(`Item Nbr`, `Data Type`, `2001`, `2002`)"
+    )
+    summed = summed_rows(sheet, ["2001", "2002"], ("Item Nbr", "Data Type"))
+    long = period_rows(summed, ["2001", "2002"], ids=("Item Nbr", "n"))
+    assert rows(long, "Item Nbr", "Data Type", "period", "n", "value") == [
+        ("1", "u", "2001", 2, 3), ("1", "u", "2002", 2, None), ("1", None, "2001", 1, 5), ("1", None, "2002", 1, 6),
+    ]
+
+
+def test_unpivoted_rows_are_not_shuffled(spark, tmp_path):
+    spark.sql("SELECT 1L AS l_partkey, 0.1D AS l_tax, 'A' AS l_returnflag, 3D AS l_quantity, TIMESTAMP '1997-05-05' AS l_shipdate").write.parquet(
+        str(tmp_path / "lineitem.parquet")
+    )
+    found = QUERIES["unpivot_periods"](spark, str(tmp_path))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Expand") < text.index("Exchange")  # above it
+    assert rows(found.filter("value IS NOT NULL")) == [("1", "Total Units Sold", "1997", 1, 3.0)] and found.count() == 7
