@@ -58,9 +58,14 @@ def failed_groups(rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return rows.filter(F.col("outcome") == EXCEPTION).select(*by).distinct()
 
 
-def gate(rows: DataFrame, by: tuple[str, ...] = ("AccountMajor",)) -> DataFrame:
-    """Rows of the groups without a single exception."""
-    return rows.join(failed_groups(rows, by), list(by), "left_anti")
+def gate(rows: DataFrame, by: tuple[str, ...] = ("AccountMajor",), few: bool = False) -> DataFrame:
+    """Rows of the groups without a single exception.
+
+    ``few`` groups, such as accounts and their files, are sent to all tasks: the
+    rows are then not shuffled to meet them.
+    """
+    failed = failed_groups(rows, by)
+    return rows.join(F.broadcast(failed) if few else failed, list(by), "left_anti")
 
 
 def stage(df: DataFrame, spark: SparkSession, name: str, by: tuple[str, ...] = ()) -> DataFrame:
@@ -138,7 +143,7 @@ def publish(spark: SparkSession, rows: DataFrame, sinks: Sinks, files: DataFrame
     """
     staged = stage(with_tokens(rows, files).withColumns(_partition_columns()), spark, "outcomes", ("AccountMajor", "outcome"))
     by = ("for_account", "for_file")
-    passed = gate(staged, by).filter(F.col("outcome") == FINAL)
+    passed = gate(staged, by, few=True).filter(F.col("outcome") == FINAL)
     clean = passed.select(*CANONICAL, *PARTITIONS)
     failed = staged.filter(F.col("outcome") == EXCEPTION)
     parts = {

@@ -255,6 +255,18 @@ def test_gate_closes_on_any_exception(spark):
     assert [tuple(r) for r in gate(rows).collect()] == [("B", "final")] * 2
 
 
+def test_gate_of_few_groups_shuffles_no_rows(spark, tmp_path):
+    spark.sql("SELECT 'A' AS AccountMajor, 'exception' AS outcome UNION ALL SELECT 'B', 'final'").write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        passed = gate(spark.read.parquet(str(tmp_path / "t")), few=True)
+        plan = passed._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # of the failed groups
+        assert [r["AccountMajor"] for r in passed.collect()] == ["B"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_layout_has_the_canonical_columns(spark):
     import datetime as dt
 
