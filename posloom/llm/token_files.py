@@ -57,11 +57,12 @@ READ_TOKENS = 1 << 20
 
 def chunk_widths(ids: np.ndarray) -> list[int]:
     """Widths, lowest chunk first, with the fewest bits for chunks, bitmaps and counters."""
-    bits = np.zeros(len(ids), np.int64)
-    for shift in range(32):
-        bits += (ids >> np.uint32(shift)) > 0
-    top = max(1, int(bits.max(initial=1)))
-    longer = len(ids) - np.cumsum(np.bincount(bits, minlength=top + 1))  # ids of more than t bits
+    of_bits = np.zeros(33, np.int64)
+    for at in range(0, len(ids), AT_ONCE):
+        bits = np.frexp(ids[at : at + AT_ONCE].astype(np.float64))[1]  # exact: the bits of an integer
+        of_bits += np.bincount(bits, minlength=33)
+    top = max(1, int(np.flatnonzero(of_bits).max(initial=1)))
+    longer = len(ids) - np.cumsum(of_bits)  # ids of more than t bits
     counts = [len(ids), *longer[1 : top + 1].tolist()]  # that reach bit t
     best: list[tuple[float, list[int]]] = [(0.0, [])] * (top + 1)
     for low in range(top - 1, -1, -1):
@@ -74,11 +75,11 @@ def chunk_widths(ids: np.ndarray) -> list[int]:
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
-    shifts = np.arange(width, dtype=np.uint32)
     parts = []
     for at in range(0, len(values), AT_ONCE):
-        bits = (values[at : at + AT_ONCE, None] >> shifts) & np.uint32(1)
-        parts.append(np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes())
+        raw = values[at : at + AT_ONCE].astype("<u4").view(np.uint8).reshape(-1, 4)
+        bits = np.unpackbits(raw, axis=1, count=width, bitorder="little")
+        parts.append(np.packbits(bits, bitorder="little").tobytes())
     return b"".join(parts)
 
 

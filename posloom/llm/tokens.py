@@ -4,16 +4,20 @@ A space between two characters that are no white space starts a token in the
 byte-level vocabulary, so a text whose spaces all stand like that is encoded
 word by word. The different words of a batch are found by Arrow, looked up in a
 cache that lives as long as the Python worker, and their ids are dealt back to
-all places by numpy. Trailing punctuation after a letter or digit is a token run
-of its own and is kept apart, so that ``word`` and ``word,`` share one entry.
+all places by numpy. Words the cache does not have are encoded side by side: a
+token that begins with a space begins a word there. Words of letters, with or
+without punctuation at their end, go to the merges at once, if no token of the
+vocabulary crosses from one of them to the next or from a letter to punctuation.
 Any other text is encoded as a whole.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections.abc import Iterator
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +26,8 @@ import pyarrow.compute as pc
 VOCABULARY = "byte_bpe_50k.json"
 CACHE_ENTRIES = 1_000_000
 LONG_WORD = 64
+MERGE_AT_ONCE = 32  # words that go to the merges side by side
+LEARN_AT_ONCE = 1 << 14  # and to the whole tokenizer
 _POINTS = ".,;:!?"
 
 
@@ -48,53 +54,68 @@ class Alphabet(dict):
         return self[number]
 
 
+def crosses(token: str) -> bool:
+    """Is part of a letter, or a letter, before punctuation in this token, or one of them before a space?"""
+    from tokenizers.decoders import ByteLevel
+
+    text = ByteLevel().decode([token])
+    return any(
+        (a.isalpha() or a == "\ufffd" or a in _POINTS and b == " ") and b in _POINTS + " " for a, b in pairwise(text)
+    )
+
+
 class Encoder:
+    """The ids of all words in the cache lie side by side in ``ids``; the cache has a word's number."""
+
     def __init__(self, vocabulary: str = VOCABULARY, entries: int = CACHE_ENTRIES):
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.entries = entries
-        self.cache: dict[str, bytes] = {}
         self.alphabet = Alphabet()
+        space = " ".translate(self.alphabet)
+        known = self.model.get_vocab(with_added_tokens=False)
+        self.begins = np.zeros(self.model.get_vocab_size() + 1, bool)
+        self.begins[[i for token, i in known.items() if token.startswith(space)]] = True
+        may_cross = re.compile(rf"[^{space}]{space}|[^!-/:-@\[-`{{-~{space}][{_POINTS}]").search
+        self.apart = not any(map(crosses, filter(may_cross, known)))
+        self.entries = entries
+        self.clear()
 
-    def plain(self, text: str) -> bytes:
-        return self._ids(text).tobytes()
+    def clear(self) -> None:
+        self.cache: dict[str, int] = {}
+        self.ids = np.zeros(0, "<u4")
+        self.sizes = np.zeros(0, np.int64)
 
-    def _ids(self, text: str) -> np.ndarray:
+    def plain(self, text: str) -> np.ndarray:
         return np.asarray(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
+    def _merged(self, words: list[str]) -> np.ndarray:
+        merges, alphabet = self.model.model.tokenize, self.alphabet
+        return np.fromiter((t.id for t in merges((" " + " ".join(words)).translate(alphabet))), "<u4")
+
     def _learn(self, words: list[str]) -> None:
         """Put words into the cache, with the ids they have after a space."""
-        cache = self.cache
-        whole, parted = set(), []
-        for word in words:
-            core = word.rstrip(_POINTS)
-            if len(core) < len(word) and core[-1:].isalnum():
-                parted.append((word, core, word[len(core) :]))
-                if core not in cache:
-                    whole.add(core)
-            else:
-                whole.add(word)
-        # A word of letters is one token run: it goes to the merges at once, in the vocabulary's alphabet.
-        letters = [w for w in whole if len(w) <= LONG_WORD and w.isalpha()]
-        merges, alphabet = self.model.model.tokenize, self.alphabet
-        ids: list[int] = []
-        ends = []
-        for word in letters:
-            ids += [t.id for t in merges(" ".translate(alphabet) + word.translate(alphabet))]
-            ends.append(4 * len(ids))
-        raw, begin = np.asarray(ids, "<u4").tobytes(), 0
-        for word, end in zip(letters, ends):
-            cache[word] = raw[begin:end]
-            begin = end
-        for word in whole.difference(letters):
-            cache[word] = self.plain(" " + word)
-        tails: dict[str, bytes] = {}
-        for word, core, tail in parted:
-            if tail not in tails:
-                tails[tail] = self.plain(tail)
-            cache[word] = cache[core] + tails[tail]
+        lettered, others = [], words
+        if self.apart:
+            lettered, others = [], []
+            for word in words:
+                (lettered if len(word) <= LONG_WORD and word.rstrip(_POINTS).isalpha() else others).append(word)
+        ids, sizes = [self.ids], [self.sizes]
+        for some, at_once, encoded in ((lettered, MERGE_AT_ONCE, self._merged), (others, LEARN_AT_ONCE, lambda w: self.plain(" " + " ".join(w)))):
+            for at in range(0, len(some), at_once):
+                part = some[at : at + at_once]
+                found = encoded(part)
+                starts = np.flatnonzero(self.begins[found])
+                if len(starts) == len(part) and starts[0] == 0:
+                    ids.append(found)
+                    sizes.append(np.diff(starts, append=len(found)))
+                else:
+                    each = [self.plain(" " + word) for word in part]
+                    ids += each
+                    sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+        self.cache.update(zip([*lettered, *others], range(len(self.sizes), len(self.sizes) + len(words))))
+        self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts side by side, and how many each has."""
@@ -107,27 +128,31 @@ class Encoder:
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         size = len(words)
         # A word with white space at an end, or none at all, makes its text crowded.
-        odd = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in words), bool, size)
-        firsts = [words[k] for k in units[starts[:-1]].tolist()]
-        crowded = np.fromiter((not w or w[-1].isspace() for w in firsts), bool, len(firsts))
+        bare = pc.binary_length(coded.dictionary).to_numpy()
+        end_space = pc.binary_length(pc.utf8_rtrim_whitespace(coded.dictionary)).to_numpy() < bare
+        odd = end_space | (pc.binary_length(pc.utf8_ltrim_whitespace(coded.dictionary)).to_numpy() < bare) | (bare == 0)
+        firsts = units[starts[:-1]]
+        crowded = (end_space | (bare == 0))[firsts]
         inner = odd[units]
         inner[starts[:-1]] = False
         crowded |= np.add.reduceat(inner, starts[:-1], dtype=np.int64) > 0
-        cache = self.cache
-        if len(cache) > self.entries:
-            cache.clear()
-        self._learn([w for w, o in zip(words, odd.tolist()) if not o and w not in cache])
-        get = cache.get
-        heads = [self.plain(t if c else w) for t, w, c in zip(texts, firsts, crowded.tolist())]
-        found = [*[get(w, b"") for w in words], *heads]
+        if len(self.cache) > self.entries:
+            self.clear()
+        number = np.fromiter(map(self.cache.get, words, repeat(-1)), np.int64, size)
+        new = np.flatnonzero((number < 0) & ~odd)
+        learned = [words[k] for k in new.tolist()]
+        self._learn(learned)
+        number[new] = np.fromiter(map(self.cache.get, learned), np.int64, len(learned))
+        heads = [self.plain(t if c else words[k]) for t, k, c in zip(texts, firsts.tolist(), crowded.tolist())]
         # The first place of a text stands for its first word, or for all of a crowded text.
+        number = np.concatenate([number, len(self.sizes) + np.arange(len(texts))])
         units[starts[:-1]] = size + np.arange(len(texts))
         stay = ~np.repeat(crowded, np.diff(starts))
         stay[starts[:-1]] = True
         owner = np.repeat(np.arange(len(texts)), np.diff(starts))[stay]
-        units = units[stay]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        flat = np.frombuffer(b"".join(found), "<u4")
+        units = number[units[stay]]
+        sizes = np.concatenate([self.sizes, np.fromiter(map(len, heads), np.int64, len(heads))])
+        flat = np.concatenate([self.ids, *heads])
         counts = sizes[units]
         begin = (np.cumsum(sizes) - sizes)[units] - (np.cumsum(counts) - counts)
         ids = flat[np.repeat(begin, counts) + np.arange(int(counts.sum()))]

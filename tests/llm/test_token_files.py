@@ -126,3 +126,20 @@ def test_query_reads_its_files_back(spark, tmp_path, edge):
     edge.write.parquet(str(tmp_path / "documents.parquet"))
     got = token_files.op11_token_files(spark, str(tmp_path))
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and got.count() == edge.count()
+
+
+def test_new_words_are_encoded_side_by_side(tokenizer):
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choices("abcdéß1'-", k=9)) + rng.choice([".", ",", "!?", ""]) for _ in range(3000)})
+    encoder, calls = tokens.Encoder(), []
+    plain = encoder.plain
+    encoder.plain = lambda text: calls.append(text) or plain(text)
+    ids, _ = encoder.encode([" ".join(words)])
+    assert ids.tolist() == tokenizer.encode(" ".join(words), add_special_tokens=False).ids
+    assert len(calls) < 20  # not one for each word
+
+
+def test_letters_go_to_the_merges_only_where_no_token_crosses():
+    assert tokens.Encoder().apart
+    assert tokens.crosses("d,") and tokens.crosses(",Ġ") and tokens.crosses("ĠdĠ")
+    assert not tokens.crosses("Ġd") and not tokens.crosses("Ġ,.")
