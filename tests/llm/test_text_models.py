@@ -272,6 +272,50 @@ def _text_score(text, *known):
     return sum(_logs(text, *known))
 
 
+def test_tokens_of_many_texts_at_once():
+    texts = [b"", b" ", b"\x0b\x0c A\tb\r\nB ", b"x", "É ÀB é".encode(), b"\xff\x1f Q\x85", b"a" * 70 + b"  b"]
+    units, words, sizes = language_model.coded(texts)
+    words, at = words.to_pylist(), 0
+    for text, size in zip(texts, sizes.tolist()):
+        assert [words[k] for k in units[at : at + size].tolist()] == language_model.tokens(text)
+        at += size
+    assert at == len(units)
+
+
+def test_a_step_moves_only_the_rows_it_uses_and_as_the_whole_gradient_says():
+    lm = language_model
+    rng = np.random.default_rng(3)
+    n = 300
+    found = rng.integers(0, 2**32, (n, 3), dtype=np.uint32)
+    found[: n // 2] = found[0]  # rows used by many tokens
+    group = rng.integers(0, lm.CLASSES, n)
+    place = np.where(group < lm.HEAD_CLASSES, rng.integers(0, lm.CLASS_WORDS, n), -1)
+    filled = np.ones((lm.HEAD_CLASSES, lm.CLASS_WORDS), bool)
+    vector, squares = rng.normal(size=lm.WIDTH), np.full(lm.WIDTH, 1e-4)
+    slope = np.zeros(lm.WIDTH)
+    classes, words, bias = lm.split(slope)
+    rows = lm._class_rows(found)
+    push = np.exp(lm._classes(vector, rows))
+    push[np.arange(n), group] -= 1
+    for k in range(n):
+        for row in rows[k]:
+            classes[row] += push[k] / n
+        bias[: lm.CLASSES] += push[k] / n
+        if place[k] >= 0:
+            own = lm._word_rows(found[k : k + 1], group[k : k + 1])
+            chance = np.exp(lm._words(vector, own, group[k : k + 1], filled))[0]
+            chance[place[k]] -= 1
+            for row in own[0]:
+                words[row] += chance / n
+            low = lm.CLASSES + group[k] * lm.CLASS_WORDS
+            bias[low : low + lm.CLASS_WORDS] += chance / n
+    want = vector - lm.STEP * slope / np.sqrt(squares + slope * slope + 1e-8)
+    got, sums = vector.copy(), squares.copy()
+    lm.descend(got, sums, found, group, place, filled)
+    np.testing.assert_allclose(got, want, rtol=1e-9, atol=1e-12)
+    np.testing.assert_allclose(sums, squares + slope * slope, rtol=1e-9)
+
+
 def test_class_of_a_word_is_the_same_in_sql_and_python(spark):
     words = [b"\n", b"a", b"ab", b"abc", "é".encode(), "naïveé".encode()]
     frame = spark.createDataFrame([(bytearray(w),) for w in words], "word binary")
