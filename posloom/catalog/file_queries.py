@@ -15,7 +15,7 @@ from posloom.catalog import views as v
 from posloom.catalog.operator_queries import OUTCOMES, WEEK, outcomes
 from posloom.catalog.registry import register
 from posloom.functions import conditions as cond
-from posloom.plans.publish import Sinks, publish, read_ledger, read_published, stage, unstage
+from posloom.plans.publish import Sinks, publish, read_ledger, read_published, stage_outcomes, unstage
 from posloom.session import shared_dir
 from posloom.sources import grid as g
 from posloom.sources import text as text_files
@@ -87,11 +87,16 @@ def _(spark, sf_dir):
     )
 
 
-def published_rows(spark: SparkSession, sf_dir: str, held: str, rows: DataFrame | None = None) -> DataFrame:
-    """Outcome rows of all accounts (or those given); only those of ``held`` keep their exceptions."""
-    rows = outcomes(spark, sf_dir) if rows is None else rows
+def held_back(rows: DataFrame, *held: str) -> DataFrame:
+    """Outcome rows of all accounts; only those of ``held`` keep their exceptions."""
+    return rows.filter((F.col("outcome") != "exception") | F.col("account").isin(*held))
+
+
+def published_rows(spark: SparkSession, sf_dir: str, *held: str) -> DataFrame:
+    """Outcome rows of all accounts as they are published; only those of ``held`` keep their exceptions."""
+    rows = outcomes(spark, sf_dir)
     failed = F.col("outcome") == "exception"
-    return rows.filter(~failed | (F.col("account") == held)).select(
+    return held_back(rows, *held).select(
         "src_file",
         "src_sheet",
         "src_row",
@@ -154,9 +159,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Published twice: one account's exceptions are mended, another's come up."""
     sinks = Sinks.under(scratch(spark, "republished"))
-    rows = stage(outcomes(spark, sf_dir), spark, "republished-rows")  # matched once for both
-    unstage(spark, publish(spark, published_rows(spark, sf_dir, "sears", rows), sinks))
-    unstage(spark, publish(spark, published_rows(spark, sf_dir, "amazon", rows), sinks))
+    rows = stage_outcomes(spark, published_rows(spark, sf_dir, "sears", "amazon"))  # matched and staged once for both
+    publish(spark, held_back(rows, "sears"), sinks, staged=True)
+    publish(spark, held_back(rows, "amazon"), sinks, staged=True)
     unstage(spark, rows)
     return _sinks_read_back(spark, sinks)
 

@@ -13,6 +13,8 @@ a run that stops anywhere can be repeated. ``read_published`` reads the sinks,
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -27,6 +29,7 @@ from posloom.session import shared_dir
 from posloom.sources import commits as log
 
 SINKS = {"tsv": "\t", "archive_csv": ",", "exceptions": ",", "validation": ","}  # and what separates their cells
+PACKED = {"archive_csv"}  # kept, not handed on: gzip, which readers of the folder undo by the files' names
 
 
 @dataclass(frozen=True)
@@ -89,20 +92,39 @@ def unstage(spark: SparkSession, df: DataFrame) -> None:
 PARTITIONS = ("for_account", "for_file", "for_week")
 
 
-def write_text(df: DataFrame, path: str, sep: str = ",") -> None:
+FEW_GROUPS = 64  # open files of a task that writes rows as it reads them
+
+
+@contextmanager
+def open_files(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Writes keep a file open per folder instead of sorting, and sort only beyond ``limit`` folders a task."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def write_text(df: DataFrame, path: str, sep: str = ",", packed: bool = False, few: bool = False) -> None:
     """Headed text in a new folder, by account, file token and week.
 
     The partition columns are copies, so the files keep every column. The
-    rebalance gives files of even size, however large one account is.
+    rebalance gives files of even size, however large one account is, and keeps
+    a folder's rows in few files. With ``few`` folders each task writes the rows
+    it reads: they are neither shuffled nor sorted.
     """
-    (
-        df.hint("rebalance", *PARTITIONS)
-        .write.partitionBy(*PARTITIONS)
-        .option("sep", sep)
-        .option("header", True)
-        .option("emptyValue", "")
-        .csv(path)
-    )
+    with open_files(df.sparkSession, FEW_GROUPS) if few else nullcontext():
+        (
+            (df if few else df.hint("rebalance", *PARTITIONS))
+            .write.partitionBy(*PARTITIONS)
+            .option("sep", sep)
+            .option("header", True)
+            .option("emptyValue", "")
+            .option("compression", "gzip" if packed else "none")
+            .csv(path)
+        )
 
 
 def _partition_columns() -> dict:
@@ -125,15 +147,25 @@ def with_tokens(rows: DataFrame, files: DataFrame | None) -> DataFrame:
     return rows.join(F.broadcast(named), same, "left").withColumn("token", F.col("_token")).drop("_path", "_token", "_major")
 
 
+def stage_outcomes(spark: SparkSession, rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Outcomes staged as the sinks read them, with tokens and partition columns."""
+    named = with_tokens(rows, files).withColumns(_partition_columns())
+    return stage(named, spark, "outcomes", ("AccountMajor", "outcome"))
+
+
 RECORD = (
     "version string, groups array<array<string>>, done array<array<string>>, "
     "columns map<string, array<string>>"
 )
 
 
-def publish(spark: SparkSession, rows: DataFrame, sinks: Sinks, files: DataFrame | None = None) -> DataFrame:
+def publish(
+    spark: SparkSession, rows: DataFrame, sinks: Sinks, files: DataFrame | None = None, staged: bool = False
+) -> DataFrame:
     """Write outcomes of any number of accounts; returns the staged rows.
 
+    Rows of ``stage_outcomes`` are ``staged``: they are not staged once more.
+
     Each account and file token is judged by itself: with exceptions it gets
     only its exceptions written, without it gets its rows (tab separated, and
     the CSV archive) and control totals. The commit takes the place of what
@@ -141,25 +173,26 @@ def publish(spark: SparkSession, rows: DataFrame, sinks: Sinks, files: DataFrame
     sinks, so a file that now fails is no longer published, and exceptions that
     are mended are gone. It also notes the files without exceptions as done.
     """
-    staged = stage(with_tokens(rows, files).withColumns(_partition_columns()), spark, "outcomes", ("AccountMajor", "outcome"))
+    if not staged:
+        rows = stage_outcomes(spark, rows, files)
     by = ("for_account", "for_file")
-    passed = gate(staged, by, few=True).filter(F.col("outcome") == FINAL)
+    passed = gate(rows, by, few=True).filter(F.col("outcome") == FINAL)
     clean = passed.select(*CANONICAL, *PARTITIONS)
-    failed = staged.filter(F.col("outcome") == EXCEPTION)
+    failed = rows.filter(F.col("outcome") == EXCEPTION)
     parts = {
         "tsv": clean,
         "archive_csv": clean,
-        "exceptions": failed.select(*exception_rows(staged).columns, *PARTITIONS),
+        "exceptions": failed.select(*exception_rows(rows).columns, *PARTITIONS),
         "validation": control_totals(passed, ("AccountMajor", "WeekEnding", *PARTITIONS)),
     }
     version = f"v{uuid.uuid4().hex}"
+    groups = [list(r) for r in rows.select(*PARTITIONS).distinct().collect()]  # one per file and week
     for sink, part in parts.items():
-        write_text(part, f"{sinks.path(sink)}/version={version}", SINKS[sink])
-    groups = [list(r) for r in staged.select(*PARTITIONS).distinct().collect()]  # one per file and week
-    done = [] if files is None else [list(r) for r in processed(files, staged).collect()]  # one per file of the run
+        write_text(part, f"{sinks.path(sink)}/version={version}", SINKS[sink], sink in PACKED, len(groups) <= FEW_GROUPS)
+    done = [] if files is None else [list(r) for r in processed(files, rows).collect()]  # one per file of the run
     columns = {sink: [c for c in part.columns if c not in PARTITIONS] for sink, part in parts.items()}
     log.commit(spark, sinks.commits, {"version": version, "groups": groups, "done": done, "columns": columns})
-    return staged
+    return rows
 
 
 def live_groups(spark: SparkSession, sinks: Sinks) -> DataFrame:

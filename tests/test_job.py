@@ -229,6 +229,39 @@ def test_a_run_that_stops_leaves_the_old_version(spark, tmp_path, monkeypatch, s
     assert held(spark, sinks) == after
 
 
+def test_few_groups_are_published_without_a_shuffle(spark, tmp_path, monkeypatch):
+    from posloom.plans import publish as module
+
+    rows = [outcome(a, None, kind) for a in ("AMAZON", "SEARS", "KMART") for kind in ("final", "final")]
+    frame = outcome_frame(spark, [*rows, outcome("KMART", None, "exception")])
+    hints = []
+    plain = type(frame).hint
+    monkeypatch.setattr(type(frame), "hint", lambda df, name, *args: hints.append(name) or plain(df, name, *args))
+    tables = []
+    for limit in (64, 2):
+        monkeypatch.setattr(module, "FEW_GROUPS", limit)
+        sinks = Sinks.under(str(tmp_path / str(limit)))
+        publish(spark, frame, sinks)
+        tables.append([sorted(map(str, read_published(spark, sinks, s).collect())) for s in module.SINKS])
+        assert hints == (["rebalance"] * 4 if limit == 2 else [])
+        assert all(f.suffix == ".gz" for f in (tmp_path / str(limit) / "archive_csv").rglob("part-*"))
+        assert all(f.suffix == ".csv" for f in (tmp_path / str(limit) / "processed_tsv").rglob("part-*"))
+    assert tables[0] == tables[1] and [len(t) for t in tables[0]] == [4, 4, 1, 2]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_staged_outcomes_are_published_again_without_a_copy(spark, tmp_path, monkeypatch):
+    from posloom.plans import publish as module
+
+    rows = [outcome(a, None, kind) for a in ("AMAZON", "SEARS") for kind in ("final", "exception")]
+    kept = module.stage_outcomes(spark, outcome_frame(spark, rows))
+    monkeypatch.setattr(module, "stage", lambda *args: pytest.fail("staged twice"))
+    sinks = Sinks.under(str(tmp_path))
+    for failed, good in (("AMAZON", "sears"), ("SEARS", "amazon")):
+        publish(spark, kept.filter((F.col("outcome") == "final") | (F.col("AccountMajor") == failed)), sinks, staged=True)
+        assert held(spark, sinks) == [[(good, good)], [(good, good)], [(failed.lower(), failed.lower())], [(good, good)]]
+
+
 def test_a_commit_is_not_overwritten(spark, tmp_path):
     from posloom.sources import commits as log
 
