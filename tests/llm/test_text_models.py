@@ -323,6 +323,80 @@ def test_class_of_a_word_is_the_same_in_sql_and_python(spark):
     assert got == [language_model.tail_class(w) for w in words]
 
 
+def _tree(seed, words=300, sent=120, head=64):
+    """A vocabulary with words that are not sent, and all words of the tail by class."""
+    lm = language_model
+    rng = random.Random(seed)
+    counts = sorted((rng.choice([1, 2, 3, 50, 900]) for _ in range(words)), reverse=True)
+    names = [f"w{k}".encode() for k in range(words)]
+    width = lm.rest_buckets(words - sent)
+    rest, tail = np.zeros((lm.TAIL_CLASSES, width)), np.zeros(lm.TAIL_CLASSES)
+    for k, (w, n) in enumerate(zip(names, counts)):
+        tail[lm.tail_class(w)] += (n + 1) * (k >= head)
+        rest[lm.tail_class(w), zlib.crc32(w) % width] += (n + 1) * (k >= sent)
+    return lm.Vocabulary(names[:sent], counts[:sent], rest=rest), names, counts, tail, rest
+
+
+def test_all_counted_words_share_their_class_in_every_context():
+    lm = language_model
+    vocabulary, names, counts, tail, rest = _tree(1)
+    ids, code, group, place, sizes, _, rare = vocabulary.read(names)
+    told = np.cumsum(sizes) - sizes  # each text is a word and an end
+    leaf = vocabulary.tree.leaves(ids, code, group)[told]
+    assert [k >= 0 for k in leaf.tolist()] == [k >= 64 for k in range(len(names))] and set(names[120:]) <= set(rare)
+    rng = np.random.default_rng(2)
+    for weights in (np.zeros(lm.TREE_ROWS, np.float32), rng.normal(size=lm.TREE_ROWS).astype(np.float32)):
+        found = np.repeat(rng.integers(0, 2**32, (1, 3), dtype=np.uint32), len(names), axis=0)
+        logs = vocabulary.tree.logs(weights, leaf[64:], found[64:])
+        share = np.zeros(lm.TAIL_CLASSES)
+        for k, log in enumerate(logs.tolist(), 64):
+            c, own = lm.tail_class(names[k]), counts[k] + 1
+            if k >= 120:
+                log += math.log(own / rest[c, zlib.crc32(names[k]) % rest.shape[1]])
+            share[c] += math.exp(log)
+            if not weights.any():
+                assert abs(log - math.log(own / tail[c])) < 1e-4
+        np.testing.assert_allclose(share, np.where(tail > 0, 1, 0), atol=1e-4)
+
+
+def test_a_step_at_the_divisions_follows_the_gradient():
+    lm = language_model
+    vocabulary, names, *_ = _tree(5)
+    ids, code, group, *_ = vocabulary.read(names[64:] * 3)
+    leaf = vocabulary.tree.leaves(ids, code, group)
+    leaf = leaf[leaf >= 0]
+    rng = np.random.default_rng(6)
+    found = rng.integers(0, 2**32, (len(leaf), 3), dtype=np.uint32)
+    before = rng.normal(size=lm.TREE_ROWS).astype(np.float32)
+    after, squares = before.copy(), np.full(lm.TREE_ROWS, 0.5, np.float32)
+    vocabulary.tree.descend(after, squares, leaf, found)
+    moved = np.flatnonzero(after != before)
+    for row in moved[:: len(moved) // 10].tolist():
+        low, high = before.copy(), before.copy()
+        low[row] -= 0.01
+        high[row] += 0.01
+        slope = -(vocabulary.tree.logs(high, leaf, found).sum() - vocabulary.tree.logs(low, leaf, found).sum()) / 0.02
+        assert abs(before[row] - after[row] - lm.TREE_STEP * slope / math.sqrt(slope * slope + 1.5)) < 2e-3
+        assert abs(squares[row] - 0.5 - slope * slope) < 2e-2
+
+
+@pytest.mark.parametrize("known_words", [200, 64])
+def test_context_tells_rare_words_of_one_class_apart(spark, tmp_path, known_words):
+    """Sent or not: after 'left' comes one of two words with equal counts and endings, after 'right' the other."""
+    rng = random.Random(8)
+    fill = [f"f{k}" for k in range(70)]
+    texts = [" ".join([*rng.choices(fill, k=80), "left onezz", *rng.choices(fill, k=80), "right twozz"]) for _ in range(1200)]
+    ids = (n for n in range(10**6, 10**7) if zlib.crc32(str(n).encode()) % 7 == 2)
+    probes = {(a, b): next(ids) for a in ("left", "right") for b in ("onezz", "twozz")}
+    rows = [*enumerate(texts), *((i, f"{a} {b}") for (a, b), i in probes.items())]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    got = {r["doc_id"]: r["score"] for r in language_model.scored(docs, known_words=known_words).collect()}
+    score = {pair: got[i] for pair, i in probes.items()}
+    gain = score["left", "onezz"] - score["left", "twozz"] + score["right", "twozz"] - score["right", "onezz"]
+    assert gain > 0.5
+
+
 def test_language_model_edges(nothing):
     assert language_model.scored(nothing).collect() == []
 
